@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import constants as K
 from tessera.functions import text as X
+from tessera.session import parallelism
 
 CHUNK_KEY = ["doc_id", "chunk_no"]
 
@@ -22,9 +23,12 @@ def term_counts(df: DataFrame, tokens: Column, level: str,
                 key: list[str] = CHUNK_KEY) -> DataFrame:
     """Long term counts ``(key.., level, n_tokens, term, cnt, first_pos)`` for a token
     array column.  ``n_tokens`` is the array length (the TF denominator)."""
-    exploded = df.select(*key, F.lit(level).alias("level"),
-                         F.size(tokens).alias("n_tokens"),
-                         F.posexplode(tokens).alias("pos", "term"))
+    # The token array is materialised once per row before the explode; computing its
+    # size next to the generator would re-tokenise the text once per produced token.
+    arrays = df.select(*key, tokens.alias("_toks")).select(
+        *key, F.size("_toks").alias("n_tokens"), "_toks")
+    exploded = arrays.select(*key, F.lit(level).alias("level"), "n_tokens",
+                             F.posexplode("_toks").alias("pos", "term"))
     return (exploded.groupBy(*key, "level", "n_tokens", "term")
             .agg(F.count(F.lit(1)).alias("cnt"), F.min("pos").alias("first_pos")))
 
@@ -49,8 +53,10 @@ class PyramidParts:
     def __init__(self, chunks: DataFrame, top_k: int = K.KEYWORDS_TOP_K, summariser=None,
                  rules=K.CATEGORY_RULES, n_sentences: int = K.SUMMARY_SENTENCES):
         meta = ["chunk_id", "start_char", "end_char"]
+        # Explicit partition count: text stages are CPU-bound, so the exchange must not
+        # be coalesced by byte size into a few tasks.
         shared = (chunks.where(F.col("doc_id").isNotNull())
-                  .repartition(*CHUNK_KEY)
+                  .repartition(parallelism(chunks.sparkSession), *CHUNK_KEY)
                   .select(*CHUNK_KEY, *meta, F.col("text").alias("raw_text")))
         # The small chunk attributes ride along as grouping columns so that every branch
         # reads the very same exchange (Spark reuses it instead of re-running the window

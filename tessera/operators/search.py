@@ -33,8 +33,9 @@ def query_vectors(queries: DataFrame, id_col: str = "query_id",
     """Q2: ``(query_id, term, qtf, qnorm)``.  Queries without tokens have no rows."""
     q = (queries.select(F.col(id_col).alias("query_id"), F.col(text_col).alias("_q"))
          .repartition("query_id"))
-    toks = X.tokenize("_q")
-    counts = (q.select("query_id", F.size(toks).alias("n"), F.explode(toks).alias("term"))
+    arrays = q.select("query_id", X.tokenize("_q").alias("_toks")).select(
+        "query_id", F.size("_toks").alias("n"), "_toks")
+    counts = (arrays.select("query_id", "n", F.explode("_toks").alias("term"))
               .groupBy("query_id", "n", "term").agg(F.count(F.lit(1)).alias("cnt")))
     tf = counts.select("query_id", "term", (F.col("cnt") / F.col("n")).alias("qtf"))
     per_query = Window.partitionBy("query_id")

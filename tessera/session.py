@@ -67,3 +67,21 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         path = f"{path}-{uuid.uuid4().hex[:12]}"
     return path
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Task slots to aim for in CPU-heavy text stages: the larger of the cluster's
+    default parallelism and ``spark.sql.shuffle.partitions``."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(spark.sparkContext.defaultParallelism, shuffle)
+
+
+def spread(df, spark: SparkSession | None = None):
+    """Round-robin an input that arrives in fewer partitions than there are task slots
+    (e.g. one unsplittable file) so a CPU-heavy step after it runs on all cores.  A large
+    input already has at least that many splits and is returned unchanged: no shuffle."""
+    spark = spark or df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
