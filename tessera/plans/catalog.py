@@ -412,3 +412,258 @@ def shipping_router() -> Router:
 def route_custom_module(spark, base):
     r = shipping_router().route(_rq(spark, base))
     return r.select("query_id", "detected", "module_used", "answer", "confidence")
+
+
+# ---------------------------------------------------------------------------------------
+# T: SFT data preparation and evaluation
+# ---------------------------------------------------------------------------------------
+
+from tessera.operators.sft import evaluate as EV  # noqa: E402
+from tessera.operators.sft import prepare as PR  # noqa: E402
+from tessera.sources import qa as QA  # noqa: E402
+
+_SYNTH = QA.synthesize_qa_sql()
+_PAIRS = QA.qa_pairs_sql()
+_SEED_KEY = f"md5('{K.SEED}-' || CAST(qa_id AS VARCHAR))"
+_TRAIN = f"SELECT * FROM ({_SYNTH}) ORDER BY {_SEED_KEY}, qa_id LIMIT {K.TRAIN_SAMPLES}"
+_HEAD = O._q(K.PROMPT_TEMPLATE_HEAD + K.SYSTEM_PROMPT + K.PROMPT_TEMPLATE_QUESTION)
+_ANS = O._q(K.PROMPT_TEMPLATE_ANSWER)
+
+
+def _prompts_sql(src: str) -> str:
+    return (f"SELECT *, {_HEAD} || question || {_ANS} || coalesce(answer, '') AS train_prompt, "
+            f"{_HEAD} || question || {_ANS} AS inference_prompt FROM ({src})")
+
+
+_TOK = O._q(PR.TOKEN_PATTERN)
+_VOCAB_CTE = f"""train AS ({_prompts_sql(_TRAIN)}),
+counts AS (SELECT token, count(*) AS freq FROM (SELECT unnest(regexp_extract_all(train_prompt, {_TOK})) AS token FROM train) GROUP BY token),
+ranked AS (SELECT token, CAST(row_number() OVER (ORDER BY freq DESC, token) + 1 AS INTEGER) AS token_id, freq FROM counts),
+vocab AS (SELECT '<pad>' AS token, 0 AS token_id, 0 AS freq UNION ALL SELECT '<unk>', 1, 0
+          UNION ALL SELECT token, token_id, freq FROM ranked WHERE token_id < {PR.DEFAULT_VOCAB})"""
+_ENC_CTE = _VOCAB_CTE + f""",
+toks AS (
+  SELECT qa_id, least(len(regexp_extract_all(inference_prompt, {_TOK})), {K.MAX_SEQ_LEN}) AS n_prompt,
+         u.token, u.pos - 1 AS pos
+  FROM train t, unnest(regexp_extract_all(t.train_prompt, {_TOK})) WITH ORDINALITY AS u(token, pos)
+),
+enc AS (
+  SELECT qa_id, n_prompt, list(coalesce(v.token_id, 1) ORDER BY pos) AS input_ids
+  FROM toks LEFT JOIN vocab v USING (token) WHERE pos < {K.MAX_SEQ_LEN}
+  GROUP BY qa_id, n_prompt
+),
+enc2 AS (
+  SELECT *, list_transform(input_ids, lambda x, i: CASE WHEN i - 1 < n_prompt THEN {K.LABEL_IGNORE_ID} ELSE x END) AS labels,
+         list_transform(input_ids, lambda x: CASE WHEN x = 0 THEN 0 ELSE 1 END) AS attention_mask,
+         CAST(len(input_ids) AS INTEGER) AS n_tokens,
+         CAST(greatest(len(input_ids) - n_prompt, 0) AS INTEGER) AS n_label_tokens
+  FROM enc
+)"""
+
+
+def _ids_str(col):
+    return F.array_join(F.transform(col, lambda x: x.cast("string")), " ")
+
+
+def _sql_ids(col):
+    return f"array_to_string(list_transform({col}, lambda x: CAST(x AS VARCHAR)), ' ')"
+
+
+def _synth(spark, base):
+    return QA.synthesize_qa(spark, base)
+
+
+def _train(spark, base):
+    return PR.sample_train(_synth(spark, base))
+
+
+def _encoded(spark, base):
+    train = PR.with_prompts(_train(spark, base))
+    return PR.encode(train, PR.build_vocab(train))
+
+
+@register("qa_pairs", _PAIRS)
+def qa_pairs(spark, base):
+    return QA.qa_pairs(spark, base)
+
+
+@register("synthesize_qa", _SYNTH)
+def synthesize_qa(spark, base):
+    return _synth(spark, base)
+
+
+@register("sample_train", f"SELECT qa_id, question, answer FROM ({_TRAIN})")
+def sample_train(spark, base):
+    return _train(spark, base).select("qa_id", "question", "answer")
+
+
+@register("sample_eval", f"SELECT qa_id, question, answer FROM ({_PAIRS}) ORDER BY qa_id "
+                         f"LIMIT {K.EVAL_SAMPLES}")
+def sample_eval(spark, base):
+    return PR.sample_eval(QA.qa_pairs(spark, base))
+
+
+@register("split_qa", f"""SELECT qa_id, CASE WHEN rk <= {K.TRAIN_SAMPLES} THEN 'train' ELSE 'eval' END AS split
+FROM (SELECT qa_id, row_number() OVER (ORDER BY {_SEED_KEY}, qa_id) AS rk FROM ({_SYNTH}))
+WHERE rk <= {K.TRAIN_SAMPLES + K.EVAL_SAMPLES}""")
+def split_qa(spark, base):
+    return PR.split_qa(_synth(spark, base)).select("qa_id", "split")
+
+
+@register("format_prompts", f"SELECT qa_id, train_prompt, inference_prompt FROM "
+                            f"({_prompts_sql(_PAIRS)})")
+def format_prompts(spark, base):
+    return PR.with_prompts(QA.qa_pairs(spark, base)).select("qa_id", "train_prompt",
+                                                            "inference_prompt")
+
+
+_EXTRACT_SQL = ("coalesce(nullif(replace(regexp_extract({c}, '####\\s*([\\d,\\.\\-]+)', 1), ',', ''), ''), "
+                "replace(regexp_extract_all({c}, '\\b\\d[\\d,\\.]*\\b')[-1], ',', ''))")
+
+
+def _extract_sql(c: str) -> str:
+    return _EXTRACT_SQL.format(c=c)
+
+
+@register("extract_answer", f"""SELECT s.qa_id, {_extract_sql('s.answer')} AS from_answer,
+  {_extract_sql('p.generated')} AS from_generated
+FROM ({_SYNTH}) s JOIN ({QA.predictions_sql(_SYNTH)}) p USING (qa_id)""")
+def extract_answer(spark, base):
+    s = _synth(spark, base)
+    p = QA.predictions(s)
+    return s.join(p, "qa_id").select("qa_id", X.extract_final_answer("answer").alias("from_answer"),
+                                     X.extract_final_answer("generated").alias("from_generated"))
+
+
+@register("build_vocab", "WITH " + _VOCAB_CTE + "\nSELECT token, token_id, freq FROM vocab")
+def build_vocab(spark, base):
+    return PR.build_vocab(PR.with_prompts(_train(spark, base)))
+
+
+@register("tokenize_sft", "WITH " + _ENC_CTE + f"""
+SELECT qa_id, {_sql_ids('input_ids')} AS input_ids, n_tokens, CAST(n_prompt AS INTEGER) AS n_prompt,
+       n_label_tokens FROM enc2""")
+def tokenize_sft(spark, base):
+    e = _encoded(spark, base)
+    return e.select("qa_id", _ids_str("input_ids").alias("input_ids"), "n_tokens",
+                    F.col("n_prompt").cast("int").alias("n_prompt"), "n_label_tokens")
+
+
+@register("mask_labels", "WITH " + _ENC_CTE + f"""
+SELECT qa_id, {_sql_ids('labels')} AS labels, n_label_tokens FROM enc2""")
+def mask_labels(spark, base):
+    e = _encoded(spark, base)
+    return e.select("qa_id", _ids_str("labels").alias("labels"), "n_label_tokens")
+
+
+@register("attention_mask", "WITH " + _ENC_CTE + f"""
+SELECT qa_id, {_sql_ids('attention_mask')} AS attention_mask FROM enc2""")
+def attention_mask(spark, base):
+    e = _encoded(spark, base)
+    return e.select("qa_id", _ids_str("attention_mask").alias("attention_mask"))
+
+
+_NB = 64
+_BUCKET = f"(CAST(('0x' || substr(md5(CAST(qa_id AS VARCHAR)), 1, 8)) AS BIGINT) % {_NB})"
+
+
+@register("left_pad_batches", "WITH " + _ENC_CTE + f""",
+b AS (SELECT *, {_BUCKET} AS bucket,
+             CAST(floor((row_number() OVER (PARTITION BY {_BUCKET} ORDER BY qa_id) - 1) / {K.BATCH_SIZE}) AS INTEGER) AS batch_no
+      FROM enc2),
+p AS (SELECT *, max(n_tokens) OVER (PARTITION BY bucket, batch_no) AS padded_len FROM b)
+SELECT qa_id, bucket, batch_no, padded_len, padded_len - n_tokens AS n_pad,
+  {_sql_ids("list_concat(list_transform(range(padded_len - n_tokens), lambda x: 0), input_ids)")} AS input_ids,
+  {_sql_ids("list_concat(list_transform(range(padded_len - n_tokens), lambda x: 0), attention_mask)")} AS attention_mask
+FROM p""")
+def left_pad_batches(spark, base):
+    b = PR.left_pad_batches(_encoded(spark, base), n_buckets=_NB)
+    return b.select("qa_id", "bucket", "batch_no", "padded_len", "n_pad",
+                    _ids_str("input_ids").alias("input_ids"),
+                    _ids_str("attention_mask").alias("attention_mask"))
+
+
+@register("token_stats", "WITH " + _ENC_CTE + f"""
+SELECT (SELECT count(*) FROM train) AS n_samples,
+       round((SELECT avg(floor(length(train_prompt) * {K.TOKENS_PER_CHAR}::DOUBLE)) FROM train), 6) AS est_tokens_avg,
+       round((SELECT avg(n_tokens) FROM enc2), 6) AS real_tokens_avg,
+       (SELECT max(n_tokens) FROM enc2) AS max_tokens""")
+def token_stats(spark, base):
+    train = PR.with_prompts(_train(spark, base))
+    st = PR.token_stats(train, PR.encode(train, PR.build_vocab(train)))
+    return st.select("n_samples", _r("est_tokens_avg").alias("est_tokens_avg"),
+                     _r("real_tokens_avg").alias("real_tokens_avg"), "max_tokens")
+
+
+@register("step_plan", f"""SELECT count(*) AS n_samples,
+  CAST(ceil(count(*) / {K.BATCH_SIZE}) AS BIGINT) AS steps_per_epoch,
+  CAST(ceil(ceil(count(*) / {K.BATCH_SIZE}) * {K.NUM_EPOCHS} / {K.GRAD_ACCUM_STEPS}) AS BIGINT) AS total_steps_trainer,
+  CAST(floor(ceil(count(*) / {K.BATCH_SIZE}) * {K.NUM_EPOCHS} / {K.GRAD_ACCUM_STEPS}) AS BIGINT) AS total_steps_simulation
+FROM ({_TRAIN})""")
+def step_plan(spark, base):
+    return PR.step_plan(_train(spark, base))
+
+
+_SCORED = f"""SELECT s.qa_id, {_extract_sql('p.generated')} AS pred, {_extract_sql('s.answer')} AS truth
+FROM ({_SYNTH}) s LEFT JOIN ({QA.predictions_sql(_SYNTH)}) p USING (qa_id)"""
+
+
+@register("score_predictions", f"""SELECT qa_id, pred, truth,
+  coalesce(pred IS NOT NULL AND pred = truth, false) AS correct FROM ({_SCORED})""")
+def score_predictions(spark, base):
+    s = _synth(spark, base)
+    return EV.score_predictions(QA.predictions(s), s)
+
+
+@register("exact_match_accuracy", f"""SELECT count(*) AS n_total,
+  CAST(coalesce(sum(CASE WHEN pred IS NOT NULL AND pred = truth THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_correct,
+  round(coalesce(sum(CASE WHEN pred IS NOT NULL AND pred = truth THEN 1 ELSE 0 END), 0) / greatest(count(*), 1), 6) AS accuracy
+FROM ({_SCORED})""")
+def exact_match_accuracy(spark, base):
+    s = _synth(spark, base)
+    acc = EV.exact_match_accuracy(EV.score_predictions(QA.predictions(s), s))
+    return acc.select("n_total", "n_correct", _r("accuracy").alias("accuracy"))
+
+
+_ROLLUP = f"""SELECT CAST((floor((event_id) / {K.LOGGING_STEPS}) + 1) * {K.LOGGING_STEPS} AS BIGINT) AS step,
+  count(*) AS n_steps, round(avg(value), 4) AS train_loss
+FROM events GROUP BY floor((event_id) / {K.LOGGING_STEPS})"""
+
+
+@register("loss_rollup", _ROLLUP)
+def loss_rollup(spark, base):
+    return EV.loss_rollup(EV.step_log(TB.read_table(spark, base, "events")))
+
+
+@register("checkpoint_steps", f"SELECT DISTINCT event_id + 1 AS step FROM events "
+                              f"WHERE (event_id + 1) % {K.SAVE_STEPS} = 0")
+def checkpoint_steps(spark, base):
+    return EV.checkpoint_steps(EV.step_log(TB.read_table(spark, base, "events")))
+
+
+_EPOCH_ACC = """SELECT user_id AS run_id,
+  CAST(date_diff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(ts AS DATE)) + 1 AS INTEGER) AS epoch,
+  avg(CASE WHEN event_type = 'purchase' THEN 1.0 ELSE 0.0 END) AS accuracy
+FROM events GROUP BY 1, 2"""
+
+
+@register("best_checkpoints", f"""SELECT run_id, epoch, round(accuracy, 6) AS accuracy,
+  accuracy > greatest(coalesce(max(accuracy) OVER (PARTITION BY run_id ORDER BY epoch
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0), 0.0) AS is_best
+FROM ({_EPOCH_ACC})""")
+def best_checkpoints(spark, base):
+    b = EV.best_checkpoints(EV.epoch_accuracy(TB.read_table(spark, base, "events")))
+    return b.select("run_id", "epoch", _r("accuracy").alias("accuracy"), "is_best")
+
+
+@register("run_summary", f"""SELECT (SELECT count(*) FROM ({_TRAIN})) AS train_samples,
+  (SELECT count(*) FROM (SELECT * FROM ({_PAIRS}) ORDER BY qa_id LIMIT {K.EVAL_SAMPLES})) AS eval_samples,
+  (SELECT arg_max(train_loss, step) FROM ({_ROLLUP})) AS final_train_loss,
+  (SELECT round(coalesce(sum(CASE WHEN pred IS NOT NULL AND pred = truth THEN 1 ELSE 0 END), 0) / greatest(count(*), 1), 6) FROM ({_SCORED})) AS accuracy""")
+def run_summary(spark, base):
+    s = _synth(spark, base)
+    acc = EV.exact_match_accuracy(EV.score_predictions(QA.predictions(s), s))
+    summ = EV.run_summary(_train(spark, base), PR.sample_eval(QA.qa_pairs(spark, base)),
+                          EV.loss_rollup(EV.step_log(TB.read_table(spark, base, "events"))), acc)
+    return summ.select("train_samples", "eval_samples", "final_train_loss",
+                       _r("accuracy").alias("accuracy"))

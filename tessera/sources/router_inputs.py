@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources.qa import LINE_KEY_SQL, line_key
 from tessera.sources.tables import read_table
 
 # Question templates; {q} quantity, {l} line number, {o} order key, {p} part key,
@@ -86,13 +87,13 @@ def router_queries(spark: SparkSession, base: str) -> DataFrame:
     for i, t in enumerate(TEMPLATES):
         text = (F.when(sel == i, template_column(t)) if text is None
                 else text.when(sel == i, template_column(t)))
-    return li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("query_id"),
+    return li.select(line_key().alias("query_id"),
                      sel.cast("int").alias("template_no"), text.alias("query"))
 
 
 def router_queries_sql() -> str:
     cases = " ".join(f"WHEN {i} THEN {template_sql(t)}" for i, t in enumerate(TEMPLATES))
-    return (f"SELECT l_orderkey * 10 + l_linenumber AS query_id, "
+    return (f"SELECT {LINE_KEY_SQL} AS query_id, "
             f"CAST({selector_sql()} AS INTEGER) AS template_no, "
             f"CASE {selector_sql()} {cases} END AS query, "
             f"CAST(l_quantity AS INT) AS q, l_linenumber AS l, l_partkey AS p, "
