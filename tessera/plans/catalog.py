@@ -667,3 +667,83 @@ def run_summary(spark, base):
                           EV.loss_rollup(EV.step_log(TB.read_table(spark, base, "events"))), acc)
     return summ.select("train_samples", "eval_samples", "final_train_loss",
                        _r("accuracy").alias("accuracy"))
+
+
+# ---------------------------------------------------------------------------------------
+# Sources and sinks: every write goes to the shared checkpoint folder and is read back.
+# ---------------------------------------------------------------------------------------
+
+from tessera.session import shared_dir  # noqa: E402
+from tessera.sources import files as FS  # noqa: E402
+from tessera.streaming import router_stream as RS  # noqa: E402
+
+
+@register("src_text_files", "SELECT doc_id, text FROM documents")
+def src_text_files(spark, base):
+    path = shared_dir(spark, "text_files")
+    FS.write_text_files(TB.read_table(spark, base, "documents"), path)
+    return FS.read_text_files(spark, path).select(F.col("doc_id").cast("bigint").alias("doc_id"),
+                                                  "text")
+
+
+@register("export_pyramid_json", O.with_(
+    O.pyramid_cte(),
+    "SELECT doc_id, chunk_no, chunk_id, start_char, end_char, raw_text, summary, category, "
+    "array_to_string(keywords, ',') AS keywords FROM pyramid"))
+def export_pyramid_json(spark, base):
+    path = shared_dir(spark, "pyramid_json")
+    FS.write_json(_parts(spark, base).pyramid, path)
+    back = FS.read_json(spark, path, FS.PYRAMID_SCHEMA)
+    return back.withColumn("keywords", F.array_join("keywords", ","))
+
+
+@register("index_roundtrip", O.with_(
+    O.postings_cte(),
+    "SELECT doc_id, chunk_no, level, term, round(weight, 6) AS weight, round(norm, 6) AS norm "
+    "FROM postings"))
+def index_roundtrip(spark, base):
+    path = shared_dir(spark, "index")
+    FS.write_index(C.build_postings(_parts(spark, base)), path)
+    p = FS.read_index(spark, path)
+    return p.select("doc_id", "chunk_no", "level", "term", _r("weight").alias("weight"),
+                    _r("norm").alias("norm"))
+
+
+@register("search_persisted_index", O.with_(O.search_cte(O.BENCH_QUERIES), _RESULTS))
+def search_persisted_index(spark, base):
+    """Search served from the written index (postings + chunk table read back)."""
+    parts = _parts(spark, base)
+    ipath, cpath = shared_dir(spark, "index"), shared_dir(spark, "chunks")
+    FS.write_index(C.build_postings(parts), ipath)
+    parts.base.select("doc_id", "chunk_no", "chunk_id").write.mode("overwrite").parquet(cpath)
+    return search(TB.benchmark_queries(spark, base), FS.read_index(spark, ipath),
+                  spark.read.parquet(cpath))
+
+
+@register("export_router_log", _rsql(
+    "SELECT query_id, substr(query, 1, 100) AS query, detected, module_used, confidence "
+    "FROM routed"))
+def export_router_log(spark, base):
+    path = shared_dir(spark, "router_log")
+    FS.write_json(call_log(_routed(spark, base)), path)
+    return FS.read_json(spark, path, FS.ROUTER_LOG_SCHEMA)
+
+
+@register("export_metrics_json", _ROLLUP)
+def export_metrics_json(spark, base):
+    path = shared_dir(spark, "metrics_json")
+    FS.write_json(EV.loss_rollup(EV.step_log(TB.read_table(spark, base, "events"))), path)
+    return FS.read_json(spark, path, FS.METRICS_SCHEMA)
+
+
+@register("stream_router_log", _rsql(
+    "SELECT query_id, substr(query, 1, 100) AS query, detected, module_used, confidence "
+    "FROM routed"))
+def stream_router_log(spark, base):
+    """The call log produced by a Structured Streaming query over the query table landed
+    as parquet files (run to completion with an available-now trigger)."""
+    src, sink, ckpt = (shared_dir(spark, n) for n in ("stream_src", "stream_sink", "stream_ckpt"))
+    router_queries(spark, base).select("query_id", "query").write.mode("overwrite").parquet(src)
+    q = RS.start_router_log(spark, src, sink, ckpt)
+    q.awaitTermination()
+    return spark.read.schema(FS.ROUTER_LOG_SCHEMA).parquet(sink)
