@@ -37,9 +37,11 @@ def summarise(text, n_sentences: int = K.SUMMARY_SENTENCES) -> Column:
     return F.array_join(F.slice(kept, 1, n_sentences), " ")
 
 
-def category_scores(text, rules=K.CATEGORY_RULES) -> list[Column]:
-    """Per category: number of distinct rule keywords occurring as substrings."""
-    lower = F.lower(_col(text))
+def category_scores(text, rules=K.CATEGORY_RULES, lowered: bool = False) -> list[Column]:
+    """Per category: number of distinct rule keywords occurring as substrings.
+    ``lowered=True`` when ``text`` is already lower-cased (pass a column computed once:
+    every keyword test reads it)."""
+    lower = _col(text) if lowered else F.lower(_col(text))
     scores = []
     for _, keywords in rules:
         hits = [F.when(F.instr(lower, kw) > 0, 1).otherwise(0) for kw in keywords]
@@ -50,9 +52,10 @@ def category_scores(text, rules=K.CATEGORY_RULES) -> list[Column]:
     return scores
 
 
-def categorise(text, rules=K.CATEGORY_RULES, fallback: str = K.FALLBACK_CATEGORY) -> Column:
+def categorise(text, rules=K.CATEGORY_RULES, fallback: str = K.FALLBACK_CATEGORY,
+               lowered: bool = False) -> Column:
     """Highest-scoring category; ties go to the earlier rule; all zero -> fallback."""
-    scores = category_scores(text, rules)
+    scores = category_scores(text, rules, lowered)
     best = F.greatest(*scores) if len(scores) > 1 else scores[0]
     expr = F.when(best <= 0, F.lit(fallback))
     for (name, _), score in zip(rules, scores):

@@ -66,8 +66,10 @@ class PyramidParts:
         self.keywords = top_terms(counts, top_k, key=CHUNK_KEY + meta).drop(*meta)
         summary = (summariser(F.col("raw_text")) if summariser
                    else X.summarise("raw_text", n_sentences))
-        self.base = shared.select("*", summary.alias("summary"),
-                                  X.categorise("raw_text", rules).alias("category"))
+        # lower-case once in its own projection; the category rules test it many times
+        lowered = shared.select("*", F.lower("raw_text").alias("_lower"))
+        self.base = lowered.select(*CHUNK_KEY, *meta, "raw_text", summary.alias("summary"),
+                                   X.categorise("_lower", rules, lowered=True).alias("category"))
 
     @property
     def pyramid(self) -> DataFrame:

@@ -69,7 +69,9 @@ def cosine_scores(qvec: DataFrame, postings: DataFrame, level: str | None = None
     composite = (F.lit(w["raw"]) * F.col("raw_score")
                  + F.lit(w["summary"]) * F.col("summary_score")
                  + F.lit(w["keywords"]) * F.col("keywords_score"))
-    matched = X.first_max_label([(lv, F.col(f"{lv}_score")) for lv in K.LEVELS])
+    # argmax on scores rounded like the ranking: equal vectors summed in another order
+    # must still tie (and a tie goes to the earlier level)
+    matched = X.first_max_label([(lv, F.round(f"{lv}_score", RANK_DIGITS)) for lv in K.LEVELS])
     return scored.select("*", composite.alias("composite"), matched.alias("matched_level"))
 
 

@@ -187,8 +187,9 @@ cos AS (
 scores AS (
   SELECT *, {lw['raw']}::DOUBLE * raw_score + {lw['summary']}::DOUBLE * summary_score
             + {lw['keywords']}::DOUBLE * keywords_score AS composite,
-         CASE WHEN raw_score >= summary_score AND raw_score >= keywords_score THEN 'raw'
-              WHEN summary_score >= keywords_score THEN 'summary'
+         CASE WHEN round(raw_score, 10) >= round(summary_score, 10)
+                   AND round(raw_score, 10) >= round(keywords_score, 10) THEN 'raw'
+              WHEN round(summary_score, 10) >= round(keywords_score, 10) THEN 'summary'
               ELSE 'keywords' END AS matched_level
   FROM cos
 ),

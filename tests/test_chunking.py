@@ -1,0 +1,67 @@
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tessera.operators.chunking import chunk_documents, window_bounds
+
+
+def _chunks(spark, texts, page=800, pages=2, overlap=150):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = chunk_documents(docs, page, pages, overlap).collect()
+    return sorted(rows, key=lambda r: (r.doc_id, r.chunk_no))
+
+
+def test_demo_golden_windows(spark, demo_text, pyramid_golden):
+    rows = _chunks(spark, [demo_text])
+    assert [r.chunk_id for r in rows] == [g["chunk_id"] for g in pyramid_golden]
+    assert [r.text for r in rows] == [g["raw_text"] for g in pyramid_golden]
+    assert [(r.start_char, r.end_char) for r in rows] == [(0, 1593), (1443, 3040), (2890, 4483),
+                                                          (4333, 5075)]
+
+
+def test_edge_rows(spark):
+    docs = spark.createDataFrame([(0, ""), (1, "   \n  "), (2, None), (3, "x" * 1600)],
+                                 "doc_id long, text string")
+    rows = chunk_documents(docs, 800, 2, 150).collect()
+    by_doc = {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+    assert 0 not in by_doc and 2 not in by_doc          # empty and NULL: no chunk
+    assert [r.text for r in by_doc[1]] == [""]          # blank: one empty chunk
+    assert len(by_doc[3]) == 1                          # length == window: one chunk
+
+
+def test_hard_cuts_without_spaces(spark):
+    rows = _chunks(spark, ["y" * 10000])
+    starts = [r.start_char for r in rows]
+    assert starts == [0, 1450, 2900, 4350, 5800, 7250, 8700]
+    assert all(r.end_char - r.start_char <= 1600 for r in rows)
+
+
+def test_progress_guard_space_inside_overlap():
+    # the only space sits inside the first `overlap` characters: cut hard, keep moving
+    text = "a" * 100 + " " + "b" * 3000
+    b = window_bounds(text, 1600, 150)
+    assert b[0]["end"] == 1600
+    assert all(x["start"] < y["start"] for x, y in zip(b, b[1:]))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab \n.é", max_size=3000), st.integers(2, 60), st.integers(0, 40))
+def test_window_invariants(text, window, overlap):
+    if overlap >= window:
+        return
+    b = window_bounds(text, window, overlap)
+    if not text:
+        assert b == []
+        return
+    assert b[0]["start"] == 0 and b[-1]["end"] == len(text)
+    for x, y in zip(b, b[1:]):
+        assert y["start"] == x["end"] - overlap          # consecutive overlap
+        assert y["start"] > x["start"]                   # progress
+    for x in b:
+        assert 0 < x["end"] - x["start"] <= window
+        assert text[x["lo"]:x["hi"]] == text[x["start"]:x["end"]].strip()
+    covered = set()
+    for x in b:
+        covered.update(range(x["start"], x["end"]))
+    assert covered == set(range(len(text)))             # every character is in a window
