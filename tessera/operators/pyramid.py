@@ -36,7 +36,7 @@ def term_counts(df: DataFrame, tokens: Column, level: str,
 def top_terms(counts: DataFrame, k: int, key: list[str] = CHUNK_KEY) -> DataFrame:
     """Top-k terms per chunk by count; equal counts keep first-occurrence order.
     Each group holds the distinct terms of one chunk, which a window bounds."""
-    ranked = F.array_sort(F.collect_list(
+    ranked = F.sort_array(F.collect_list(
         F.struct((-F.col("cnt")).alias("neg_cnt"), F.col("first_pos"), F.col("term"))))
     return (counts.groupBy(*key)
             .agg(F.transform(F.slice(ranked, 1, k), lambda s: s["term"]).alias("keywords")))

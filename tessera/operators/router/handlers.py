@@ -52,9 +52,18 @@ def result(query_type: str | Column, answer: Column, confidence: float | Column,
 
 @dataclass
 class Module:
+    """``prepare`` (optional) returns named intermediate columns; the router computes them
+    once, in a projection of their own, on the rows the module is selected for, and the
+    handler reads them with :func:`prepared`.  Use it for values a handler references
+    several times, which Spark would otherwise recompute inside each conditional branch."""
     name: str
     can_handle: Callable[[Column], Column]
     handle: Callable[[Column, Column], Column]
+    prepare: Callable[[Column, Column], dict] | None = None
+
+
+def prepared(module: str, key: str) -> Column:
+    return F.col(f"_{module}_{key}")
 
 
 def _py_list(arr: Column) -> Column:
@@ -72,10 +81,25 @@ def _ci(pattern: str) -> str:
 _EDGE_WS = r"^\s+|\s+$"
 
 
-def math_handle(query: Column, selected: Column) -> Column:
+def math_prepare(query: Column, selected: Column) -> dict:
     run = F.regexp_replace(F.regexp_extract(query, K.ARITH_RUN_PATTERN, 1), _EDGE_WS, "")
     has_op = run.rlike(r"[+\-*/]")
-    arith = arithmetic(F.when(selected & has_op, run))
+    lower = F.lower(query)
+    op = None
+    for name, pattern in K.WORD_OPERATIONS:
+        op = (F.when(lower.rlike(pattern), F.lit(name)) if op is None
+              else op.when(lower.rlike(pattern), F.lit(name)))
+    return {
+        "run": run,
+        "arith": arithmetic(F.when(selected & has_op, run)),
+        "numbers": F.regexp_extract_all(query, F.lit(K.WORD_NUMBER_PATTERN), 0),
+        "op": op.otherwise(F.lit("unknown")),
+    }
+
+
+def math_handle(query: Column, selected: Column) -> Column:
+    run, arith = prepared("math", "run"), prepared("math", "arith")
+    numbers, op = prepared("math", "numbers"), prepared("math", "op")
     arith_ok = arith["answer"].isNotNull()
     arith_res = result(
         "math", F.concat(F.lit("The answer is "), arith["answer"]), K.MATH_ARITH_CONFIDENCE,
@@ -83,13 +107,6 @@ def math_handle(query: Column, selected: Column) -> Column:
                 F.concat(F.lit("Computed: "), run, F.lit(" = "), arith["computed"])),
         expression=run, result=arith["value"])
 
-    numbers = F.regexp_extract_all(query, F.lit(K.WORD_NUMBER_PATTERN), 0)
-    lower = F.lower(query)
-    op = None
-    for name, pattern in K.WORD_OPERATIONS:
-        op = (F.when(lower.rlike(pattern), F.lit(name)) if op is None
-              else op.when(lower.rlike(pattern), F.lit(name)))
-    op = op.otherwise(F.lit("unknown"))
     a = F.try_element_at(numbers, F.lit(1)).cast("double")
     b = F.try_element_at(numbers, F.lit(2)).cast("double")
     symbol = (F.when(op == "addition", "+").when(op == "subtraction", "-")
@@ -114,12 +131,12 @@ def math_handle(query: Column, selected: Column) -> Column:
     return F.when(arith_ok, arith_res).otherwise(word_res)
 
 
-MATH = Module("math", lambda t: t == "math", math_handle)
+MATH = Module("math", lambda t: t == "math", math_handle, math_prepare)
 
 
 # -- legal (R10) ------------------------------------------------------------------------
 
-def legal_handle(query: Column, selected: Column) -> Column:
+def legal_prepare(query: Column, selected: Column) -> dict:
     counts = [(name, F.regexp_count(query, F.lit(_ci(p)))) for name, p in K.LEGAL_DOMAINS]
     best = F.greatest(*[c for _, c in counts])
     domain = None
@@ -128,6 +145,11 @@ def legal_handle(query: Column, selected: Column) -> Column:
     lower = F.lower(query)
     found = F.filter(F.array(*[F.lit(j) for j in K.JURISDICTIONS]),
                      lambda j: F.instr(lower, F.lower(j)) > 0)
+    return {"domain": domain, "found": found}
+
+
+def legal_handle(query: Column, selected: Column) -> Column:
+    domain, found = prepared("legal", "domain"), prepared("legal", "found")
     any_j = F.size(found) > 0
     answer = F.concat(
         F.lit("This appears to be a "), domain, F.lit(" law question"),
@@ -144,7 +166,7 @@ def legal_handle(query: Column, selected: Column) -> Column:
     return result("legal", answer, K.LEGAL_CONFIDENCE, trace, domain=domain, jurisdiction=found)
 
 
-LEGAL = Module("legal", lambda t: t == "legal", legal_handle)
+LEGAL = Module("legal", lambda t: t == "legal", legal_handle, legal_prepare)
 
 
 # -- code (R11) -------------------------------------------------------------------------
@@ -157,9 +179,13 @@ def _first_match(query: Column, table, default: str) -> Column:
     return expr.otherwise(F.lit(default))
 
 
+def code_prepare(query: Column, selected: Column) -> dict:
+    return {"lang": _first_match(query, K.CODE_LANGUAGES, "general"),
+            "task": _first_match(query, K.CODE_TASKS, "general")}
+
+
 def code_handle(query: Column, selected: Column) -> Column:
-    lang = _first_match(query, K.CODE_LANGUAGES, "general")
-    task = _first_match(query, K.CODE_TASKS, "general")
+    lang, task = prepared("code", "lang"), prepared("code", "task")
     answer = F.concat(F.lit("This is a "), lang, F.lit(" "), task, F.lit(
         " question. [Code reasoning module would generate a structured, syntax-highlighted "
         "solution here, with complexity analysis and best-practice notes.]"))
@@ -169,7 +195,7 @@ def code_handle(query: Column, selected: Column) -> Column:
     return result("code", answer, K.CODE_CONFIDENCE, trace, language=lang, task=task)
 
 
-CODE = Module("code", lambda t: t == "code", code_handle)
+CODE = Module("code", lambda t: t == "code", code_handle, code_prepare)
 
 
 # -- science (R12) and general (R13) ------------------------------------------------------

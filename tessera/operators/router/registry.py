@@ -57,6 +57,17 @@ class Router:
         staged = df.select("*", *[c.alias(n) for n, c in cls.items()])
         staged = staged.withColumnRenamed("query_type", "detected")
         qt = F.col("detected")
+        # per-module intermediate columns, computed once on the rows the module serves
+        taken = F.lit(False)
+        prep_cols = []
+        for m in self.modules:
+            ok = m.can_handle(qt)
+            if m.prepare is not None:
+                for key, col in m.prepare(q, ok & ~taken).items():
+                    prep_cols.append(F.when(ok & ~taken, col).alias(f"_{m.name}_{key}"))
+            taken = taken | ok
+        if prep_cols:
+            staged = staged.select("*", *prep_cols)
         used = None
         res = None
         taken = F.lit(False)
@@ -70,7 +81,8 @@ class Router:
         fallback = GENERAL.handle(q, ~taken)
         used = F.lit(GENERAL.name) if used is None else used.otherwise(F.lit(GENERAL.name))
         res = fallback if res is None else res.otherwise(fallback)
-        routed = staged.select("*", used.alias("module_used"), res.alias("result"))
+        internal = [c for c in staged.columns if c.startswith("_") and c not in df.columns]
+        routed = staged.select("*", used.alias("module_used"), res.alias("result")).drop(*internal)
         return routed.select("*", F.col("result.answer").alias("answer"),
                              F.col("result.confidence").alias("confidence"),
                              F.col("result.reasoning").alias("reasoning"))

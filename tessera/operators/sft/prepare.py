@@ -6,20 +6,22 @@
 * The vocabulary is the ``max_size`` most frequent tokens; token counts are aggregated with
   map-side combine, and only the bounded top list is ranked.  Its size bound is what makes
   broadcasting it for encoding safe.
-* Encoding keeps the token positions below ``max_len`` (truncation happens before the
-  join), looks ids up with a broadcast hash join against the bounded vocabulary and
-  regroups per example; the examples are hash-partitioned by id first, so the explode, the
-  join and the regrouping all stay in one stage.
+* Encoding is a narrow map over Arrow batches: tokens are looked up in the bounded
+  vocabulary, broadcast once to every executor.  Rows never regroup, so nothing shuffles.
 """
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions import constants as K
 from tessera.functions import text as X
-from tessera.session import parallelism
+from tessera.session import spread
 
 # Word-character runs or one other non-blank character (explicit classes, so the same
 # pattern means the same thing to every regex engine).
@@ -27,6 +29,7 @@ TOKEN_PATTERN = r"[A-Za-z0-9_]+|[^ \t\n\r\f\x0BA-Za-z0-9_]"
 PAD_ID, UNK_ID = 0, 1
 SPECIAL = ["<pad>", "<unk>"]
 DEFAULT_VOCAB = 32000
+DEFAULT_VOCAB_LIMIT = 1_000_000   # hard bound on what encode() will broadcast
 
 
 def sample_key(id_col: str = "qa_id", seed: int = K.SEED) -> Column:
@@ -79,26 +82,47 @@ def build_vocab(corpus: DataFrame, text_col: str = "train_prompt",
     return special.unionByName(ranked.select("token", "token_id", "freq"))
 
 
+ENCODED_TYPE = T.StructType([
+    T.StructField("input_ids", T.ArrayType(T.IntegerType())),
+    T.StructField("n_prompt", T.IntegerType()),
+])
+
+
+def _encoder(vocab_bc, max_len: int):
+    pattern = re.compile(TOKEN_PATTERN)
+
+    def encode_batch(train: pd.Series, prompt: pd.Series) -> pd.DataFrame:
+        table = vocab_bc.value
+        ids, n_prompt = [], []
+        for full, head in zip(train, prompt):
+            toks = pattern.findall(full)[:max_len] if isinstance(full, str) else []
+            ids.append([table.get(t, UNK_ID) for t in toks])
+            n_prompt.append(min(len(pattern.findall(head)), max_len) if isinstance(head, str) else 0)
+        return pd.DataFrame({"input_ids": ids, "n_prompt": n_prompt})
+
+    return F.pandas_udf(encode_batch, ENCODED_TYPE)
+
+
 def encode(examples: DataFrame, vocab: DataFrame, max_len: int = K.MAX_SEQ_LEN,
            id_col: str = "qa_id") -> DataFrame:
     """T4 + T5 + T6: ``input_ids`` (train prompt, truncated to ``max_len``), ``n_prompt``
     (inference prompt length, also truncated), ``labels`` (first ``n_prompt`` positions
     -100), ``attention_mask`` (ids != pad) and ``n_label_tokens``.
 
-    The prompt's tokens are a prefix of the train prompt's tokens (the prompt ends with a
-    line break), so the prompt length is a count, not a second encoding."""
-    ex = (examples.repartition(parallelism(examples.sparkSession), id_col)
-          .select(id_col, tokens("train_prompt").alias("_toks"),
-                  F.least(F.size(tokens("inference_prompt")), F.lit(max_len)).alias("n_prompt")))
-    exploded = ex.select(id_col, "n_prompt", F.posexplode("_toks").alias("pos", "token")) \
-        .where(F.col("pos") < max_len)
-    # The vocabulary is bounded by its max_size, so broadcasting it is safe.
-    looked_up = exploded.join(F.broadcast(vocab.select("token", "token_id")), "token", "left")
-    grouped = (looked_up.groupBy(id_col, "n_prompt")
-               .agg(F.array_sort(F.collect_list(F.struct(
-                   "pos", F.coalesce("token_id", F.lit(UNK_ID)).alias("id")))).alias("_ids")))
-    ids = F.transform("_ids", lambda s: s["id"])
-    out = grouped.select(id_col, "n_prompt", ids.alias("input_ids"))
+    Encoding is a narrow, vectorised map: each Arrow batch of prompts is tokenised with the
+    same pattern and looked up in the vocabulary, shipped once to every executor as a
+    broadcast variable.  That is safe because the vocabulary is bounded by its
+    ``max_size`` (checked here).  No explode, no regrouping, no shuffle.  The prompt's
+    tokens are a prefix of the train prompt's tokens (the prompt ends with a line break),
+    so the prompt length is a count."""
+    spark = examples.sparkSession
+    rows = vocab.select("token", "token_id").collect()
+    if len(rows) > DEFAULT_VOCAB_LIMIT:
+        raise ValueError(f"vocabulary of {len(rows)} entries exceeds {DEFAULT_VOCAB_LIMIT}")
+    vocab_bc = spark.sparkContext.broadcast({r.token: r.token_id for r in rows})
+    enc = _encoder(vocab_bc, max_len)(F.col("train_prompt"), F.col("inference_prompt"))
+    out = spread(examples).select(id_col, enc.alias("_e")).select(
+        id_col, F.col("_e.input_ids").alias("input_ids"), F.col("_e.n_prompt").alias("n_prompt"))
     labels = F.transform("input_ids", lambda x, i: F.when(i < F.col("n_prompt"),
                                                             F.lit(K.LABEL_IGNORE_ID)).otherwise(x))
     mask = F.transform("input_ids", lambda x: F.when(x == PAD_ID, 0).otherwise(1))

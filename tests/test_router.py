@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from tessera.operators.router.arith import evaluate
-from tessera.operators.router.handlers import math_handle
+from tessera.operators.router.handlers import math_handle, math_prepare
 from tessera.operators.router.registry import call_log, default_router
 
 from conftest import one_col
@@ -40,6 +40,8 @@ def test_arithmetic_detection(spark):
 
 def test_word_problem_edges(spark):
     df = one_col(spark, ["Share 5 by 0", "just 7 here"], "query")
+    prep = math_prepare(F.col("query"), F.lit(True))
+    df = df.select("query", *[c.alias(f"_math_{k}") for k, c in prep.items()])
     got = [r.a for r in df.select(math_handle(F.col("query"), F.lit(True))["answer"].alias("a"))
            .collect()]
     assert got == ["Based on analysis: Cannot divide by zero.",
