@@ -58,9 +58,14 @@ def main() -> None:
     _run(region.select(F.pandas_udf(lambda s: s.str.len(), "long")("r_name")))
 
     docs = spread(TB.documents(spark, sf_dir))
-    parts = PyramidParts(chunk_documents(docs))
-
-    timed("pyramid", lambda: _run(parts.pyramid))
+    holder = {}
+
+    def pyramid():
+        # PyramidParts writes the partitioned chunk table (checkpoint) when built
+        holder["parts"] = PyramidParts(chunk_documents(docs))
+        _run(holder["parts"].pyramid)
+    timed("pyramid", pyramid)
+    parts = holder["parts"]
     counts["chunks"] = parts.base.count()
 
     index_path = shared_dir(spark, "bench_index")

@@ -25,16 +25,26 @@ def tokenize(text) -> Column:
 
 _SENTENCE_SPLIT = r"(?<=[.!?])\s+"
 _EDGE_WS = r"^\s+|\s+$"
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+
+def strip(text) -> Column:
+    """Remove leading and trailing whitespace (space, tab, line feed, carriage return,
+    vertical tab, form feed)."""
+    return F.btrim(_col(text), F.lit(WHITESPACE))
 
 
 def summarise(text, n_sentences: int = K.SUMMARY_SENTENCES) -> Column:
     """First ``n`` sentences: split after ``.``/``!``/``?`` followed by whitespace, drop
-    blank pieces, join with one space."""
-    body = F.regexp_replace(_col(text), _EDGE_WS, "")
-    pieces = F.transform(F.split(body, _SENTENCE_SPLIT, -1),
-                         lambda s: F.regexp_replace(s, _EDGE_WS, ""))
-    kept = F.filter(pieces, lambda s: s != "")
-    return F.array_join(F.slice(kept, 1, n_sentences), " ")
+    blank pieces, join with one space.
+
+    The split stops after ``n`` separators (the remainder stays one piece), so only the
+    head of a long text is scanned.  Pieces of a stripped text are never blank (a
+    whitespace run is consumed whole by one separator), so the first ``n`` pieces of the
+    limited split are the first ``n`` non-blank pieces of a full split."""
+    pieces = F.transform(F.split(strip(text), _SENTENCE_SPLIT, n_sentences + 1), strip)
+    kept = F.filter(F.slice(pieces, 1, n_sentences), lambda s: s != "")
+    return F.array_join(kept, " ")
 
 
 def category_scores(text, rules=K.CATEGORY_RULES, lowered: bool = False) -> list[Column]:

@@ -10,12 +10,13 @@ per source document, which is what indexing one document at a time gives.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import constants as K
 from tessera.functions import text as X
 from tessera.operators.pyramid import CHUNK_KEY, PyramidParts, term_counts
+from tessera.session import materialize
 
 SCOPES = ("corpus", "document")
 
@@ -77,7 +78,8 @@ def inverse_document_frequency(df: DataFrame, totals: DataFrame, scope: str) ->
                          (F.log((F.col("n_chunks") + 1) / (F.col("df") + 1)) + 1.0).alias("idf"))
 
 
-def build_postings(parts: PyramidParts, scope: str = "corpus", levels=K.LEVELS) -> DataFrame:
+def build_postings(parts: PyramidParts, scope: str = "corpus", levels=K.LEVELS,
+                   checkpoint: bool = True) -> DataFrame:
     """A4 + A5: ``postings(doc_id, chunk_no, level, term, tf, idf, weight, norm)``.
 
     ``norm`` (the chunk's vector length at that level) is carried on every posting so a
@@ -87,15 +89,20 @@ def build_postings(parts: PyramidParts, scope: str = "corpus", levels=K.LEVELS)
     """
     cols = _scope_cols(scope)
     tf = term_frequency(level_counts(parts, levels))
+    if checkpoint:
+        # tf feeds both the document frequencies and the weights: write it once
+        tf = materialize(tf)
     idf = inverse_document_frequency(document_frequency(tf, scope), chunk_totals(parts, scope),
                                      scope)
     keys = cols + ["level", "term"]
     weighted = (tf.join(idf.select(*keys, "idf"), keys, "inner")
                 .select(*CHUNK_KEY, "level", "term", "tf", "idf",
                         (F.col("tf") * F.col("idf")).alias("weight")))
-    per_vector = Window.partitionBy(*CHUNK_KEY, "level")
-    return weighted.withColumn("norm", F.sqrt(F.sum(F.col("weight") * F.col("weight"))
-                                              .over(per_vector)))
+    # Vector lengths: a partially aggregated group-by (one row per chunk and level leaves
+    # each task) joined back, instead of a window that would shuffle and sort every posting.
+    norms = (weighted.groupBy(*CHUNK_KEY, "level")
+             .agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm")))
+    return weighted.join(norms, CHUNK_KEY + ["level"], "inner")
 
 
 def vector_norms(postings: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import constants as K
 from tessera.functions import text as X
-from tessera.session import parallelism
+from tessera.session import materialize, parallelism
 
 CHUNK_KEY = ["doc_id", "chunk_no"]
 
@@ -43,7 +43,7 @@ def top_terms(counts: DataFrame, k: int, key: list[str] = CHUNK_KEY) -> DataFram
 
 
 class PyramidParts:
-    """The pieces of the pyramid over one chunk table, all read from one exchange.
+    """The pieces of the pyramid over one chunk table, all read from one partitioned copy.
 
     ``base``: chunk key, chunk_id, start_char, end_char, raw_text, summary, category.
     ``raw_counts``: raw-level term counts ``(doc_id, chunk_no, level, n_tokens, term, cnt,
@@ -51,13 +51,18 @@ class PyramidParts:
     """
 
     def __init__(self, chunks: DataFrame, top_k: int = K.KEYWORDS_TOP_K, summariser=None,
-                 rules=K.CATEGORY_RULES, n_sentences: int = K.SUMMARY_SENTENCES):
+                 rules=K.CATEGORY_RULES, n_sentences: int = K.SUMMARY_SENTENCES,
+                 checkpoint: bool = True):
         meta = ["chunk_id", "start_char", "end_char"]
         # Explicit partition count: text stages are CPU-bound, so the exchange must not
         # be coalesced by byte size into a few tasks.
         shared = (chunks.where(F.col("doc_id").isNotNull())
                   .repartition(parallelism(chunks.sparkSession), *CHUNK_KEY)
                   .select(*CHUNK_KEY, *meta, F.col("text").alias("raw_text")))
+        if checkpoint:
+            # every layer, the pyramid join and the index read this table: write it once
+            # (hash-partitioned by chunk key) rather than re-running the window step per use
+            shared = materialize(shared)
         # The small chunk attributes ride along as grouping columns so that every branch
         # reads the very same exchange (Spark reuses it instead of re-running the window
         # step for each consumer).

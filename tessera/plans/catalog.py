@@ -442,15 +442,16 @@ ranked AS (SELECT token, CAST(row_number() OVER (ORDER BY freq DESC, token) + 1
 vocab AS (SELECT '<pad>' AS token, 0 AS token_id, 0 AS freq UNION ALL SELECT '<unk>', 1, 0
           UNION ALL SELECT token, token_id, freq FROM ranked WHERE token_id < {PR.DEFAULT_VOCAB})"""
 _ENC_CTE = _VOCAB_CTE + f""",
+train_rows AS (SELECT *, row_number() OVER () AS rid FROM train),
 toks AS (
-  SELECT qa_id, least(len(regexp_extract_all(inference_prompt, {_TOK})), {K.MAX_SEQ_LEN}) AS n_prompt,
+  SELECT rid, qa_id, least(len(regexp_extract_all(inference_prompt, {_TOK})), {K.MAX_SEQ_LEN}) AS n_prompt,
          u.token, u.pos - 1 AS pos
-  FROM train t, unnest(regexp_extract_all(t.train_prompt, {_TOK})) WITH ORDINALITY AS u(token, pos)
+  FROM train_rows t, unnest(regexp_extract_all(t.train_prompt, {_TOK})) WITH ORDINALITY AS u(token, pos)
 ),
 enc AS (
   SELECT qa_id, n_prompt, list(coalesce(v.token_id, 1) ORDER BY pos) AS input_ids
   FROM toks LEFT JOIN vocab v USING (token) WHERE pos < {K.MAX_SEQ_LEN}
-  GROUP BY qa_id, n_prompt
+  GROUP BY rid, qa_id, n_prompt
 ),
 enc2 AS (
   SELECT *, list_transform(input_ids, lambda x, i: CASE WHEN i - 1 < n_prompt THEN {K.LABEL_IGNORE_ID} ELSE x END) AS labels,

@@ -85,3 +85,28 @@ def spread(df, spark: SparkSession | None = None):
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The SparkContext checkpoint folder: ``spark.checkpoint.dir`` when the cluster names
+    one; a fresh temporary folder only for a local session that has none (tests)."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        base = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    sc.setCheckpointDir(base)
+    return sc.getCheckpointDir()
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` to the shared checkpoint folder now and continue from the
+    written copy.  Used where one intermediate feeds several branches of a plan (Spark would
+    otherwise recompute it per branch).  The written copy keeps ``df``'s partitioning, and
+    a lost executor costs a re-read, not a recomputation from the source."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
