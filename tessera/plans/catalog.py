@@ -408,7 +408,13 @@ def shipping_router() -> Router:
     return default_router().register(shipping, rules=[SHIPPING_RULE], before="general")
 
 
-@register("route_custom_module", None)
+_SHIP_ROUTED = O.routed_cte(router_queries_sql(), _ARITH_CASES, extra=[
+    ("shipping", [SHIPPING_RULE], "'Logistics lookup for: ' || query", 0.65,
+     "['Detected shipping query']")])
+
+
+@register("route_custom_module", "WITH " + _SHIP_ROUTED.lstrip() +
+          "\nSELECT query_id, detected, module_used, answer, confidence FROM routed")
 def route_custom_module(spark, base):
     r = shipping_router().route(_rq(spark, base))
     return r.select("query_id", "detected", "module_used", "answer", "confidence")

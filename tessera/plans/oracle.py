@@ -239,7 +239,7 @@ def _py_list_sql(expr: str) -> str:
             ", lambda x: chr(39) || x || chr(39)), ', ') || ']'")
 
 
-def routed_cte(source_sql: str, arith_cases: str) -> str:
+def routed_cte(source_sql: str, arith_cases: str, extra=()) -> str:
     """``src`` -> ``cls`` (scores, flags, detected) -> ``routed`` (module, answer, ...).
 
     ``arith_cases``: SQL producing ``arith_answer``, ``arith_computed``, ``arith_value``
@@ -249,7 +249,13 @@ def routed_cte(source_sql: str, arith_cases: str) -> str:
         parts = [f"len(regexp_extract_all(lower(query), {_re(p)}, 0, 'i'))" for p in pats]
         score_sql.append((t, "CAST(" + (" + ".join(parts) if parts else "0") + " AS DOUBLE)"))
     s = dict(score_sql)
-    active = [t for t in K.QUERY_TYPES if t != "general"]
+    # extra: (type, patterns, answer SQL, confidence, trace SQL) for registered modules
+    # whose rules come after the built-in ones (before the general fallback)
+    extra_scores = "".join(
+        ", CAST(" + " + ".join(f"len(regexp_extract_all(lower(query), {_re(p)}, 0, 'i'))"
+                               for p in pats) + f" AS DOUBLE) AS score_{t}"
+        for t, pats, _, _, _ in extra)
+    active = [t for t in K.QUERY_TYPES if t != "general"] + [t for t, *_ in extra]
     best = "greatest(" + ", ".join(f"score_{t}" for t in active) + ")"
     winner = (f"CASE WHEN {best} <= 0 THEN 'general' " +
               " ".join(f"WHEN score_{t} = {best} THEN '{t}'" for t in active) +
@@ -264,11 +270,14 @@ def routed_cte(source_sql: str, arith_cases: str) -> str:
                               for n, p in K.CODE_LANGUAGES) + " ELSE 'general' END"
     task = "CASE " + " ".join(f"WHEN regexp_matches(query, {_re(p)}, 'i') THEN '{n}'"
                               for n, p in K.CODE_TASKS) + " ELSE 'general' END"
+    ex_ans = "".join(f" WHEN '{t}' THEN {a}" for t, _, a, _, _ in extra)
+    ex_conf = "".join(f" WHEN '{t}' THEN {c}" for t, _, _, c, _ in extra)
+    ex_trace = "".join(f" WHEN '{t}' THEN {tr}" for t, _, _, _, tr in extra)
     return f"""
 src AS ({source_sql}),
 sc AS (
   SELECT *, {s['math']} AS pm, {s['legal']} AS score_legal, {s['code']} AS pc,
-         {s['science']} AS score_science,
+         {s['science']} AS score_science{extra_scores},
          regexp_matches(query, '\\b\\d+\\b') AS has_numbers,
          regexp_matches(query, '[\\+\\-\\*\\/\\=\\^]') AS has_operator,
          (contains(query, '```') OR contains(query, 'def ')) AS has_code,
@@ -327,13 +336,13 @@ routed AS (
       WHEN 'code' THEN 'This is a ' || language || ' ' || task || ' question. [Code reasoning '
         || 'module would generate a structured, syntax-highlighted solution here, with '
         || 'complexity analysis and best-practice notes.]'
-      WHEN 'science' THEN {_q(K.SCIENCE_ANSWER)}
+      WHEN 'science' THEN {_q(K.SCIENCE_ANSWER)}{ex_ans}
       ELSE {_q(K.GENERAL_PREFIX)} || query END AS answer,
     CAST(CASE detected
       WHEN 'math' THEN CASE WHEN arith_answer IS NOT NULL THEN {K.MATH_ARITH_CONFIDENCE}
                             ELSE {K.MATH_WORD_CONFIDENCE} END
       WHEN 'legal' THEN {K.LEGAL_CONFIDENCE} WHEN 'code' THEN {K.CODE_CONFIDENCE}
-      WHEN 'science' THEN {K.SCIENCE_CONFIDENCE} ELSE {K.GENERAL_CONFIDENCE} END AS DOUBLE)
+      WHEN 'science' THEN {K.SCIENCE_CONFIDENCE}{ex_conf} ELSE {K.GENERAL_CONFIDENCE} END AS DOUBLE)
       AS confidence,
     CASE detected
       WHEN 'math' THEN CASE WHEN arith_answer IS NOT NULL THEN
@@ -352,7 +361,7 @@ routed AS (
           'Applying citation-aware response template']
       WHEN 'code' THEN ['Detected language: ' || language, 'Detected task type: ' || task,
           'Activating code reasoning path with syntax-aware response']
-      WHEN 'science' THEN [{', '.join(_q(x) for x in K.SCIENCE_TRACE)}]
+      WHEN 'science' THEN [{', '.join(_q(x) for x in K.SCIENCE_TRACE)}]{ex_trace}
       ELSE [{', '.join(_q(x) for x in K.GENERAL_TRACE)}] END AS reasoning
   FROM mth3
 )"""
