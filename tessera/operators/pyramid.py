@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import constants as K
 from tessera.functions import text as X
-from tessera.session import materialize, parallelism
+from tessera.session import materialize, text_partitions
 
 CHUNK_KEY = ["doc_id", "chunk_no"]
 
@@ -54,10 +54,10 @@ class PyramidParts:
                  rules=K.CATEGORY_RULES, n_sentences: int = K.SUMMARY_SENTENCES,
                  checkpoint: bool = True):
         meta = ["chunk_id", "start_char", "end_char"]
-        # Explicit partition count: text stages are CPU-bound, so the exchange must not
-        # be coalesced by byte size into a few tasks.
+        # Explicit partition count (grows with the input splits): text stages are
+        # CPU-bound, so the exchange must not be coalesced by byte size into few tasks.
         shared = (chunks.where(F.col("doc_id").isNotNull())
-                  .repartition(parallelism(chunks.sparkSession), *CHUNK_KEY)
+                  .repartition(text_partitions(chunks), *CHUNK_KEY)
                   .select(*CHUNK_KEY, *meta, F.col("text").alias("raw_text")))
         if checkpoint:
             # every layer, the pyramid join and the index read this table: write it once

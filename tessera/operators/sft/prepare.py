@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tessera.functions import constants as K
 from tessera.functions import text as X
-from tessera.session import spread
+from tessera.session import spread, text_partitions
 
 # Word-character runs or one other non-blank character (explicit classes, so the same
 # pattern means the same thing to every regex engine).
@@ -138,11 +138,15 @@ def bucket_of(id_col: str, n_buckets: int) -> Column:
             .cast("bigint") % n_buckets)
 
 
-def left_pad_batches(encoded: DataFrame, batch_size: int = K.BATCH_SIZE, n_buckets: int = 64,
-                     id_col: str = "qa_id") -> DataFrame:
+def left_pad_batches(encoded: DataFrame, batch_size: int = K.BATCH_SIZE,
+                     n_buckets: int | None = None, id_col: str = "qa_id") -> DataFrame:
     """Batches of ``batch_size`` inside md5 buckets (rows numbered per bucket, never
     over the whole table); each sequence is left-padded with pad ids to its batch's
-    longest length, the attention mask with zeros."""
+    longest length, the attention mask with zeros.  ``n_buckets`` defaults to the larger
+    of the task slots and the encoded table's partition count, so a bucket's window
+    stays about one partition in size."""
+    if n_buckets is None:
+        n_buckets = text_partitions(encoded)
     bucket = bucket_of(id_col, n_buckets)
     rn = F.row_number().over(Window.partitionBy("bucket").orderBy(id_col))
     b = encoded.select("*", bucket.alias("bucket")).withColumn(

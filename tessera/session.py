@@ -76,6 +76,13 @@ def parallelism(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, shuffle)
 
 
+def text_partitions(df) -> int:
+    """Partition count for a CPU-heavy text stage fed by ``df``: at least the task slots,
+    and twice the number of input splits, so the count grows with the input (each split
+    is bounded by ``spark.sql.files.maxPartitionBytes``)."""
+    return max(parallelism(df.sparkSession), 2 * df.rdd.getNumPartitions())
+
+
 def spread(df, spark: SparkSession | None = None):
     """Round-robin an input that arrives in fewer partitions than there are task slots
     (e.g. one unsplittable file) so a CPU-heavy step after it runs on all cores.  A large
