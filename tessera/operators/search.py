@@ -42,11 +42,13 @@ def query_vectors(queries: DataFrame, id_col: str = "query_id",
     return tf.withColumn("qnorm", F.sqrt(F.sum(F.col("qtf") * F.col("qtf")).over(per_query)))
 
 
-def cosine_scores(qvec: DataFrame, postings: DataFrame, level: str | None = None) -> DataFrame:
+def cosine_scores(qvec: DataFrame, postings: DataFrame, level: str | None = None,
+                  weights: dict | None = None) -> DataFrame:
     """Q3 + Q4 + Q5 for every (query, chunk) pair sharing at least one term.
 
     ``(query_id, doc_id, chunk_no, raw_score, summary_score, keywords_score, composite,
     matched_level)``.  With ``level`` set, other levels score 0 but keep their weights.
+    ``weights`` overrides the level weights of the composite.
     """
     if level is not None and level not in K.LEVELS:
         raise ValueError(f"level must be one of {K.LEVELS}")
@@ -63,7 +65,7 @@ def cosine_scores(qvec: DataFrame, postings: DataFrame, level: str | None = None
                           (F.col("qnorm") * F.col(f"norm_{lv}") + F.lit(K.COSINE_EPSILON)),
                           F.lit(0.0))
            for lv in K.LEVELS}
-    w = K.LEVEL_WEIGHTS
+    w = dict(K.LEVEL_WEIGHTS, **(weights or {}))
     scored = grouped.select("query_id", *CHUNK_KEY,
                             *[cos[lv].alias(f"{lv}_score") for lv in K.LEVELS])
     composite = (F.lit(w["raw"]) * F.col("raw_score")
@@ -83,7 +85,8 @@ def _top_k(df: DataFrame, k: int) -> DataFrame:
 
 
 def search(queries: DataFrame, postings: DataFrame, chunks: DataFrame, top_k: int = K.SEARCH_TOP_K,
-           level: str | None = None, id_col: str = "query_id", text_col: str = "query") -> DataFrame:
+           level: str | None = None, id_col: str = "query_id", text_col: str = "query",
+           weights: dict | None = None) -> DataFrame:
     """Q6-Q8: top-k chunks per query.
 
     ``chunks`` supplies the chunk ids and the index order for zero-score fill
@@ -91,7 +94,7 @@ def search(queries: DataFrame, postings: DataFrame, chunks: DataFrame, top_k: in
     chunk_id, score (4 dp), level``; ties in the composite go to the higher index.
     """
     qvec = query_vectors(queries, id_col, text_col)
-    hits = _top_k(cosine_scores(qvec, postings, level), top_k) \
+    hits = _top_k(cosine_scores(qvec, postings, level, weights), top_k) \
         .select("query_id", *CHUNK_KEY, "composite", "matched_level")
     # Zero-score fill: the k highest-index chunks of the index, as one array value.
     fill_pool = (chunks.select(*CHUNK_KEY).orderBy(F.col("doc_id").desc(), F.col("chunk_no").desc())

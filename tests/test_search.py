@@ -59,3 +59,16 @@ def test_cosine_range(spark, demo_index):
                       F.greatest("raw_score", "summary_score", "keywords_score").alias("hi")) \
         .agg(F.min("lo"), F.max("hi")).first()
     assert lo >= 0.0 and hi <= 1.0 + 1e-12
+
+
+def test_tunable_weights_and_summariser(spark, demo_text):
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame([(0, demo_text)], "doc_id long, text string")
+    # a replacement summariser (first 40 characters) and raw-only weights
+    parts = PyramidParts(chunk_documents(docs, 800, 2, 150),
+                         summariser=lambda c: F.substring(c, 1, 40))
+    assert all(len(r.summary) <= 40 for r in parts.base.collect())
+    q = spark.createDataFrame([(0, Q1)], "query_id long, query string")
+    rows = search(q, build_postings(parts), parts.base, top_k=1,
+                  weights={"raw": 1.0, "summary": 0.0, "keywords": 0.0}).collect()
+    assert rows[0].chunk_id == "9d872ef5" and rows[0].level == "raw"
