@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import constants as K
+from tessera.session import spread
 from tessera.sources.tables import read_table
 
 # A line item is identified by order, line number, part and supplier together (order and
@@ -76,7 +77,9 @@ def _result_expr(kind: str, a: str, b: str) -> str:
 
 
 def synthesize_qa(spark: SparkSession, base: str) -> DataFrame:
-    li = read_table(spark, base, "lineitem")
+    # spread the narrow numeric rows before any text is built from them
+    li = spread(read_table(spark, base, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     a, b = F.expr(_A), F.expr(_B)
     t = F.expr(_T)
     vals = {"a": a, "b": b, "d": a * b}

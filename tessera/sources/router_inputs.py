@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.sources.qa import LINE_KEY_SQL, line_key
+from tessera.session import spread
 from tessera.sources.tables import read_table
 
 # Question templates; {q} quantity, {l} line number, {o} order key, {p} part key,
@@ -81,7 +82,9 @@ def selector_sql() -> str:
 
 def router_queries(spark: SparkSession, base: str) -> DataFrame:
     """``(query_id, template_no, query)``, one row per line item."""
-    li = read_table(spark, base, "lineitem")
+    # spread the narrow numeric rows before any text is built from them
+    li = spread(read_table(spark, base, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax"))
     sel = F.pmod(F.col("l_orderkey") * 7 + F.col("l_linenumber"), F.lit(len(TEMPLATES)))
     text = None
     for i, t in enumerate(TEMPLATES):
