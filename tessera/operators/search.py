@@ -94,18 +94,25 @@ def search(queries: DataFrame, postings: DataFrame, chunks: DataFrame, top_k: in
     chunk_id, score (4 dp), level``; ties in the composite go to the higher index.
     """
     qvec = query_vectors(queries, id_col, text_col)
-    hits = _top_k(cosine_scores(qvec, postings, level, weights), top_k) \
-        .select("query_id", *CHUNK_KEY, "composite", "matched_level")
-    # Zero-score fill: the k highest-index chunks of the index, as one array value.
+    hits = (_top_k(cosine_scores(qvec, postings, level, weights), top_k)
+            .select("query_id", *CHUNK_KEY, "composite", "matched_level",
+                    F.lit(1).alias("scored")))
+    # Zero-score fill: the k highest-index chunks of the index, as one array value, offered
+    # to every query that has tokens.  A chunk that is both a hit and a fill candidate keeps
+    # its scored row; the collapse runs over at most 2k rows per query, and `hits` is
+    # referenced once, so the scoring is not planned twice.
     fill_pool = (chunks.select(*CHUNK_KEY).orderBy(F.col("doc_id").desc(), F.col("chunk_no").desc())
                  .limit(top_k)
                  .agg(F.collect_list(F.struct(*CHUNK_KEY)).alias("pool")))
     with_tokens = qvec.select("query_id").distinct()
     fill = (with_tokens.select("query_id", F.explode(fill_pool.select("pool").scalar()).alias("c"))
-            .select("query_id", "c.doc_id", "c.chunk_no",
-                    F.lit(0.0).alias("composite"), F.lit("raw").alias("matched_level"))
-            .join(hits, ["query_id", *CHUNK_KEY], "left_anti"))
-    ranked = _top_k(hits.unionByName(fill), top_k)
+            .select("query_id", "c.doc_id", "c.chunk_no", F.lit(0.0).alias("composite"),
+                    F.lit("raw").alias("matched_level"), F.lit(0).alias("scored")))
+    best = F.max_by(F.struct("composite", "matched_level"), "scored")
+    candidates = (hits.unionByName(fill).groupBy("query_id", *CHUNK_KEY)
+                  .agg(best.alias("b"))
+                  .select("query_id", *CHUNK_KEY, "b.composite", "b.matched_level"))
+    ranked = _top_k(candidates, top_k)
     ids = chunks.select(*CHUNK_KEY, "chunk_id")
     return (ranked.join(ids, CHUNK_KEY, "inner")
             .select("query_id", F.col("rank").cast("int").alias("rank"), *CHUNK_KEY, "chunk_id",
