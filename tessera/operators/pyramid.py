@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import constants as K
 from tessera.functions import text as X
-from tessera.session import materialize, text_partitions
+from tessera.session import materialize_bucketed, text_partitions
 
 CHUNK_KEY = ["doc_id", "chunk_no"]
 
@@ -56,13 +56,16 @@ class PyramidParts:
         meta = ["chunk_id", "start_char", "end_char"]
         # Explicit partition count (grows with the input splits): text stages are
         # CPU-bound, so the exchange must not be coalesced by byte size into few tasks.
+        n = text_partitions(chunks)
         shared = (chunks.where(F.col("doc_id").isNotNull())
-                  .repartition(text_partitions(chunks), *CHUNK_KEY)
                   .select(*CHUNK_KEY, *meta, F.col("text").alias("raw_text")))
         if checkpoint:
-            # every layer, the pyramid join and the index read this table: write it once
-            # (hash-partitioned by chunk key) rather than re-running the window step per use
-            shared = materialize(shared)
+            # every layer, the pyramid join and the index read this table: write it once,
+            # bucketed by chunk key, so every reader keeps the chunk-key partitioning and
+            # the window step never re-runs
+            shared = materialize_bucketed(shared, n, CHUNK_KEY, "tessera_chunks")
+        else:
+            shared = shared.repartition(n, *CHUNK_KEY)
         # The small chunk attributes ride along as grouping columns so that every branch
         # reads the very same exchange (Spark reuses it instead of re-running the window
         # step for each consumer).

@@ -117,3 +117,16 @@ def materialize(df):
     a lost executor costs a re-read, not a recomputation from the source."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize_bucketed(df, n_buckets: int, cols: list[str], prefix: str = "tessera_tmp"):
+    """Write ``df`` to the shared folder as an external table bucketed on ``cols`` and
+    read it back.  Unlike a checkpoint, the read keeps the hash partitioning on ``cols``,
+    so later aggregations and joins keyed by (a superset of) ``cols`` need no shuffle.
+    The rows are hash-partitioned to ``n_buckets`` first, so each task writes one file."""
+    spark = df.sparkSession
+    name = f"{prefix}_{uuid.uuid4().hex[:12]}"
+    path = shared_dir(spark, name, unique=False)
+    (df.repartition(n_buckets, *cols).write.mode("overwrite")
+     .bucketBy(n_buckets, *cols).option("path", path).saveAsTable(name))
+    return spark.table(name)
