@@ -71,8 +71,10 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 
 def write_index(postings: DataFrame, path: str) -> None:
     """Postings as parquet, one folder per level (a level filter prunes folders) and
-    sorted by term inside each file (row-group statistics then skip terms)."""
-    (postings.repartition("level", "term").sortWithinPartitions("level", "term")
+    sorted by term inside each file (row-group statistics then skip terms).  No shuffle:
+    hash-partitioning by term would put every posting of a very frequent term into one
+    task, so each task sorts and writes its own postings."""
+    (postings.sortWithinPartitions("level", "term")
      .write.mode("overwrite").partitionBy("level").parquet(path))
 
 
