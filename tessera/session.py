@@ -77,10 +77,10 @@ def parallelism(spark: SparkSession) -> int:
 
 
 def text_partitions(df) -> int:
-    """Partition count for a CPU-heavy text stage fed by ``df``: at least the task slots,
-    and twice the number of input splits, so the count grows with the input (each split
-    is bounded by ``spark.sql.files.maxPartitionBytes``)."""
-    return max(parallelism(df.sparkSession), 2 * df.rdd.getNumPartitions())
+    """Partition count for a CPU-heavy text stage fed by ``df``: at least the task slots
+    (``defaultParallelism``), and twice the number of input splits, so the count grows
+    with the input (each split is bounded by ``spark.sql.files.maxPartitionBytes``)."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, 2 * df.rdd.getNumPartitions())
 
 
 def spread(df, spark: SparkSession | None = None):
