@@ -85,9 +85,9 @@ def main() -> None:
     counts["route_rows"] = rq.count()
 
     def sft():
-        qa = PR.with_prompts(QA.synthesize_qa(spark, sf_dir))
-        vocab = PR.build_vocab(PR.sample_train(qa))
-        _run(PR.left_pad_batches(PR.encode(qa, vocab)))
+        qa = QA.synthesize_qa(spark, sf_dir)
+        vocab = PR.build_vocab(PR.with_prompts(PR.sample_train(qa)))
+        _run(PR.encode_batches(qa, vocab))
     timed("tokenize_sft", sft)
     counts["sft_rows"] = TB.read_table(spark, sf_dir, "lineitem").count()
 

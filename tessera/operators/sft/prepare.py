@@ -104,7 +104,7 @@ def _encoder(vocab_bc, max_len: int):
 
 
 def encode(examples: DataFrame, vocab: DataFrame, max_len: int = K.MAX_SEQ_LEN,
-           id_col: str = "qa_id") -> DataFrame:
+           id_col: str = "qa_id", keep: tuple = ()) -> DataFrame:
     """T4 + T5 + T6: ``input_ids`` (train prompt, truncated to ``max_len``), ``n_prompt``
     (inference prompt length, also truncated), ``labels`` (first ``n_prompt`` positions
     -100), ``attention_mask`` (ids != pad) and ``n_label_tokens``.
@@ -121,12 +121,13 @@ def encode(examples: DataFrame, vocab: DataFrame, max_len: int = K.MAX_SEQ_LEN,
         raise ValueError(f"vocabulary of {len(rows)} entries exceeds {DEFAULT_VOCAB_LIMIT}")
     vocab_bc = spark.sparkContext.broadcast({r.token: r.token_id for r in rows})
     enc = _encoder(vocab_bc, max_len)(F.col("train_prompt"), F.col("inference_prompt"))
-    out = spread(examples).select(id_col, enc.alias("_e")).select(
-        id_col, F.col("_e.input_ids").alias("input_ids"), F.col("_e.n_prompt").alias("n_prompt"))
+    out = spread(examples).select(id_col, *keep, enc.alias("_e")).select(
+        id_col, *keep, F.col("_e.input_ids").alias("input_ids"),
+        F.col("_e.n_prompt").alias("n_prompt"))
     labels = F.transform("input_ids", lambda x, i: F.when(i < F.col("n_prompt"),
                                                             F.lit(K.LABEL_IGNORE_ID)).otherwise(x))
     mask = F.transform("input_ids", lambda x: F.when(x == PAD_ID, 0).otherwise(1))
-    out = out.select(id_col, "input_ids", "n_prompt", labels.alias("labels"),
+    out = out.select(id_col, *keep, "input_ids", "n_prompt", labels.alias("labels"),
                      mask.alias("attention_mask"))
     return out.select("*", F.size("input_ids").alias("n_tokens"),
                       F.greatest(F.size("input_ids") - F.col("n_prompt"), F.lit(0))
@@ -145,12 +146,12 @@ def left_pad_batches(encoded: DataFrame, batch_size: int = K.BATCH_SIZE,
     longest length, the attention mask with zeros.  ``n_buckets`` defaults to the larger
     of the task slots and the encoded table's partition count, so a bucket's window
     stays about one partition in size."""
-    if n_buckets is None:
-        n_buckets = text_partitions(encoded)
-    bucket = bucket_of(id_col, n_buckets)
+    if "bucket" not in encoded.columns:
+        if n_buckets is None:
+            n_buckets = text_partitions(encoded)
+        encoded = encoded.select("*", bucket_of(id_col, n_buckets).alias("bucket"))
     rn = F.row_number().over(Window.partitionBy("bucket").orderBy(id_col))
-    b = encoded.select("*", bucket.alias("bucket")).withColumn(
-        "batch_no", F.floor((rn - 1) / batch_size).cast("int"))
+    b = encoded.withColumn("batch_no", F.floor((rn - 1) / batch_size).cast("int"))
     longest = F.max("n_tokens").over(Window.partitionBy("bucket", "batch_no"))
     b = b.withColumn("padded_len", longest)
     n_pad = F.col("padded_len") - F.col("n_tokens")
@@ -185,3 +186,13 @@ def step_plan(train: DataFrame, batch_size: int = K.BATCH_SIZE,
         n.alias("n_samples"), spe.cast("long").alias("steps_per_epoch"),
         F.ceil(spe * epochs / grad_accum).cast("long").alias("total_steps_trainer"),
         F.floor(spe * epochs / grad_accum).cast("long").alias("total_steps_simulation"))
+
+
+def encode_batches(qa: DataFrame, vocab: DataFrame, max_len: int = K.MAX_SEQ_LEN,
+                   batch_size: int = K.BATCH_SIZE, n_buckets: int | None = None,
+                   id_col: str = "qa_id") -> DataFrame:
+    """T4-T7 in one plan: prompts, encoding and masks (narrow maps), then left-padded
+    batches (one shuffle by bucket; the Python encoding step does not report its input's
+    partitioning to the planner, so partitioning earlier would only add a shuffle)."""
+    encoded = encode(with_prompts(qa), vocab, max_len, id_col)
+    return left_pad_batches(encoded, batch_size, n_buckets, id_col)

@@ -584,7 +584,8 @@ SELECT qa_id, bucket, batch_no, padded_len, padded_len - n_tokens AS n_pad,
   {_sql_ids("list_concat(list_transform(range(padded_len - n_tokens), lambda x: 0), attention_mask)")} AS attention_mask
 FROM p""")
 def left_pad_batches(spark, base):
-    b = PR.left_pad_batches(_encoded(spark, base), n_buckets=_NB)
+    train = _train(spark, base)
+    b = PR.encode_batches(train, PR.build_vocab(PR.with_prompts(train)), n_buckets=_NB)
     return b.select("qa_id", "bucket", "batch_no", "padded_len", "n_pad",
                     _ids_str("input_ids").alias("input_ids"),
                     _ids_str("attention_mask").alias("attention_mask"))
