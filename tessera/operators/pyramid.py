@@ -1,10 +1,10 @@
 """Four-layer pyramid per chunk (Q1): raw text, summary, category and keywords.
 
-Layout: the chunk table is hash-partitioned once on the chunk key ``(doc_id, chunk_no)``.
-Every later per-chunk step (the token explode, the per-(chunk, term) counts, the keyword
-top-k and the join back to the chunk row) is keyed by a superset of that key, so Spark
-plans all of them inside the same stage with no further exchange.  A chunk is at most one
-window long, so no single group can grow with the data.
+Layout: the chunk table is hash-partitioned once on the chunk key ``(doc_id, chunk_no)``
+and written once as a table bucketed on that key.  Every later per-chunk step (the token
+explode, the per-(chunk, term) counts, the keyword top-k and the join back to the chunk
+row) is keyed by a superset of that key, so Spark plans all of them without a further
+exchange.  A chunk is at most one window long, so no single group can grow with the data.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ def top_terms(counts: DataFrame, k: int, key: list[str] = CHUNK_KEY) -> DataFram
 
 
 class PyramidParts:
-    """The pieces of the pyramid over one chunk table, all read from one partitioned copy.
+    """The pieces of the pyramid over one chunk table, all read from one bucketed copy.
 
     ``base``: chunk key, chunk_id, start_char, end_char, raw_text, summary, category.
     ``raw_counts``: raw-level term counts ``(doc_id, chunk_no, level, n_tokens, term, cnt,
@@ -55,7 +55,7 @@ class PyramidParts:
                  checkpoint: bool = True):
         meta = ["chunk_id", "start_char", "end_char"]
         # Explicit partition count (grows with the input splits): text stages are
-        # CPU-bound, so the exchange must not be coalesced by byte size into few tasks.
+        # CPU-bound, so they must not be coalesced by byte size into a few tasks.
         n = text_partitions(chunks)
         shared = (chunks.where(F.col("doc_id").isNotNull())
                   .select(*CHUNK_KEY, *meta, F.col("text").alias("raw_text")))
@@ -66,12 +66,8 @@ class PyramidParts:
             shared = materialize_bucketed(shared, n, CHUNK_KEY, "tessera_chunks")
         else:
             shared = shared.repartition(n, *CHUNK_KEY)
-        # The small chunk attributes ride along as grouping columns so that every branch
-        # reads the very same exchange (Spark reuses it instead of re-running the window
-        # step for each consumer).
-        counts = term_counts(shared, X.tokenize("raw_text"), "raw", key=CHUNK_KEY + meta)
-        self.raw_counts = counts.drop(*meta)
-        self.keywords = top_terms(counts, top_k, key=CHUNK_KEY + meta).drop(*meta)
+        self.raw_counts = term_counts(shared, X.tokenize("raw_text"), "raw")
+        self.keywords = top_terms(self.raw_counts, top_k)
         summary = (summariser(F.col("raw_text")) if summariser
                    else X.summarise("raw_text", n_sentences))
         # lower-case once in its own projection; the category rules test it many times
