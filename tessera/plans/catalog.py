@@ -690,8 +690,10 @@ from tessera.streaming import router_stream as RS  # noqa: E402
 def src_text_files(spark, base):
     path = shared_dir(spark, "text_files")
     FS.write_text_files(TB.read_table(spark, base, "documents"), path)
-    return FS.read_text_files(spark, path).select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                                                  "text")
+    files = FS.read_text_files(spark, path)
+    # the text writer ended each file with one line break: drop exactly that one
+    text = F.expr("substring(text, 1, length(text) - 1)")
+    return files.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
 
 
 @register("export_pyramid_json", O.with_(
@@ -720,12 +722,9 @@ def index_roundtrip(spark, base):
 @register("search_persisted_index", O.with_(O.search_cte(O.BENCH_QUERIES), _RESULTS))
 def search_persisted_index(spark, base):
     """Search served from the written index (postings + chunk table read back)."""
-    parts = _parts(spark, base)
-    ipath, cpath = shared_dir(spark, "index"), shared_dir(spark, "chunks")
-    FS.write_index(C.build_postings(parts), ipath)
-    parts.base.select("doc_id", "chunk_no", "chunk_id").write.mode("overwrite").parquet(cpath)
-    return search(TB.benchmark_queries(spark, base), FS.read_index(spark, ipath),
-                  spark.read.parquet(cpath))
+    from tessera.plans.ingest import ingest_documents, search_index
+    paths = ingest_documents(TB.documents(spark, base), shared_dir(spark, "ingested"))
+    return search_index(spark, paths, TB.benchmark_queries(spark, base))
 
 
 @register("export_router_log", _rsql(

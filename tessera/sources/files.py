@@ -41,20 +41,17 @@ METRICS_SCHEMA = T.StructType([
 # -- S1: whole-file text documents -----------------------------------------------------------
 
 def write_text_files(docs: DataFrame, path: str) -> None:
-    """One folder per document id, the text as the file body (a trailing line break is
-    added by the text writer and removed again by :func:`read_text_files`)."""
+    """One folder per document id with the text as the file body.  Spark's text writer
+    ends every record with a line break, so each file is the text plus ``\n``."""
     docs.select("doc_id", "text").write.mode("overwrite").partitionBy("doc_id").text(path)
 
 
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
-    """Every file under ``path`` as one row ``(file_path, text)`` (UTF-8, whole file);
-    partition folders such as ``doc_id=7`` become columns."""
+    """Every file under ``path`` as one row ``(file_path, text)``: the whole file,
+    verbatim (UTF-8); partition folders such as ``doc_id=7`` become columns."""
     raw = spark.read.text(path, wholetext=True)
-    body = F.col("value")
-    text = F.when(body.endswith("\n"), F.expr("substring(value, 1, length(value) - 1)")) \
-        .otherwise(body)
     return raw.select("*", F.col("_metadata.file_path").alias("file_path"),
-                      text.alias("text")).drop("value")
+                      F.col("value").alias("text")).drop("value")
 
 
 # -- S3 / S5 / S7: JSON lines -----------------------------------------------------------------

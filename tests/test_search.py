@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,3 +74,19 @@ def test_tunable_weights_and_summariser(spark, demo_text):
     rows = search(q, build_postings(parts), parts.base, top_k=1,
                   weights={"raw": 1.0, "summary": 0.0, "keywords": 0.0}).collect()
     assert rows[0].chunk_id == "9d872ef5" and rows[0].level == "raw"
+
+
+def test_ingest_files_and_search(spark, demo_text):
+    from tessera.plans.ingest import ingest_files, read_pyramid, search_index
+    from tessera.session import shared_dir
+    src = shared_dir(spark, "demo_files")
+    os.makedirs(src)
+    with open(os.path.join(src, "demo.txt"), "w", encoding="utf-8") as fh:
+        fh.write(demo_text)
+    paths = ingest_files(spark, src, shared_dir(spark, "demo_index"), page_chars=800,
+                         window_pages=2, overlap_chars=150)
+    assert sorted(r.chunk_id for r in read_pyramid(spark, paths).collect()) == \
+        sorted(["79475df8", "dedf3169", "167689dc", "9d872ef5"])
+    q = spark.createDataFrame([(0, Q3)], "query_id long, query string")
+    top = search_index(spark, paths, q, top_k=1).first()
+    assert (top.chunk_id, top.score, top.level) == ("167689dc", 0.2643, "summary")
