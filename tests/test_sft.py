@@ -59,3 +59,15 @@ def test_loss_rollup_blocks(spark):
     rows = EV.loss_rollup(steps, every=50).orderBy("step").collect()
     assert [(r.step, r.n_steps, r.train_loss) for r in rows] == [(50, 50, 2.0), (100, 50, 2.0),
                                                                   (150, 20, 2.0)]
+
+
+def test_py_float_str_matches_python_repr(spark):
+    import random
+    from tessera.functions.text import py_float_str
+    rng = random.Random(7)
+    vals = [0.0, 28.0, 960.0, 0.3, 0.1 + 0.2, 1 / 3, 1e-4, 9999999999999998.0, 12345.678]
+    vals += [round(rng.uniform(-1e6, 1e6), rng.randint(0, 6)) for _ in range(300)]
+    vals += [rng.uniform(1e-4, 1e15) for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r.s for r in df.select(py_float_str("x").alias("s")).collect()]
+    assert got == [str(v) for v in vals]
