@@ -32,6 +32,14 @@ from tessera.sources import tables as TB  # noqa: E402
 from tessera.sources.router_inputs import router_queries  # noqa: E402
 
 
+def _sf_value(sf_dir: str):
+    name = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def _run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -94,7 +102,7 @@ def main() -> None:
     total = round(sum(timings.values()), 3)
     out = {
         "metric": "total_headline_seconds", "value": total, "unit": "sec",
-        "queries": timings, "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
+        "queries": timings, "sf": _sf_value(sf_dir),
         "cpus": cpus,
         "throughput": {
             "pyramid_chunks_per_sec": round(counts["chunks"] / max(timings["pyramid"], 1e-9), 1),
