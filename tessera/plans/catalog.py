@@ -754,3 +754,17 @@ def stream_router_log(spark, base):
     q = RS.start_router_log(spark, src, sink, ckpt)
     q.awaitTermination()
     return spark.read.schema(FS.ROUTER_LOG_SCHEMA).parquet(sink)
+
+
+@register("stream_search", O.with_(O.search_cte(O.BENCH_QUERIES), _RESULTS))
+def stream_search(spark, base):
+    """Benchmark queries landed as parquet files and searched by a Structured Streaming
+    query (per micro-batch, against the persisted index), then read back."""
+    from tessera.plans.ingest import ingest_documents
+    from tessera.streaming.search_stream import start_search_stream
+    paths = ingest_documents(TB.documents(spark, base), shared_dir(spark, "stream_index"))
+    src, sink, ckpt = (shared_dir(spark, n) for n in ("qstream_src", "qstream_sink", "qstream_ckpt"))
+    TB.benchmark_queries(spark, base).write.mode("overwrite").parquet(src)
+    start_search_stream(spark, src, paths, sink, ckpt).awaitTermination()
+    return spark.read.parquet(sink).select("query_id", "rank", "doc_id", "chunk_no", "chunk_id",
+                                           "score", "level")
