@@ -69,13 +69,6 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return path
 
 
-def parallelism(spark: SparkSession) -> int:
-    """Task slots to aim for in CPU-heavy text stages: the larger of the cluster's
-    default parallelism and ``spark.sql.shuffle.partitions``."""
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(spark.sparkContext.defaultParallelism, shuffle)
-
-
 def text_partitions(df) -> int:
     """Partition count for a CPU-heavy text stage fed by ``df``: at least the task slots
     (``defaultParallelism``), and twice the number of input splits, so the count grows
