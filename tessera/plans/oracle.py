@@ -293,8 +293,8 @@ cls AS (
     pm + CASE WHEN has_numbers AND has_operator THEN 3.0 ELSE 0.0 END
        + CASE WHEN how_math THEN 1.0 ELSE 0.0 END AS score_math,
     pc + CASE WHEN has_code THEN 3.0 ELSE 0.0 END AS score_code,
-    CASE WHEN qword IS NOT NULL AND NOT how_math AND qword IN ('who', 'where', 'when')
-         THEN 0.5 ELSE 0.0 END AS score_general
+    CAST(CASE WHEN qword IS NOT NULL AND NOT how_math AND qword IN ('who', 'where', 'when')
+         THEN 0.5 ELSE 0.0 END AS DOUBLE) AS score_general
   FROM sc2
 ),
 cls2 AS (SELECT *, {winner} AS detected FROM cls),
