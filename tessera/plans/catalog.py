@@ -524,8 +524,9 @@ def format_prompts(spark, base):
                                                             "inference_prompt")
 
 
-_EXTRACT_SQL = ("coalesce(nullif(replace(regexp_extract({c}, '####\\s*([\\d,\\.\\-]+)', 1), ',', ''), ''), "
-                "replace(regexp_extract_all({c}, '\\b\\d[\\d,\\.]*\\b')[-1], ',', ''))")
+_EXTRACT_SQL = ("CASE WHEN regexp_matches({c}, '####\\s*[\\d,\\.\\-]+') "
+                "THEN replace(regexp_extract({c}, '####\\s*([\\d,\\.\\-]+)', 1), ',', '') "
+                "ELSE replace(regexp_extract_all({c}, '\\b\\d[\\d,\\.]*\\b')[-1], ',', '') END")
 
 
 def _extract_sql(c: str) -> str:

@@ -52,6 +52,8 @@ def _digest(rows):
 def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--plain", action="store_true",
+                    help="use a default SparkSession (no tuned settings, no checkpoint dir)")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     import importlib.util
@@ -62,7 +64,13 @@ def main():
     spec.loader.exec_module(entry)
     queries, sqls = entry.queries(), entry.oracle_sql()
     names = args.names or list(queries)
-    spark = build_session(shuffle_partitions=8)
+    if args.plain:
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session(shuffle_partitions=8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{args.sf}/{t}.parquet')")
