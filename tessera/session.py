@@ -120,6 +120,6 @@ def materialize_bucketed(df, n_buckets: int, cols: list[str], prefix: str = "tes
     spark = df.sparkSession
     name = f"{prefix}_{uuid.uuid4().hex[:12]}"
     path = shared_dir(spark, name, unique=False)
-    (df.repartition(n_buckets, *cols).write.mode("overwrite")
+    (df.repartition(n_buckets, *cols).write.format("parquet").mode("overwrite")
      .bucketBy(n_buckets, *cols).option("path", path).saveAsTable(name))
     return spark.table(name)
