@@ -116,7 +116,8 @@ def encode(examples: DataFrame, vocab: DataFrame, max_len: int = K.MAX_SEQ_LEN,
     tokens are a prefix of the train prompt's tokens (the prompt ends with a line break),
     so the prompt length is a count."""
     spark = examples.sparkSession
-    rows = vocab.select("token", "token_id").collect()
+    # never pull more than the limit to the driver, whatever vocabulary is passed in
+    rows = vocab.select("token", "token_id").limit(DEFAULT_VOCAB_LIMIT + 1).collect()
     if len(rows) > DEFAULT_VOCAB_LIMIT:
         raise ValueError(f"vocabulary of {len(rows)} entries exceeds {DEFAULT_VOCAB_LIMIT}")
     vocab_bc = spark.sparkContext.broadcast({r.token: r.token_id for r in rows})

@@ -37,7 +37,8 @@ def build_session(master: str | None = None, app: str = "tessera",
     settings.setdefault("spark.driver.memory", "8g")
     if conf:
         settings.update(conf)
-    if "spark.checkpoint.dir" not in settings:
+    if "spark.checkpoint.dir" not in settings and (master or "local").startswith("local"):
+        # local runs (tests, bench) only; a cluster must name a shared folder
         settings["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="tessera-ckpt-")
     for key, value in settings.items():
         builder = builder.config(key, value)
