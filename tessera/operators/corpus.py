@@ -29,18 +29,26 @@ def _scope_cols(scope: str) -> list[str]:
 
 def level_counts(parts: PyramidParts, levels=K.LEVELS) -> DataFrame:
     """Term counts of every requested level: ``(doc_id, chunk_no, level, n_tokens, term,
-    cnt)``.  Keywords are distinct tokens already, so each counts once."""
+    cnt)``.  Keywords are distinct tokens already, so each counts once.
+
+    The raw and keyword levels come from one pass over the ranked raw counts: each term
+    row expands into its raw row and, when it ranks in the top k, its keyword row (an
+    explode of a two-element array, so the raw text is tokenised once)."""
     out = []
+    raw_kw = []
     if "raw" in levels:
-        out.append(parts.raw_counts.select(*CHUNK_KEY, "level", "n_tokens", "term", "cnt"))
+        raw_kw.append(F.struct(F.lit("raw").alias("level"), F.col("n_tokens"), F.col("cnt")))
+    if "keywords" in levels:
+        raw_kw.append(F.when(F.col("kw_rank") <= parts.top_k, F.struct(
+            F.lit("keywords").alias("level"), F.col("n_keywords").alias("n_tokens"),
+            F.lit(1).cast("long").alias("cnt"))))
+    if raw_kw:
+        rows = parts.ranked_counts.select(
+            *CHUNK_KEY, "term", F.explode(F.array_compact(F.array(*raw_kw))).alias("x"))
+        out.append(rows.select(*CHUNK_KEY, "x.level", "x.n_tokens", "term", "x.cnt"))
     if "summary" in levels:
         out.append(term_counts(parts.base, X.tokenize("summary"), "summary")
                    .select(*CHUNK_KEY, "level", "n_tokens", "term", "cnt"))
-    if "keywords" in levels:
-        out.append(parts.keywords.select(
-            *CHUNK_KEY, F.lit("keywords").alias("level"),
-            F.size("keywords").alias("n_tokens"), F.explode("keywords").alias("term"),
-            F.lit(1).cast("long").alias("cnt")))
     result = out[0]
     for df in out[1:]:
         result = result.unionByName(df)

@@ -9,7 +9,7 @@ exchange.  A chunk is at most one window long, so no single group can grow with
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import constants as K
@@ -33,13 +33,21 @@ def term_counts(df: DataFrame, tokens: Column, level: str,
             .agg(F.count(F.lit(1)).alias("cnt"), F.min("pos").alias("first_pos")))
 
 
-def top_terms(counts: DataFrame, k: int, key: list[str] = CHUNK_KEY) -> DataFrame:
-    """Top-k terms per chunk by count; equal counts keep first-occurrence order.
-    Each group holds the distinct terms of one chunk, which a window bounds."""
-    ranked = F.sort_array(F.collect_list(
-        F.struct((-F.col("cnt")).alias("neg_cnt"), F.col("first_pos"), F.col("term"))))
-    return (counts.groupBy(*key)
-            .agg(F.transform(F.slice(ranked, 1, k), lambda s: s["term"]).alias("keywords")))
+def rank_terms(counts: DataFrame, k: int, key: list[str] = CHUNK_KEY) -> DataFrame:
+    """Adds ``kw_rank`` (1 = most frequent; equal counts keep first-occurrence order) and
+    ``n_keywords`` (= min(k, distinct terms of the chunk)).  Windows per chunk: bounded by
+    one window's length, and keyed like the chunk table's partitioning."""
+    order = Window.partitionBy(*key).orderBy(F.col("cnt").desc(), F.col("first_pos"))
+    whole = Window.partitionBy(*key)
+    return (counts.withColumn("kw_rank", F.row_number().over(order))
+            .withColumn("n_keywords", F.least(F.count(F.lit(1)).over(whole), F.lit(k))))
+
+
+def top_terms(ranked: DataFrame, k: int, key: list[str] = CHUNK_KEY) -> DataFrame:
+    """Top-k terms per chunk as an ordered array, from :func:`rank_terms` output."""
+    top = F.sort_array(F.collect_list(F.struct("kw_rank", "term")))
+    return (ranked.where(F.col("kw_rank") <= k).groupBy(*key)
+            .agg(F.transform(top, lambda s: s["term"]).alias("keywords")))
 
 
 class PyramidParts:
@@ -47,7 +55,8 @@ class PyramidParts:
 
     ``base``: chunk key, chunk_id, start_char, end_char, raw_text, summary, category.
     ``raw_counts``: raw-level term counts ``(doc_id, chunk_no, level, n_tokens, term, cnt,
-    first_pos)``.  ``keywords``: ``(doc_id, chunk_no, keywords)`` for chunks with tokens.
+    first_pos)``; ``ranked_counts`` adds ``kw_rank`` and ``n_keywords``.
+    ``keywords``: ``(doc_id, chunk_no, keywords)`` for chunks with tokens.
     """
 
     def __init__(self, chunks: DataFrame, top_k: int = K.KEYWORDS_TOP_K, summariser=None,
@@ -66,8 +75,10 @@ class PyramidParts:
             shared = materialize_bucketed(shared, n, CHUNK_KEY, "tessera_chunks")
         else:
             shared = shared.repartition(n, *CHUNK_KEY)
+        self.top_k = top_k
         self.raw_counts = term_counts(shared, X.tokenize("raw_text"), "raw")
-        self.keywords = top_terms(self.raw_counts, top_k)
+        self.ranked_counts = rank_terms(self.raw_counts, top_k)
+        self.keywords = top_terms(self.ranked_counts, top_k)
         summary = (summariser(F.col("raw_text")) if summariser
                    else X.summarise("raw_text", n_sentences))
         # lower-case once in its own projection; the category rules test it many times
