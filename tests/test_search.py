@@ -90,3 +90,21 @@ def test_ingest_files_and_search(spark, demo_text):
     q = spark.createDataFrame([(0, Q3)], "query_id long, query string")
     top = search_index(spark, paths, q, top_k=1).first()
     assert (top.chunk_id, top.score, top.level) == ("167689dc", 0.2643, "summary")
+
+
+def test_level_filter_prunes_persisted_index(spark, demo_text):
+    import contextlib
+    import io
+    from tessera.plans.ingest import ingest_documents, search_index
+    from tessera.session import shared_dir
+    docs = spark.createDataFrame([(0, demo_text)], "doc_id long, text string")
+    paths = ingest_documents(docs, shared_dir(spark, "prune_index"), 800, 2, 150)
+    q = spark.createDataFrame([(0, Q3)], "query_id long, query string")
+    hits = search_index(spark, paths, q, top_k=4, level="summary")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        hits.explain()
+    plan = buf.getvalue()
+    assert "PartitionFilters: [isnotnull(level" in plan and "(level#" in plan and "= summary)" in plan
+    got = [(r.chunk_id, r.score, r.level) for r in sorted(hits.collect(), key=lambda r: r.rank)]
+    assert got[0] == ("167689dc", 0.1194, "summary")
