@@ -1,6 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
 
 from tessera.session import materialize, shared_dir, spread
 from tessera.streaming.router_stream import start_router_log
