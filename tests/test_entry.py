@@ -19,8 +19,9 @@ KEYS = list(entry_mod.oracle_sql()) if os.environ.get("TESSERA_ALL_ORACLES") els
 
 def test_contract_shape():
     q, o = entry_mod.queries(), entry_mod.oracle_sql()
-    assert set(o) <= set(q)
-    assert len(q) >= 50
+    assert set(o) == set(q)          # every registered query has an SQL formulation
+    assert len(q) >= 60
+    assert not any(k.startswith("op") or "pipeline" in k for k in q)
 
 
 def test_entry_smoke(spark):
