@@ -203,7 +203,10 @@ def search_all_levels(spark, base):
 def _search(spark, base, top_k=K.SEARCH_TOP_K, level=None, queries=None):
     parts = _parts(spark, base)
     q = queries if queries is not None else TB.benchmark_queries(spark, base)
-    return search(q, C.build_postings(parts), parts.base, top_k=top_k, level=level)
+    # IDF and vector lengths are per level, so a level-restricted search needs (and
+    # builds) only that level's postings
+    postings = C.build_postings(parts, levels=[level] if level else K.LEVELS)
+    return search(q, postings, parts.base, top_k=top_k, level=level)
 
 
 _RESULTS = "SELECT * FROM results"
