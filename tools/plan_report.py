@@ -56,6 +56,36 @@ def summarise(text: str) -> list[str]:
     return out
 
 
+def _materialisations(spark, sf: str) -> None:
+    """Plans of the two writes that run as their own jobs: the bucketed chunk table and
+    the term-frequency checkpoint (shown as the plans of the DataFrames they write)."""
+    from pyspark.sql import functions as F
+
+    from tessera.operators import corpus as C
+    from tessera.operators.chunking import chunk_documents
+    from tessera.operators.pyramid import CHUNK_KEY, PyramidParts
+    from tessera.session import spread, text_partitions
+    from tessera.sources import tables as TB
+
+    chunks = chunk_documents(spread(TB.documents(spark, sf)))
+    written = (chunks.where(F.col("doc_id").isNotNull())
+               .select(*CHUNK_KEY, "chunk_id", "start_char", "end_char",
+                       F.col("text").alias("raw_text"))
+               .repartition(text_partitions(chunks), *CHUNK_KEY))
+    parts = PyramidParts(chunks)
+    tf = C.term_frequency(C.level_counts(parts))
+    for title, df in [("materialisation: bucketed chunk table", written),
+                      ("materialisation: term-frequency checkpoint", tf)]:
+        df.write.format("noop").mode("overwrite").save()
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain(mode="formatted")
+        print(f"## {title}\n")
+        for line in summarise(buf.getvalue()):
+            print(f"- {line}")
+        print()
+
+
 def main() -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
@@ -69,6 +99,8 @@ def main() -> None:
     print(f"Generated by `tools/plan_report.py` at `{args.sf}` on local[8] after execution, "
           "so the adaptive (final) plan is shown.  Each line is one operator of the final "
           "plan with its partitioning / keys / pushed filters.\n")
+    if not args.names:
+        _materialisations(spark, args.sf)
     for name in args.names or HEADLINE:
         df = entry.queries()[name](spark, args.sf)
         df.collect()
