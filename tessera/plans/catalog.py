@@ -1,8 +1,11 @@
 """Registered queries: name -> (Spark plan builder, DuckDB oracle SQL or None).
 
-Every builder takes ``(spark, base_dir)`` and returns a lazy DataFrame over the tables in
-``base_dir``.  Output columns are named identically in the Spark plan and the SQL; doubles
-are rounded (``R``) to 6 decimals in both, arrays are flattened to strings.
+Every builder takes ``(spark, base_dir)`` and returns a DataFrame over the tables in
+``base_dir``.  Most are lazy; the pyramid builders write the bucketed chunk table when
+called, and the round-trip and streaming builders first write their output to the shared
+folder and return the read-back.  Output columns are named identically in the Spark plan
+and the SQL; doubles are rounded (``R``) to 6 decimals in both, arrays are flattened to
+strings.
 """
 
 from __future__ import annotations
