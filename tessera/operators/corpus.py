@@ -1,8 +1,8 @@
 """TF-IDF statistics and the inverted index.
 
 Long form throughout: one row per (chunk, level, term).  The three pyramid levels are one
-``level`` column, so every aggregate is grouped by level and a level filter prunes whole
-branches of the plan.
+``level`` column, so every aggregate is grouped by level; ``levels=`` restricts a build to
+the levels a search needs (statistics are per level, so the result is the same).
 
 ``scope="corpus"``: N and document frequencies over all chunks.  ``scope="document"``:
 per source document, which is what indexing one document at a time gives.
