@@ -71,3 +71,21 @@ def test_py_float_str_matches_python_repr(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     got = [r.s for r in df.select(py_float_str("x").alias("s")).collect()]
     assert got == [str(v) for v in vals]
+
+
+def test_split_sample_and_step_plan(spark):
+    qa = spark.range(200).selectExpr("id AS qa_id", "concat('q', id) AS question",
+                                     "concat('#### ', id) AS answer")
+    split = PR.split_qa(qa, n_train=150, n_eval=50).collect()
+    train = {r.qa_id for r in split if r.split == "train"}
+    ev = {r.qa_id for r in split if r.split == "eval"}
+    assert len(train) == 150 and len(ev) == 50 and not (train & ev)
+    # seeded order is reproducible and independent of partitioning
+    again = PR.split_qa(qa.repartition(7), n_train=150, n_eval=50).collect()
+    assert {r.qa_id for r in again if r.split == "train"} == train
+    # evaluation rows are not shuffled: the first n by id
+    assert [r.qa_id for r in PR.sample_eval(qa, 5).collect()] == [0, 1, 2, 3, 4]
+    plan = PR.step_plan(PR.sample_train(qa, 150)).first()
+    # 150 samples, batch 4, 3 epochs, accumulation 4
+    assert (plan.n_samples, plan.steps_per_epoch, plan.total_steps_trainer,
+            plan.total_steps_simulation) == (150, 38, 29, 28)
