@@ -89,3 +89,20 @@ def test_split_sample_and_step_plan(spark):
     # 150 samples, batch 4, 3 epochs, accumulation 4
     assert (plan.n_samples, plan.steps_per_epoch, plan.total_steps_trainer,
             plan.total_steps_simulation) == (150, 38, 29, 28)
+
+
+def test_checkpoint_steps_run_summary_token_stats(spark):
+    steps = spark.range(1, 1201).select(F.col("id").alias("step"),
+                                        (F.col("id") / 1000.0).alias("loss"))
+    assert sorted(r.step for r in EV.checkpoint_steps(steps, every=500).collect()) == [500, 1000]
+    rollup = EV.loss_rollup(steps, every=50)
+    acc = spark.createDataFrame([(2, 1, 0.5)], "n_total long, n_correct long, accuracy double")
+    train = spark.range(150).withColumnRenamed("id", "qa_id")
+    ev = spark.range(50).withColumnRenamed("id", "qa_id")
+    summ = EV.run_summary(train, ev, rollup, acc).first()
+    # final loss = the block ending at the largest step (1,151..1,200 -> mean 1.1755)
+    assert (summ.train_samples, summ.eval_samples, summ.final_train_loss, summ.accuracy) == \
+        (150, 50, round(sum(range(1151, 1201)) / 50 / 1000.0, 4), 0.5)
+    prompts = spark.createDataFrame([("x" * 10,), ("y" * 3,)], "train_prompt string")
+    st = PR.token_stats(prompts).first()
+    assert (st.n_samples, st.est_tokens_avg) == (2, (13 + 3) / 2)   # int(10*1.3), int(3*1.3)
