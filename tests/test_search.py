@@ -108,3 +108,20 @@ def test_level_filter_prunes_persisted_index(spark, demo_text):
     assert "PartitionFilters: [isnotnull(level" in plan and "(level#" in plan and "= summary)" in plan
     got = [(r.chunk_id, r.score, r.level) for r in sorted(hits.collect(), key=lambda r: r.rank)]
     assert got[0] == ("167689dc", 0.1194, "summary")
+
+
+def test_search_and_routing_independent_of_partitioning(spark):
+    from tessera.operators.router.registry import call_log, default_router
+    from tessera.sources import tables as TB
+    sf = "/root/testdata/sf0.001"
+    docs = TB.documents(spark, sf)
+    q = TB.benchmark_queries(spark, sf)
+    results = []
+    for n in (1, 6):
+        parts = PyramidParts(chunk_documents(docs.repartition(n)))
+        hits = search(q.repartition(n), build_postings(parts), parts.base, top_k=3)
+        results.append(sorted(tuple(r) for r in hits.collect()))
+    assert results[0] == results[1] and len(results[0]) == 3 * q.count()
+    logs = [sorted(tuple(r) for r in call_log(default_router().route(q.repartition(n))).collect())
+            for n in (1, 5)]
+    assert logs[0] == logs[1]
