@@ -125,3 +125,17 @@ def test_search_and_routing_independent_of_partitioning(spark):
     logs = [sorted(tuple(r) for r in call_log(default_router().route(q.repartition(n))).collect())
             for n in (1, 5)]
     assert logs[0] == logs[1]
+
+
+def test_document_scope_persisted_equals_in_memory(spark):
+    from tessera.plans.ingest import ingest_documents, search_index
+    from tessera.session import shared_dir
+    from tessera.sources import tables as TB
+    sf = "/root/testdata/sf0.001"
+    docs, q = TB.documents(spark, sf), TB.benchmark_queries(spark, sf)
+    paths = ingest_documents(docs, shared_dir(spark, "docscope"), scope="document")
+    persisted = sorted(tuple(r) for r in search_index(spark, paths, q).collect())
+    parts = PyramidParts(chunk_documents(docs))
+    in_memory = sorted(tuple(r) for r in
+                       search(q, build_postings(parts, scope="document"), parts.base).collect())
+    assert persisted == in_memory
