@@ -1,6 +1,10 @@
 """Run registered queries in Spark and their SQL in DuckDB; compare rows, columns, values.
 
-    python tools/oracle_check.py [--sf /root/testdata/sf0.01] [name ...]
+    python tools/oracle_check.py [--sf /root/testdata/sf0.01] [--plain] [name ...]
+
+``--plain`` uses a default SparkSession (default shuffle partitions, no checkpoint folder
+configured) instead of the tuned test session.  Values are compared as an
+order-insensitive hash over rows with columns sorted by name.
 """
 
 from __future__ import annotations
