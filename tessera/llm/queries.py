@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import bpe
+from tessera.llm import bpe, langid, quality
 from tessera.llm.common import table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -26,3 +27,18 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"),
                              public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                              public_tokenizers.PATTERN)
+
+
+@register("op8_quality_rules")
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics of every whole text and the verdict of the trees (operator 8)."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@register("op9_language_id")
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, learned from the documents of three folds of four
+    (operator 9)."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out())
+    return langid.predict(docs, langid.fit(docs.where(~F.col("held_out"))))
