@@ -157,7 +157,7 @@ def reassemble(documents: DataFrame, results: DataFrame, finish: Callable, schem
                arrow: pa.Schema) -> DataFrame:
     """Bring the documents of a block and the results of its words together.  ``finish``
     gets the documents' (doc_id, flag, codes) and the result rows of one block, a bounded
-    amount, and yields output tuples."""
+    amount, and yields output tuples.  A block without words has no result rows."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         docs = [(r["doc_id"], r["flag"], unpack(r["codes"]) if r["codes"] else np.empty(0, np.uint32))
                 for r in left.to_pylist()]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, langid, quality
+from tessera.llm import bpe, langid, packing, quality
 from tessera.llm.common import table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -42,3 +42,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     (operator 9)."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out())
     return langid.predict(docs, langid.fit(docs.where(~F.col("held_out"))))
+
+
+@register("op7_best_fit_packing")
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens (operator 7)."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"),
+                                  public_tokenizers.path("word_bpe_49k.json"))
