@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, langid, packing, quality
+from tessera.llm import bpe, dedup, langid, packing, quality
 from tessera.llm.common import table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -49,3 +49,9 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens (operator 7)."""
     return packing.pack_documents(table(spark, sf_dir, "documents"),
                                   public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register("op5_near_duplicates")
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with similar sets of two-word shingles (operator 5)."""
+    return dedup.near_duplicates(table(spark, sf_dir, "documents"), dedup.Parameters(shingle=2))
