@@ -11,7 +11,8 @@ bounded number of bytes and writes, for each block,
 A word crosses the network once per block that has it, never once per occurrence, so the
 most frequent word of the corpus is no larger than any other word that is in every block.
 Both kinds of rows come from one committed write, so a retried task cannot leave codes and
-dictionaries that do not belong together.
+dictionaries that do not belong together.  The files are bucketed by block, so the codes
+are not shuffled when the documents are put together again.
 
 The dictionary rows of a bucket meet in one task (:func:`dictionary`), where every
 distinct word is treated once; the results go back to their blocks, are put in the order
@@ -32,15 +33,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Emitter, rows_of, shuffle_partitions, written
+from tessera.llm.common import Emitter, rows_of, shuffle_partitions, written_in_buckets
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 48 << 20
 _DOC, _DICT = 0, 1
 
-_SCHEMA = "block long, kind int, doc_id long, flag boolean, bucket int, codes binary, words binary, counts binary"
+_SCHEMA = ("block long, kind int, doc_id long, flag boolean, stream binary, bucket int, codes binary, "
+           "words binary, counts binary")
 _ARROW = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("doc_id", pa.int64()),
-                    ("flag", pa.bool_()), ("bucket", pa.int32()), ("codes", pa.binary()),
-                    ("words", pa.binary()), ("counts", pa.binary())])
+                    ("flag", pa.bool_()), ("stream", pa.binary()), ("bucket", pa.int32()),
+                    ("codes", pa.binary()), ("words", pa.binary()), ("counts", pa.binary())])
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -76,7 +78,7 @@ def _close(block: int, docs: list, index: dict, n_buckets: int, counted: bool) -
     rank[np.argsort(-np.bincount(everything, minlength=n), kind="stable")] = np.arange(n, dtype=np.uint32)
     for doc_id, flag, codes in docs:
         data = pack(rank[codes]) if len(codes) else None
-        yield (block, _DOC, doc_id, flag, None, data, None, None), 64 + len(data or b"")
+        yield (block, _DOC, doc_id, flag, data, None, None, None, None), 64 + len(data or b"")
     if not n:
         return
     used = None
@@ -91,7 +93,7 @@ def _close(block: int, docs: list, index: dict, n_buckets: int, counted: bool) -
         row_words = pack_words([items[i] for i in part])
         row_codes = pack(rank[part])
         row_counts = pack(used[part]) if counted else None
-        yield ((block, _DICT, None, None, int(bucket[part[0]]), row_codes, row_words, row_counts),
+        yield ((block, _DICT, None, None, None, int(bucket[part[0]]), row_codes, row_words, row_counts),
                len(row_words) + len(row_codes) + 64)
 
 
@@ -121,8 +123,8 @@ def write_blocks(docs: DataFrame, split: Callable[[str], list[bytes]], label: st
         yield from out.rest()
 
     rows = docs.select("doc_id", "text", "flag").mapInArrow(run, _SCHEMA)
-    both = written(rows, label, ["kind"])
-    return (both.where(F.col("kind") == _DOC).select("block", "doc_id", "flag", "codes"),
+    both = written_in_buckets(rows, label, "block")
+    return (both.where(F.col("kind") == _DOC).select("block", "doc_id", "flag", "stream"),
             both.where(F.col("kind") == _DICT).select("block", "bucket", "codes", "words", "counts"))
 
 
@@ -159,7 +161,7 @@ def reassemble(documents: DataFrame, results: DataFrame, finish: Callable, schem
     gets the documents' (doc_id, flag, codes) and the result rows of one block, a bounded
     amount, and yields output tuples.  A block without words has no result rows."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        docs = [(r["doc_id"], r["flag"], unpack(r["codes"]) if r["codes"] else np.empty(0, np.uint32))
+        docs = [(r["doc_id"], r["flag"], unpack(r["stream"]) if r["stream"] else np.empty(0, np.uint32))
                 for r in left.to_pylist()]
         out = list(finish(docs, right.to_pylist()))
         columns = list(zip(*out)) or [()] * len(arrow)
