@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, dedup, langid, packing, quality
+from tessera.llm import bpe, dedup, langid, lm, packing, quality
 from tessera.llm.common import table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -55,3 +55,11 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with similar sets of two-word shingles (operator 5)."""
     return dedup.near_duplicates(table(spark, sf_dir, "documents"), dedup.Parameters(shingle=2))
+
+
+@register("op2_lm_scores")
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text scored by a word unigram base and the attention model, both learned
+    from six folds of seven (operator 2)."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out(modulus=7))
+    return lm.score(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
