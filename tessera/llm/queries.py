@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, dedup, langid, lm, packing, quality
+from tessera.llm import bpe, dedup, langid, lm, packing, pii, quality
 from tessera.llm.common import table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -63,3 +63,10 @@ def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from six folds of seven (operator 2)."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out(modulus=7))
     return lm.score(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@register("op1_personal_data")
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text: validated rules and what their contexts discover
+    (operator 1)."""
+    return pii.find(table(spark, sf_dir, "documents"))
