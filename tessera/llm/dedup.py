@@ -52,7 +52,7 @@ class Parameters:
     errors: int = 1
     bits: int = 8
     agree: float = 0.55
-    rounds: int = 3
+    rounds: int = 2
 
     def __post_init__(self):
         if self.bits > 8 or self.bits * (self.width - self.errors) + self.variants.bit_length() > 63:
@@ -175,8 +175,8 @@ class _Sets:
         need = written(need.join(self.nodes.select("node", "doc_id"), "node"), "need")
         if not need.isEmpty():
             self.tables.append(written(self._read(need), "sets"))
-        out = self.tables[0]
-        for more in self.tables[1:]:
+        out = self.docs.sparkSession.createDataFrame([], "node long, keys binary")
+        for more in self.tables:
             out = out.unionByName(more)
         return out
 
@@ -217,58 +217,54 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def link_nodes(docs: DataFrame, nodes: DataFrame, p: Parameters) -> DataFrame:
     """(node, comp) of the nodes that have a link; ``nodes``: (node, sig, doc_id of a row)."""
-    spark = docs.sparkSession
     buckets = (postings(nodes, p).groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("centre"))
                .where("n > 1").select("key", "centre"))
     multi = written(postings(nodes, p).join(buckets, "key"), "buckets")
-    sets = _Sets(docs, nodes, p)
-    labels, edges = None, None
-    tried = spark.createDataFrame([], "a long, b long")
+    sets, labels, edges = _Sets(docs, nodes, p), None, None
 
-    def labelled(open_buckets: DataFrame) -> DataFrame:
-        """Rows of buckets that still have several components, with their components."""
+    def open_buckets() -> DataFrame:
+        """Rows of the buckets that have several components, with their components."""
         if labels is None:
-            return open_buckets.withColumn("comp", F.col("node"))
-        with_comp = (open_buckets.join(labels, "node", "left")
-                     .withColumn("comp", F.coalesce("comp", "node")))
-        several = with_comp.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
-        return with_comp.join(several.select("key"), "key")
-
-    def take(candidates: DataFrame) -> None:
-        nonlocal labels, edges, tried
-        tested = written(candidates.select("a", "b"), "tested")
-        if tested.isEmpty():
-            return
-        found = written(confirm(tested, sets.cover(tested), p.percent), "links")
-        tried = tried.unionByName(tested)
+            return multi.withColumn("comp", F.col("node"))
+        rows = multi.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        rows = written(rows.select("key", "node", "comp"), "labelled")
+        several = (rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+                   .where("low != high").select("key"))
+        return written(rows.join(several, "key"), "open")
+
+    def close(pairs: DataFrame) -> DataFrame:
+        ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        return agreeing(ordered, nodes, p)
+
+    def link(pairs: DataFrame, rounds: int | None) -> None:
+        nonlocal labels, edges
+        found = written(confirm(pairs, sets.cover(pairs), p.percent), "links")
         if not found.isEmpty():
             edges = found if edges is None else edges.unionByName(found)
-            labels = components(edges)
-
-    def ordered(left, right) -> list:
-        return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
+        if edges is not None and (rounds is None or not found.isEmpty()):
+            labels = components(edges, rounds)
 
     for number in range(p.rounds):
-        rows = labelled(multi)
+        rows = open_buckets()
         if number:
-            rows = written(rows.select("key", "node", "comp"), "open")
-            centre = rows.groupBy("key").agg(F.min_by(F.struct("node", "comp"), F.xxhash64("node", F.lit(number))).alias("c"))
-            rows = rows.join(centre, "key").where("comp != c.comp").withColumn("centre", F.col("c.node"))
-        star = (rows.where("node != centre").select(*ordered(F.col("node"), F.col("centre"))).distinct()
-                .join(tried, ["a", "b"], "left_anti"))
-        close = written(agreeing(star, nodes, p), "close")
-        if number == 0 and not close.isEmpty():
-            sets.cover(close)  # later rounds seldom need more
-        best = (close.select(F.col("a").alias("node"), "a", "b", "same")
-                .unionByName(close.select(F.col("b").alias("node"), "a", "b", "same"))
-                .groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("same", "a", "b")).alias("pair")))
-        take(best.select("pair.a", "pair.b").distinct())
-    rest = written(labelled(multi.select("key", "node")).select("key", "node", "comp"), "open")
+            chosen = rows.groupBy("key").agg(
+                F.min_by(F.struct("node", "comp"), F.xxhash64("node", F.lit(number))).alias("c"))
+            rows = rows.join(chosen, "key").where("comp != c.comp").withColumn("centre", F.col("c.node"))
+        near = written(close(rows.where("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b"))),
+                       "close")
+        if near.isEmpty():
+            break
+        if number == 0:
+            sets.cover(near)  # later rounds seldom need more
+        both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "same"))
+        best = both.groupBy(F.col("a").alias("node")).agg(F.max_by("b", F.struct("same", "b")).alias("b"))
+        link(written(best.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct(), "best"), 2)
+    rest = open_buckets()
     other = rest.select("key", F.col("node").alias("b"), F.col("comp").alias("comp_b"))
-    pairs = (rest.withColumnRenamed("node", "a").join(other, "key").where("a < b and comp != comp_b")
-             .select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
-    take(agreeing(pairs, nodes, p))
-    return labels if labels is not None else spark.createDataFrame([], "node long, comp long")
+    pairs = (rest.select("key", F.col("node").alias("a"), "comp").join(other, "key")
+             .where("a < b and comp != comp_b").select("a", "b"))
+    link(written(close(pairs).select("a", "b"), "rest"), None)
+    return labels if labels is not None else docs.sparkSession.createDataFrame([], "node long, comp long")
 
 
 def near_duplicates(docs: DataFrame, p: Parameters = Parameters()) -> DataFrame:
