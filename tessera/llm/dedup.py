@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import mix64, written
+from tessera.llm.common import WORD_CLASS, mix64, written
 from tessera.llm.components import components
 
 MAX_CACHED_WORDS = 500_000
@@ -112,7 +112,7 @@ def signature(keys: np.ndarray, p: Parameters) -> bytes:
 
 
 def describe(docs: DataFrame, p: Parameters) -> DataFrame:
-    """doc_id, n_shingles, node, sig of every row."""
+    """doc_id, n_shingles, node, sig and row_key (a hash of id and text) of every row."""
     def run(batches):
         cache = _WordHashes()
         for batch in batches:
@@ -120,10 +120,11 @@ def describe(docs: DataFrame, p: Parameters) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()),
                  pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
-                 pa.array([signature(s, p) if len(s) else None for s in sets], pa.binary())],
-                ["doc_id", "n_shingles", "node", "sig"])
+                 pa.array([signature(s, p) if len(s) else None for s in sets], pa.binary()), batch.column("row_key")],
+                ["doc_id", "n_shingles", "node", "sig", "row_key"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, node long, sig binary")
+    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_key")).mapInArrow(
+        run, "doc_id long, n_shingles long, node long, sig binary, row_key long")
 
 
 def postings(nodes: DataFrame, p: Parameters) -> DataFrame:
@@ -267,13 +268,19 @@ def link_nodes(docs: DataFrame, nodes: DataFrame, p: Parameters) -> DataFrame:
     return labels if labels is not None else docs.sparkSession.createDataFrame([], "node long, comp long")
 
 
-def near_duplicates(docs: DataFrame, p: Parameters = Parameters()) -> DataFrame:
-    """``docs`` (doc_id, text) -> doc_id, n_shingles, component_id, kept for every row."""
+def _linked(docs: DataFrame, p: Parameters) -> tuple[DataFrame, DataFrame]:
+    """Every row, and the nodes (node, doc_id, comp)."""
     rows = written(describe(docs, p), "signatures")
     nodes = written(rows.where("node is not null and doc_id is not null")
                     .groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")), "nodes")
     labels = link_nodes(docs, nodes, p)
-    members = nodes.join(labels, "node", "left").select("node", "doc_id", F.coalesce("comp", "node").alias("comp"))
+    return rows, (nodes.join(labels, "node", "left")
+                  .select("node", "doc_id", F.coalesce("comp", "node").alias("comp")))
+
+
+def near_duplicates(docs: DataFrame, p: Parameters = Parameters()) -> DataFrame:
+    """``docs`` (doc_id, text) -> doc_id, n_shingles, component_id, kept for every row."""
+    rows, members = _linked(docs, p)
     first = members.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     named = members.join(first, "comp").select("node", "component_id")
     linked = rows.where("doc_id is not null").join(named, "node", "left")
@@ -281,3 +288,16 @@ def near_duplicates(docs: DataFrame, p: Parameters = Parameters()) -> DataFrame:
     return (linked.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
             .unionByName(apart.select("doc_id", "n_shingles", "component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def keep_first(docs: DataFrame, p: Parameters = Parameters()) -> DataFrame:
+    """The rows of ``docs``, all columns, without near duplicates: of each component one row,
+    with the smallest id, stays.  Rows with a NULL id or without words all stay."""
+    rows, members = _linked(docs, p)
+    firsts = (rows.where("node is not null and doc_id is not null").join(members.select("node", "comp"), "node")
+              .groupBy("comp").agg(F.min(F.struct("doc_id", "row_key")).alias("first")))
+    key = next(n for n in (f"row_key_{i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns)
+    has_words = F.coalesce(F.col("text").rlike(WORD_CLASS), F.lit(False)) & F.col("doc_id").isNotNull()
+    stay = (docs.where(has_words).withColumn(key, F.xxhash64("doc_id", "text"))
+            .join(firsts.select(F.col("first.row_key").alias(key)), key, "left_semi").dropDuplicates([key]))
+    return stay.select(docs.columns).unionByName(docs.where(~has_words))
