@@ -69,32 +69,31 @@ def main() -> None:
     holder = {}
 
     def pyramid():
-        # PyramidParts writes the partitioned chunk table (checkpoint) when built
         holder["parts"] = PyramidParts(chunk_documents(docs))
         _run(holder["parts"].pyramid)
     timed("pyramid", pyramid)
     parts = holder["parts"]
-    counts["chunks"] = parts.base.count()
+    counts["chunks"] = parts.chunks.count()
 
     index_path = shared_dir(spark, "bench_index")
     chunk_path = shared_dir(spark, "bench_chunks")
 
     def build_index():
         FS.write_index(C.build_postings(parts), index_path)
-        parts.base.select("doc_id", "chunk_no", "chunk_id").write.mode("overwrite").parquet(chunk_path)
+        parts.chunks.select("doc_id", "chunk_no", "chunk_id").write.mode("overwrite").parquet(chunk_path)
     timed("index_build", build_index)
 
     queries = TB.benchmark_queries(spark, sf_dir)
     timed("search_benchmark", lambda: _run(search(
         queries, FS.read_index(spark, index_path), spark.read.parquet(chunk_path))))
 
-    rq = spread(router_queries(spark, sf_dir))
+    rq = router_queries(spark, sf_dir)
     timed("route", lambda: _run(call_log(default_router().route(rq))))
     counts["route_rows"] = rq.count()
 
     def sft():
         qa = QA.synthesize_qa(spark, sf_dir)
-        vocab = PR.build_vocab(PR.with_prompts(PR.sample_train(qa)))
+        vocab = PR.build_vocab(PR.with_prompts(qa))
         _run(PR.encode_batches(qa, vocab))
     timed("tokenize_sft", sft)
     counts["sft_rows"] = TB.read_table(spark, sf_dir, "lineitem").count()

@@ -1,5 +1,5 @@
-"""Column -> Column text functions.  All of them are built-in Spark expressions, so they
-run inside whole-stage code generation on the executors; no Python worker is involved."""
+"""Column -> Column text functions.  All of them are built-in Spark expressions on the
+executors; no Python worker is involved.  (Array lambdas are interpreted, not compiled.)"""
 
 from __future__ import annotations
 
@@ -62,20 +62,20 @@ def category_scores(text, rules=K.CATEGORY_RULES, lowered: bool = False) -> list
     return scores
 
 
-def categorise(text, rules=K.CATEGORY_RULES, fallback: str = K.FALLBACK_CATEGORY,
-               lowered: bool = False) -> Column:
-    """Highest-scoring category; ties go to the earlier rule; all zero -> fallback."""
-    scores = category_scores(text, rules, lowered)
-    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    expr = F.when(best <= 0, F.lit(fallback))
-    for (name, _), score in zip(rules, scores):
-        expr = expr.when(score == best, F.lit(name))
-    return expr.otherwise(F.lit(fallback))
+def with_categories(df, lowered: str, rules=K.CATEGORY_RULES, fallback: str = K.FALLBACK_CATEGORY):
+    """``df`` with ``category``: the highest-scoring one of the lower-cased text column; ties
+    go to the earlier rule; all zero -> fallback.  The scores are staged in a projection, so
+    each keyword is looked for once."""
+    scores = category_scores(lowered, rules, lowered=True)
+    staged = df.select("*", F.array(*scores).alias("_scores"))
+    named = first_max_label([(name, F.get("_scores", i)) for i, (name, _) in enumerate(rules)])
+    return staged.select(*df.columns, F.when(F.array_max("_scores") > 0, named).otherwise(F.lit(fallback))
+                         .alias("category"))
 
 
 def first_max_label(scores: list[tuple[str, Column]], default: str | None = None) -> Column:
     """Label of the first maximal score (dictionary-order argmax)."""
-    best = F.greatest(*[c for _, c in scores])
+    best = F.greatest(*[c for _, c in scores]) if len(scores) > 1 else scores[0][1]
     expr = None
     for name, c in scores:
         expr = F.when(c == best, F.lit(name)) if expr is None else expr.when(c == best, F.lit(name))
@@ -106,12 +106,18 @@ def format_prompt(question, answer=None) -> Column:
 
 
 def py_float_str(x) -> Column:
-    """Render a DOUBLE the way Python's ``str(float)`` does for |x| in [1e-4, 1e16)
-    (and 0): shortest decimal digits, at least one digit after the point."""
+    """Render a DOUBLE the way Python's ``str(float)`` does: plain digits with at least one
+    after the point for |x| in [1e-4, 1e16) and 0, else ``1.5e+16`` / ``1e-05``."""
     x = _col(x)
-    small = F.abs(x) < F.lit(1e16)
-    dec = F.regexp_replace(F.when(small, x).cast("decimal(38,18)").cast("string"), r"0+$", "")
+    plain = (x == 0) | ((F.abs(x) < F.lit(1e16)) & (F.abs(x) >= F.lit(1e-4)))
+    dec = F.regexp_replace(F.when(plain, x).cast("decimal(38,18)").cast("string"), r"0+$", "")
     fixed = F.when(dec.endswith("."), F.concat(dec, F.lit("0"))).otherwise(dec)
-    return (F.when(x.isNull(), F.lit(None).cast("string"))
-            .when(small, fixed)
-            .otherwise(x.cast("string")))
+    java = x.cast("string")  # 1.5E16, 1.0E-5
+    power = F.regexp_extract(java, r"E(-?[0-9]+)$", 1)
+    digits = F.regexp_replace(F.regexp_extract(java, r"^(-?[0-9.]+)E", 1), r"\.0$", "")
+    size = F.lpad(F.regexp_replace(power, "-", ""), 2, "0")
+    long = F.when(F.length(F.regexp_replace(power, "-", "")) > 2, F.regexp_replace(power, "-", "")).otherwise(size)
+    scientific = F.concat(digits, F.when(power.startswith("-"), "e-").otherwise("e+"), long)
+    return (F.when(x.isNull(), F.lit(None).cast("string")).when(plain, fixed)
+            .when(power != "", scientific)
+            .otherwise(F.lower(F.regexp_replace(F.regexp_replace(java, "Infinity", "inf"), "NaN", "nan"))))

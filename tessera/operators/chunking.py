@@ -1,14 +1,18 @@
 """Overlapping character windows over a table of documents.
 
-The window recurrence is sequential inside one document (each start depends on where the
-previous window snapped to a space) and independent across documents.  Only that
-recurrence runs in Python: a vectorised scalar ``pandas_udf`` receives the ``text``
-column in Arrow batches and returns small integer offset arrays.  Every other column
-stays in the JVM; slicing, trimming, the chunk id and the explode are Spark expressions.
+Where a window ends depends on where the one before it ended, so a document is walked in
+order; documents are independent of each other.  A scalar ``pandas_udf`` gets the ``text``
+column in Arrow batches (bounded by rows and by ``spark.sql.execution.arrow.maxBytesPerBatch``)
+and returns the pieces already cut, so the document itself is not copied to each of its
+windows and the cost is linear in its length.  The id and the explode are Spark expressions.
 """
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,47 +20,39 @@ from pyspark.sql import types as T
 
 from tessera.functions import constants as K
 
-BOUNDS_TYPE = T.ArrayType(T.StructType([
+PIECES_TYPE = T.ArrayType(T.StructType([
     T.StructField("start", T.IntegerType()),
     T.StructField("end", T.IntegerType()),
-    T.StructField("lo", T.IntegerType()),
-    T.StructField("hi", T.IntegerType()),
+    T.StructField("text", T.StringType()),
 ]))
+_BLANK = re.compile(" ")
 
 
-def window_bounds(text: str, window: int, overlap: int) -> list[dict]:
+def window_spans(text: str, window: int, overlap: int) -> Iterator[tuple[int, int]]:
     """Offsets of every window of one document.
 
-    ``end = min(start + window, len)``; when the window does not reach the end of the
-    text it is cut back to the last ASCII space inside it.  The cut is applied only when
-    that space lies beyond the first ``overlap`` characters, otherwise the window is cut
-    hard at ``start + window``: a cut inside the overlap would make the next window start
-    at or before this one.  ``lo``/``hi`` are the offsets after stripping whitespace.
-    """
-    out = []
-    n = len(text)
-    start = 0
-    while start < n:
-        end = min(start + window, n)
-        if end < n:
-            space = text.rfind(" ", start, end)
-            if space - start > overlap:
-                end = space
-        piece = text[start:end]
-        lead = len(piece) - len(piece.lstrip())
-        body = len(piece.strip())
-        out.append({"start": start, "end": end, "lo": start + lead, "hi": start + lead + body})
-        if end >= n:
-            break
-        start = end - overlap
-    return out
-
-
-def _bounds_udf(window: int, overlap: int):
-    @F.pandas_udf(BOUNDS_TYPE)
-    def bounds(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else window_bounds(t, window, overlap))
-    return bounds
+    All spaces are indexed once; a window that does not reach the end of the text stops at
+    the last indexed space before its limit.  A space within the overlap does not count:
+    the next window would not start after this one, so the window is cut at its limit."""
+    blanks = [m.start() for m in _BLANK.finditer(text)]
+    begin, size = 0, len(text)
+    while size:
+        limit = begin + window
+        if limit >= size:
+            yield begin, size
+            return
+        nearest = bisect_left(blanks, limit) - 1
+        stop = blanks[nearest] if nearest >= 0 and blanks[nearest] > begin + overlap else limit
+        yield begin, stop
+        begin = stop - overlap
+
+
+def _pieces_udf(window: int, overlap: int):
+    @F.pandas_udf(PIECES_TYPE)
+    def pieces(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else [
+            {"start": a, "end": b, "text": t[a:b].strip()} for a, b in window_spans(t, window, overlap)])
+    return pieces
 
 
 def chunk_id(start: Column, end: Column) -> Column:
@@ -70,21 +66,22 @@ def chunk_documents(docs: DataFrame, page_chars: int = K.PAGE_CHARS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, text)`` -> ``chunks(doc_id, chunk_no, chunk_id, start_char, end_char, text)``.
 
-    Empty and NULL texts give no chunk; a blank text gives one chunk with text ``''``.
+    Empty and NULL texts give no chunk; a blank text gives one chunk with text ``''``.  A
+    document with a NULL id gives none, since nothing could refer to its chunks:
+    :func:`unidentified` returns those rows.
     """
     window = page_chars * window_pages
     if not 0 <= overlap_chars < window:
         raise ValueError("need 0 <= overlap_chars < page_chars * window_pages")
-    bounds = _bounds_udf(window, overlap_chars)(F.col(text_col))
-    exploded = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"),
-        F.posexplode(bounds).alias("chunk_no", "_w"))
+    pieces = _pieces_udf(window, overlap_chars)(F.col(text_col))
     w = F.col("_w")
-    return exploded.select(
-        "doc_id",
-        F.col("chunk_no").cast("int").alias("chunk_no"),
-        chunk_id(w["start"], w["end"]).alias("chunk_id"),
-        w["start"].alias("start_char"),
-        w["end"].alias("end_char"),
-        F.col("_text").substr(w["lo"] + 1, w["hi"] - w["lo"]).alias("text"),
-    )
+    return (docs.where(F.col(id_col).isNotNull())
+            .select(F.col(id_col).alias("doc_id"), F.posexplode(pieces).alias("chunk_no", "_w"))
+            .select("doc_id", F.col("chunk_no").cast("int").alias("chunk_no"),
+                    chunk_id(w["start"], w["end"]).alias("chunk_id"),
+                    w["start"].alias("start_char"), w["end"].alias("end_char"), w["text"].alias("text")))
+
+
+def unidentified(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The documents that :func:`chunk_documents` leaves out because they have no id."""
+    return docs.where(F.col(id_col).isNull())

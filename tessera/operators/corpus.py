@@ -10,12 +10,11 @@ per source document, which is what indexing one document at a time gives.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import constants as K
-from tessera.functions import text as X
-from tessera.operators.pyramid import CHUNK_KEY, PyramidParts, term_counts
+from tessera.operators.pyramid import CHUNK_KEY, PyramidParts
 from tessera.session import materialize
 
 SCOPES = ("corpus", "document")
@@ -29,30 +28,8 @@ def _scope_cols(scope: str) -> list[str]:
 
 def level_counts(parts: PyramidParts, levels=K.LEVELS) -> DataFrame:
     """Term counts of every requested level: ``(doc_id, chunk_no, level, n_tokens, term,
-    cnt)``.  Keywords are distinct tokens already, so each counts once.
-
-    The raw and keyword levels come from one pass over the ranked raw counts: each term
-    row expands into its raw row and, when it ranks in the top k, its keyword row (an
-    explode of a two-element array, so the raw text is tokenised once)."""
-    out = []
-    raw_kw = []
-    if "raw" in levels:
-        raw_kw.append(F.struct(F.lit("raw").alias("level"), F.col("n_tokens"), F.col("cnt")))
-    if "keywords" in levels:
-        raw_kw.append(F.when(F.col("kw_rank") <= parts.top_k, F.struct(
-            F.lit("keywords").alias("level"), F.col("n_keywords").alias("n_tokens"),
-            F.lit(1).cast("long").alias("cnt"))))
-    if raw_kw:
-        rows = parts.ranked_counts.select(
-            *CHUNK_KEY, "term", F.explode(F.array_compact(F.array(*raw_kw))).alias("x"))
-        out.append(rows.select(*CHUNK_KEY, "x.level", "x.n_tokens", "term", "x.cnt"))
-    if "summary" in levels:
-        out.append(term_counts(parts.base, X.tokenize("summary"), "summary")
-                   .select(*CHUNK_KEY, "level", "n_tokens", "term", "cnt"))
-    result = out[0]
-    for df in out[1:]:
-        result = result.unionByName(df)
-    return result
+    cnt)``.  Keywords are distinct tokens already, so each counts once."""
+    return parts.terms(levels)
 
 
 def term_frequency(counts: DataFrame) -> DataFrame:
@@ -64,7 +41,7 @@ def term_frequency(counts: DataFrame) -> DataFrame:
 def chunk_totals(parts: PyramidParts, scope: str) -> DataFrame:
     """N per scope: number of chunks, counting chunks without any token."""
     cols = _scope_cols(scope)
-    return parts.base.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_chunks"))
+    return parts.chunks.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_chunks"))
 
 
 def document_frequency(tf: DataFrame, scope: str) -> DataFrame:
@@ -91,9 +68,10 @@ def build_postings(parts: PyramidParts, scope: str = "corpus", levels=K.LEVELS,
     """A4 + A5: ``postings(doc_id, chunk_no, level, term, tf, idf, weight, norm)``.
 
     ``norm`` (the chunk's vector length at that level) is carried on every posting so a
-    search needs no second join to normalise.  The idf join goes broadcast when AQE
-    measures the idf side under the broadcast threshold, and sort-merge (with skew
-    splitting for very frequent terms) otherwise.
+    search needs no second join to normalise.  The idf join goes broadcast only when AQE
+    measures the idf side under the adaptive threshold, and sort-merge (with skew splitting
+    for very frequent terms) otherwise.  The weighted postings are clustered by chunk once,
+    and the norm is a window over that: a group is one window of text, so it is bounded.
     """
     cols = _scope_cols(scope)
     tf = term_frequency(level_counts(parts, levels))
@@ -106,11 +84,8 @@ def build_postings(parts: PyramidParts, scope: str = "corpus", levels=K.LEVELS,
     weighted = (tf.join(idf.select(*keys, "idf"), keys, "inner")
                 .select(*CHUNK_KEY, "level", "term", "tf", "idf",
                         (F.col("tf") * F.col("idf")).alias("weight")))
-    # Vector lengths: a partially aggregated group-by (one row per chunk and level leaves
-    # each task) joined back, instead of a window that would shuffle and sort every posting.
-    norms = (weighted.groupBy(*CHUNK_KEY, "level")
-             .agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm")))
-    return weighted.join(norms, CHUNK_KEY + ["level"], "inner")
+    of_chunk = Window.partitionBy(*CHUNK_KEY, "level")
+    return weighted.withColumn("norm", F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(of_chunk)))
 
 
 def vector_norms(postings: DataFrame) -> DataFrame:

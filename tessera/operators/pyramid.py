@@ -1,98 +1,97 @@
 """Four-layer pyramid per chunk (Q1): raw text, summary, category and keywords.
 
-Layout: the chunk table is hash-partitioned once on the chunk key ``(doc_id, chunk_no)``
-and written once as a table bucketed on that key.  Every later per-chunk step (the token
-explode, the per-(chunk, term) counts, the keyword top-k and the join back to the chunk
-row) is keyed by a superset of that key, so Spark plans all of them without a further
-exchange.  A chunk is at most one window long, so no single group can grow with the data.
+Every layer depends on one chunk row only, so all of them are projections of the chunk
+table: terms are counted inside the row (a sorted array of (term, position) pairs, whose
+runs are the terms), and nothing is shuffled.  The index explodes the counted terms once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import constants as K
 from tessera.functions import text as X
-from tessera.session import materialize_bucketed, text_partitions
 
 CHUNK_KEY = ["doc_id", "chunk_no"]
 
 
-def term_counts(df: DataFrame, tokens: Column, level: str,
-                key: list[str] = CHUNK_KEY) -> DataFrame:
-    """Long term counts ``(key.., level, n_tokens, term, cnt, first_pos)`` for a token
-    array column.  ``n_tokens`` is the array length (the TF denominator)."""
-    # The token array is materialised once per row before the explode; computing its
-    # size next to the generator would re-tokenise the text once per produced token.
-    arrays = df.select(*key, tokens.alias("_toks")).select(
-        *key, F.size("_toks").alias("n_tokens"), "_toks")
-    exploded = arrays.select(*key, F.lit(level).alias("level"), "n_tokens",
-                             F.posexplode("_toks").alias("pos", "term"))
-    return (exploded.groupBy(*key, "level", "n_tokens", "term")
-            .agg(F.count(F.lit(1)).alias("cnt"), F.min("pos").alias("first_pos")))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, evaluated once per row (an expression that a lambda captures
+    would be evaluated for every element)."""
+    return F.get(F.transform(F.array(value), body), 0)
+
 
+def count_terms(tokens: Column) -> Column:
+    """``array<struct<first_pos, cnt, term>>`` of a token array, by first position: runs of
+    the sorted (term, position) pairs."""
+    def runs(pairs: Column) -> Column:
+        starts = F.filter(F.transform(pairs, lambda _, i: i), lambda i: (i == 0) | (
+            F.get(pairs, i - 1)["term"] != F.get(pairs, i)["term"]))
+        return _let(starts, lambda at: F.transform(at, lambda i, n: F.struct(
+            F.get(pairs, i)["pos"].alias("first_pos"),
+            (F.coalesce(F.get(at, n + 1), F.size(pairs)) - i).cast("long").alias("cnt"),
+            F.get(pairs, i)["term"].alias("term"))))
 
-def rank_terms(counts: DataFrame, k: int, key: list[str] = CHUNK_KEY) -> DataFrame:
-    """Adds ``kw_rank`` (1 = most frequent; equal counts keep first-occurrence order) and
-    ``n_keywords`` (= min(k, distinct terms of the chunk)).  Windows per chunk: bounded by
-    one window's length, and keyed like the chunk table's partitioning."""
-    order = Window.partitionBy(*key).orderBy(F.col("cnt").desc(), F.col("first_pos"))
-    whole = Window.partitionBy(*key)
-    return (counts.withColumn("kw_rank", F.row_number().over(order))
-            .withColumn("n_keywords", F.least(F.count(F.lit(1)).over(whole), F.lit(k))))
+    return F.array_sort(_let(F.array_sort(F.transform(tokens, lambda t, i: F.struct(
+        t.alias("term"), i.alias("pos")))), runs))
 
 
-def top_terms(ranked: DataFrame, k: int, key: list[str] = CHUNK_KEY) -> DataFrame:
-    """Top-k terms per chunk as an ordered array, from :func:`rank_terms` output."""
-    top = F.sort_array(F.collect_list(F.struct("kw_rank", "term")))
-    return (ranked.where(F.col("kw_rank") <= k).groupBy(*key)
-            .agg(F.transform(top, lambda s: s["term"]).alias("keywords")))
+def top_terms(terms: Column, k: int) -> Column:
+    """The ``k`` most frequent terms of :func:`count_terms`; equal counts keep the order of
+    first occurrence."""
+    ranked = F.array_sort(F.transform(terms, lambda t: F.struct(
+        (-t["cnt"]).alias("c"), t["first_pos"].alias("p"), t["term"].alias("term"))))
+    return F.transform(F.slice(ranked, 1, k), lambda t: t["term"])
 
 
 class PyramidParts:
-    """The pieces of the pyramid over one chunk table, all read from one bucketed copy.
+    """The pieces of the pyramid over one chunk table, as projections of it.
 
     ``base``: chunk key, chunk_id, start_char, end_char, raw_text, summary, category.
-    ``raw_counts``: raw-level term counts ``(doc_id, chunk_no, level, n_tokens, term, cnt,
-    first_pos)``; ``ranked_counts`` adds ``kw_rank`` and ``n_keywords``.
-    ``keywords``: ``(doc_id, chunk_no, keywords)`` for chunks with tokens.
+    ``pyramid``: the same with ``keywords``.
+    ``terms``: chunk key and, for each level, its number of tokens and its counted terms.
     """
 
     def __init__(self, chunks: DataFrame, top_k: int = K.KEYWORDS_TOP_K, summariser=None,
-                 rules=K.CATEGORY_RULES, n_sentences: int = K.SUMMARY_SENTENCES,
-                 checkpoint: bool = True):
-        meta = ["chunk_id", "start_char", "end_char"]
-        # Explicit partition count (grows with the input splits): text stages are
-        # CPU-bound, so they must not be coalesced by byte size into a few tasks.
-        n = text_partitions(chunks)
-        shared = (chunks.where(F.col("doc_id").isNotNull())
-                  .select(*CHUNK_KEY, *meta, F.col("text").alias("raw_text")))
-        if checkpoint:
-            # every layer, the pyramid join and the index read this table: write it once,
-            # bucketed by chunk key, so every reader keeps the chunk-key partitioning and
-            # the window step never re-runs
-            shared = materialize_bucketed(shared, n, CHUNK_KEY, "tessera_chunks")
-        else:
-            shared = shared.repartition(n, *CHUNK_KEY)
-        self.top_k = top_k
-        self.raw_counts = term_counts(shared, X.tokenize("raw_text"), "raw")
-        self.ranked_counts = rank_terms(self.raw_counts, top_k)
-        self.keywords = top_terms(self.ranked_counts, top_k)
-        summary = (summariser(F.col("raw_text")) if summariser
-                   else X.summarise("raw_text", n_sentences))
-        # lower-case once in its own projection; the category rules test it many times
-        lowered = shared.select("*", F.lower("raw_text").alias("_lower"))
-        self.base = lowered.select(*CHUNK_KEY, *meta, "raw_text", summary.alias("summary"),
-                                   X.categorise("_lower", rules, lowered=True).alias("category"))
+                 rules=K.CATEGORY_RULES, n_sentences: int = K.SUMMARY_SENTENCES):
+        self.chunks = chunks.select(*CHUNK_KEY, "chunk_id", "start_char", "end_char",
+                                    F.col("text").alias("raw_text"))
+        self.top_k, self.rules = top_k, rules
+        self.summary = summariser or (lambda text: X.summarise(text, n_sentences))
+
+    @property
+    def base(self) -> DataFrame:
+        # lower-case and score in projections of their own: the category tests both many times
+        scored = X.with_categories(self.chunks.select("*", F.lower("raw_text").alias("_lower")), "_lower", self.rules)
+        return scored.select(*self.chunks.columns, self.summary(F.col("raw_text")).alias("summary"), "category")
 
     @property
     def pyramid(self) -> DataFrame:
         """One row per chunk with all four layers (chunks without tokens get ``[]``)."""
-        return (self.base.join(self.keywords, CHUNK_KEY, "left")
-                .select(*CHUNK_KEY, "chunk_id", "start_char", "end_char", "raw_text", "summary",
-                        "category",
-                        F.coalesce("keywords", F.array().cast("array<string>")).alias("keywords")))
+        counted = self.base.withColumn("_terms", count_terms(X.tokenize("raw_text")))
+        return counted.withColumn("keywords", top_terms(F.col("_terms"), self.top_k)).drop("_terms")
+
+    def terms(self, levels=K.LEVELS) -> DataFrame:
+        """``(key.., level, n_tokens, term, cnt)`` of the requested levels: one pass over the
+        chunks and one explode."""
+        raw = count_terms(X.tokenize("raw_text"))
+        short = count_terms(X.tokenize(self.summary(F.col("raw_text"))))
+        out = self.chunks.select(*CHUNK_KEY, raw.alias("_raw"), *([short.alias("_short")] if "summary" in levels else []))
+        total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda n, t: n + t["cnt"]).cast("int")
+        pairs = lambda a: F.transform(a, lambda t: F.struct(t["term"].alias("term"), t["cnt"].alias("cnt")))
+        parts = {"raw": lambda: (total(F.col("_raw")), pairs(F.col("_raw"))),
+                 "summary": lambda: (total(F.col("_short")), pairs(F.col("_short"))),
+                 "keywords": lambda: (F.size("_kw"), F.transform("_kw", lambda t: F.struct(
+                     t.alias("term"), F.lit(1).cast("long").alias("cnt"))))}
+        if "keywords" in levels:
+            out = out.withColumn("_kw", top_terms(F.col("_raw"), self.top_k))
+        rows = F.array(*[F.struct(F.lit(lv).alias("level"), parts[lv]()[0].alias("n_tokens"), parts[lv]()[1].alias("terms"))
+                         for lv in K.LEVELS if lv in levels])
+        return (out.select(*CHUNK_KEY, F.inline(rows))
+                .select(*CHUNK_KEY, "level", "n_tokens", F.inline("terms")))
 
 
 def build_pyramid(chunks: DataFrame, **kwargs) -> DataFrame:

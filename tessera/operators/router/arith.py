@@ -3,28 +3,35 @@
 Only rows whose first digit/operator run contains an operator reach this step; the JVM
 does that selection and passes NULL for every other row.  The expression is parsed with
 Python's own parser and evaluated over numbers, unary +/- and + - * / // ** only (never
-``eval``); a power with an exponent above ``MAX_EXPONENT`` counts as a failure.  Failures
-(syntax, division by zero, oversized results) return NULL, sending the row to the
-word-problem branch exactly like an exception would.
+``eval``).  A power is guarded by the digits its value would have (``MAX_DIGITS``), never by
+its exponent, so ``1 ** 1001`` is 1 and nested powers end.  ``status`` says what became of
+a row: ``ok``, ``failed`` (syntax, division by zero) or ``guarded``; only ``ok`` rows have an
+answer, the others take the word-problem branch like after an exception.
 """
 
 from __future__ import annotations
 
 import ast
+import math
 import operator
 
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_EXPONENT = 1000
+MAX_DIGITS = 100_000   # about twenty times what Python will print of an integer
 
 RESULT_TYPE = T.StructType([
     T.StructField("answer", T.StringType()),   # str(round(result, 4))
     T.StructField("computed", T.StringType()),  # str(result)
     T.StructField("value", T.DoubleType()),
+    T.StructField("status", T.StringType()),
 ])
 
+
+class Guarded(Exception):
+    """A value would have more than ``MAX_DIGITS`` digits."""
+
 _BIN = {ast.Add: operator.add, ast.Sub: operator.sub, ast.Mult: operator.mul,
         ast.Div: operator.truediv, ast.FloorDiv: operator.floordiv}
 _UN = {ast.UAdd: operator.pos, ast.USub: operator.neg}
@@ -40,38 +47,38 @@ def _eval(node):
     if isinstance(node, ast.BinOp):
         left, right = _eval(node.left), _eval(node.right)
         if isinstance(node.op, ast.Pow):
-            if abs(right) > MAX_EXPONENT:
-                raise OverflowError("exponent too large")
+            if (isinstance(left, int) and isinstance(right, int) and right > 0 and abs(left) > 1
+                    and right * math.log10(abs(left)) > MAX_DIGITS):
+                raise Guarded
             return left ** right
         if type(node.op) in _BIN:
             return _BIN[type(node.op)](left, right)
     raise ValueError("unsupported expression")
 
 
-def evaluate(expr: str):
-    """``(answer, computed, value)`` or ``None`` when the expression fails."""
+def evaluate(expr: str) -> tuple:
+    """``(answer, computed, value, status)``."""
     try:
         result = _eval(ast.parse(expr, mode="eval"))
         if isinstance(result, complex):
-            return None
-        computed = str(result)
-        answer = str(round(result, 4))
+            return None, None, None, "failed"
+        computed, answer = str(result), str(round(result, 4))
         try:
             value = float(result)
         except OverflowError:
             value = None
-        return answer, computed, value
+        return answer, computed, value, "ok"
+    except Guarded:
+        return None, None, None, "guarded"
     except Exception:  # noqa: BLE001 - any failure falls through to the word problem
-        return None
+        return None, None, None, "failed"
 
 
 def _arithmetic(exprs: pd.Series) -> pd.DataFrame:
-    rows = [evaluate(e) if isinstance(e, str) else None for e in exprs]
-    return pd.DataFrame({
-        "answer": [r[0] if r else None for r in rows],
-        "computed": [r[1] if r else None for r in rows],
-        "value": [r[2] if r else None for r in rows],
-    })
+    none = (None,) * 4
+    rows = [evaluate(e) if isinstance(e, str) else none for e in exprs]
+    return pd.DataFrame(rows, columns=["answer", "computed", "value", "status"]).astype(
+        {"answer": object, "computed": object, "status": object})
 
 
 # Marked non-deterministic so Catalyst neither duplicates the call (e.g. when a filter on

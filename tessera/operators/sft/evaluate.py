@@ -33,11 +33,6 @@ def exact_match_accuracy(scored: DataFrame) -> DataFrame:
                       (F.coalesce(correct, F.lit(0)) / F.greatest(total, F.lit(1))).alias("accuracy"))
 
 
-def step_log(events: DataFrame) -> DataFrame:
-    """The events table read as a training step log: step = event_id + 1, loss = value."""
-    return events.select((F.col("event_id") + 1).alias("step"), F.col("value").alias("loss"))
-
-
 def loss_rollup(steps: DataFrame, every: int = K.LOGGING_STEPS) -> DataFrame:
     """A10: one record per block of ``every`` steps: the block's last step, its number of
     steps and the mean loss (rounded to 4 places as logged)."""
@@ -48,20 +43,16 @@ def loss_rollup(steps: DataFrame, every: int = K.LOGGING_STEPS) -> DataFrame:
                     F.round("mean_loss", 4).alias("train_loss")))
 
 
+def with_epoch(rollup: DataFrame, steps_per_epoch) -> DataFrame:
+    """Adds ``epoch`` (from 1) to metric records: the epoch of the block's last step."""
+    return rollup.withColumn("epoch", F.ceil(F.col("step") / steps_per_epoch).cast("int"))
+
+
 def checkpoint_steps(steps: DataFrame, every: int = K.SAVE_STEPS) -> DataFrame:
     """The steps at which a checkpoint is written (multiples of ``every``)."""
     return steps.where(F.col("step") % every == 0).select("step").distinct()
 
 
-def epoch_accuracy(events: DataFrame) -> DataFrame:
-    """Per (run, epoch) accuracy read from the events table: run = user, epoch = day of the
-    log (1 = first day in the table), accuracy = share of ``purchase`` events."""
-    first_day = events.select(F.min(F.to_date("ts"))).scalar()
-    return (events.groupBy(F.col("user_id").alias("run_id"),
-                           (F.datediff(F.to_date("ts"), first_day) + 1).alias("epoch"))
-            .agg(F.avg((F.col("event_type") == "purchase").cast("double")).alias("accuracy")))
-
-
 def best_checkpoints(acc: DataFrame) -> DataFrame:
     """An epoch is kept when its accuracy is strictly above every earlier epoch of the
     same run (and above 0.0, the starting best)."""

@@ -3,11 +3,11 @@
 * Sampling is a distributed top-n on an ``md5(seed-id)`` key (``orderBy().limit()`` keeps at
   most n rows per partition before the final merge): reproducible, independent of
   partitioning, and never a global window over the whole table.
-* The vocabulary is the ``max_size`` most frequent tokens; token counts are aggregated with
-  map-side combine, and only the bounded top list is ranked.  Its size bound is what makes
-  broadcasting it for encoding safe.
-* Encoding is a narrow map over Arrow batches: tokens are looked up in the bounded
-  vocabulary, broadcast once to every executor.  Rows never regroup, so nothing shuffles.
+* Global ranks (the split, token ids) are counts of the groups before, plus the place in the
+  group; groups are md5 prefixes, so no window sees more than a small share of the table.
+* The vocabulary has every token of the corpus (``max_size`` can cut it where a model needs
+  that).  Encoding looks tokens up in a broadcast copy if the vocabulary has at most
+  ``BROADCAST_VOCAB`` entries, and by a join on the token otherwise; the result is the same.
 """
 
 from __future__ import annotations
@@ -21,15 +21,16 @@ from pyspark.sql import types as T
 
 from tessera.functions import constants as K
 from tessera.functions import text as X
-from tessera.session import spread, text_partitions
+from tessera.session import materialize
 
 # Word-character runs or one other non-blank character (explicit classes, so the same
 # pattern means the same thing to every regex engine).
 TOKEN_PATTERN = r"[A-Za-z0-9_]+|[^ \t\n\r\f\x0BA-Za-z0-9_]"
-PAD_ID, UNK_ID = 0, 1
-SPECIAL = ["<pad>", "<unk>"]
-DEFAULT_VOCAB = 32000
-DEFAULT_VOCAB_LIMIT = 1_000_000   # hard bound on what encode() will broadcast
+PAD_ID, UNK_ID, EOS_ID = 0, 1, 2
+SPECIAL = ["<pad>", "<unk>", "<eos>"]
+BROADCAST_VOCAB = 1_000_000   # larger vocabularies are joined, not broadcast
+TRAIN_SHARE = 0.75
+ROWS_PER_BUCKET = 1024
 
 
 def sample_key(id_col: str = "qa_id", seed: int = K.SEED) -> Column:
@@ -46,15 +47,20 @@ def sample_eval(qa: DataFrame, n: int = K.EVAL_SAMPLES) -> DataFrame:
     return qa.orderBy("qa_id").limit(n)
 
 
-def split_qa(qa: DataFrame, n_train: int = K.TRAIN_SAMPLES, n_eval: int = K.EVAL_SAMPLES,
-             seed: int = K.SEED) -> DataFrame:
-    """Disjoint train / eval split of one table: in seeded order, the first ``n_train``
-    rows train, the next ``n_eval`` evaluate.  Only ``n_train + n_eval`` rows are ranked."""
-    head = qa.orderBy(sample_key(seed=seed), F.col("qa_id")).limit(n_train + n_eval)
-    ranked = head.withColumn("_rk", F.row_number().over(
-        Window.orderBy(sample_key(seed=seed), F.col("qa_id"))))
-    return ranked.select("*", F.when(F.col("_rk") <= n_train, "train").otherwise("eval")
-                         .alias("split")).drop("_rk")
+def split_qa(qa: DataFrame, train_share: float = TRAIN_SHARE, seed: int = K.SEED) -> DataFrame:
+    """Every row is in one split: in seeded order, the first ``floor(train_share * rows)``
+    rows train and the rest evaluate.
+
+    The order is that of an md5 key, so its first four digits deal the rows evenly into
+    65,536 groups; a row's rank is the size of the groups before and its place in its own."""
+    keyed = qa.select("*", sample_key(seed=seed).alias("_key")).withColumn("_group", F.substring("_key", 1, 4))
+    sizes = keyed.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_group", (F.sum("_n").over(Window.orderBy("_group")) - F.col("_n")).alias("_before"))
+    rows = sizes.select(F.sum("_n")).scalar()
+    place = F.row_number().over(Window.partitionBy("_group").orderBy("_key", "qa_id"))
+    ranked = keyed.withColumn("_place", place).join(before, "_group")
+    in_train = F.col("_before") + F.col("_place") <= F.floor(rows * F.lit(train_share))
+    return ranked.select(*qa.columns, F.when(in_train, "train").otherwise("eval").alias("split"))
 
 
 def with_prompts(qa: DataFrame) -> DataFrame:
@@ -69,17 +75,30 @@ def tokens(text) -> Column:
 
 
 def build_vocab(corpus: DataFrame, text_col: str = "train_prompt",
-                max_size: int = DEFAULT_VOCAB) -> DataFrame:
-    """T4: ``(token, token_id, freq)``; ids 0 and 1 are pad and unk, then tokens by
-    frequency (ties by token)."""
+                max_size: int | None = None) -> DataFrame:
+    """T4: ``(token, token_id, freq)``; pad, unk and eos first, then every token by frequency
+    (ties by md5 of the token).  ``max_size`` keeps that many entries.
+
+    An id is the number of tokens of higher frequency, plus those of equal frequency in
+    earlier md5 groups, plus the place in the group: rare tokens, of which there may be
+    very many of one frequency, never meet in one task."""
     counts = (corpus.select(F.explode(tokens(text_col)).alias("token"))
-              .groupBy("token").agg(F.count(F.lit(1)).alias("freq")))
-    top = counts.orderBy(F.col("freq").desc(), F.col("token")).limit(max_size - len(SPECIAL))
-    ranked = top.withColumn("token_id", (F.row_number().over(
-        Window.orderBy(F.col("freq").desc(), F.col("token"))) + len(SPECIAL) - 1).cast("int"))
+              .groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
+              .select("*", F.md5("token").alias("_key"), F.substring(F.md5("token"), 1, 3).alias("_group")))
+    groups = counts.groupBy("freq", "_group").agg(F.count(F.lit(1)).alias("_n"))
+    levels = groups.groupBy("freq").agg(F.sum("_n").alias("_n"))
+    higher = levels.select("freq", (F.sum("_n").over(Window.orderBy(F.col("freq").desc())) - F.col("_n")).alias("_higher"))
+    earlier = groups.select("freq", "_group", (F.sum("_n").over(
+        Window.partitionBy("freq").orderBy("_group")) - F.col("_n")).alias("_earlier"))
+    place = F.row_number().over(Window.partitionBy("freq", "_group").orderBy("_key"))
+    token_id = F.col("_higher") + F.col("_earlier") + F.col("_place") + (len(SPECIAL) - 1)
+    ranked = (counts.withColumn("_place", place).join(earlier, ["freq", "_group"]).join(higher, "freq")
+              .select("token", token_id.cast("int").alias("token_id"), "freq"))
+    if max_size is not None:
+        ranked = ranked.where(F.col("token_id") < max_size)
     special = corpus.sparkSession.createDataFrame(
         [(t, i, 0) for i, t in enumerate(SPECIAL)], "token string, token_id int, freq long")
-    return special.unionByName(ranked.select("token", "token_id", "freq"))
+    return special.unionByName(ranked)
 
 
 ENCODED_TYPE = T.StructType([
@@ -109,22 +128,17 @@ def encode(examples: DataFrame, vocab: DataFrame, max_len: int = K.MAX_SEQ_LEN,
     (inference prompt length, also truncated), ``labels`` (first ``n_prompt`` positions
     -100), ``attention_mask`` (ids != pad) and ``n_label_tokens``.
 
-    Encoding is a narrow, vectorised map: each Arrow batch of prompts is tokenised with the
-    same pattern and looked up in the vocabulary, shipped once to every executor as a
-    broadcast variable.  That is safe because the vocabulary is bounded by its
-    ``max_size`` (checked here).  No explode, no regrouping, no shuffle.  The prompt's
-    tokens are a prefix of the train prompt's tokens (the prompt ends with a line break),
-    so the prompt length is a count."""
-    spark = examples.sparkSession
-    # never pull more than the limit to the driver, whatever vocabulary is passed in
-    rows = vocab.select("token", "token_id").limit(DEFAULT_VOCAB_LIMIT + 1).collect()
-    if len(rows) > DEFAULT_VOCAB_LIMIT:
-        raise ValueError(f"vocabulary of {len(rows)} entries exceeds {DEFAULT_VOCAB_LIMIT}")
-    vocab_bc = spark.sparkContext.broadcast({r.token: r.token_id for r in rows})
-    enc = _encoder(vocab_bc, max_len)(F.col("train_prompt"), F.col("inference_prompt"))
-    out = spread(examples).select(id_col, *keep, enc.alias("_e")).select(
-        id_col, *keep, F.col("_e.input_ids").alias("input_ids"),
-        F.col("_e.n_prompt").alias("n_prompt"))
+    The prompt's tokens are a prefix of the train prompt's tokens (the prompt ends with a
+    line break), so the prompt length is a count."""
+    # never more than the limit comes to the driver, whatever vocabulary is passed in
+    rows = vocab.select("token", "token_id").limit(BROADCAST_VOCAB + 1).collect()
+    if len(rows) > BROADCAST_VOCAB:
+        out = _encode_joined(examples, vocab, max_len, id_col, keep)
+    else:
+        known = examples.sparkSession.sparkContext.broadcast({r.token: r.token_id for r in rows})
+        enc = _encoder(known, max_len)(F.col("train_prompt"), F.col("inference_prompt"))
+        out = examples.select(id_col, *keep, enc.alias("_e")).select(
+            id_col, *keep, F.col("_e.input_ids").alias("input_ids"), F.col("_e.n_prompt").alias("n_prompt"))
     labels = F.transform("input_ids", lambda x, i: F.when(i < F.col("n_prompt"),
                                                             F.lit(K.LABEL_IGNORE_ID)).otherwise(x))
     mask = F.transform("input_ids", lambda x: F.when(x == PAD_ID, 0).otherwise(1))
@@ -135,22 +149,38 @@ def encode(examples: DataFrame, vocab: DataFrame, max_len: int = K.MAX_SEQ_LEN,
                       .alias("n_label_tokens"))
 
 
-def bucket_of(id_col: str, n_buckets: int) -> Column:
+def _encode_joined(examples: DataFrame, vocab: DataFrame, max_len: int, id_col: str, keep: tuple) -> DataFrame:
+    """Encoding without a copy of the vocabulary in each task: a row's distinct tokens are
+    joined with it (a frequent token is a skewed join that Spark splits) and come back as
+    one map of at most ``max_len`` tokens."""
+    rows = materialize(examples.select(
+        F.monotonically_increasing_id().alias("_row"), id_col, *keep,
+        F.slice(tokens("train_prompt"), 1, max_len).alias("_tokens"),
+        F.when(F.col("inference_prompt").isNull(), 0)
+        .otherwise(F.least(F.size(tokens("inference_prompt")), F.lit(max_len))).alias("n_prompt")))
+    found = (rows.select("_row", F.explode(F.array_distinct("_tokens")).alias("token")).join(vocab, "token")
+             .groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("token", "token_id"))).alias("_ids")))
+    ids = F.transform("_tokens", lambda t: F.coalesce(F.try_element_at("_ids", t), F.lit(UNK_ID)))
+    return (rows.join(found, "_row", "left")
+            .select(id_col, *keep, F.coalesce(ids, F.array().cast("array<int>")).alias("input_ids"),
+                    "n_prompt"))
+
+
+def bucket_of(id_col: str, n_buckets) -> Column:
     return (F.conv(F.substring(F.md5(F.col(id_col).cast("string")), 1, 8), 16, 10)
             .cast("bigint") % n_buckets)
 
 
 def left_pad_batches(encoded: DataFrame, batch_size: int = K.BATCH_SIZE,
-                     n_buckets: int | None = None, id_col: str = "qa_id") -> DataFrame:
+                     rows_per_bucket: int = ROWS_PER_BUCKET, id_col: str = "qa_id") -> DataFrame:
     """Batches of ``batch_size`` inside md5 buckets (rows numbered per bucket, never
     over the whole table); each sequence is left-padded with pad ids to its batch's
-    longest length, the attention mask with zeros.  ``n_buckets`` defaults to the larger
-    of the task slots and the encoded table's partition count, so a bucket's window
-    stays about one partition in size."""
-    if "bucket" not in encoded.columns:
-        if n_buckets is None:
-            n_buckets = text_partitions(encoded)
-        encoded = encoded.select("*", bucket_of(id_col, n_buckets).alias("bucket"))
+    longest length, the attention mask with zeros.  The number of buckets is the number of
+    rows over ``rows_per_bucket``, rounded up, so a batch depends on the rows and the
+    parameters only, on any cluster."""
+    rows = encoded.select(F.count(F.lit(1))).scalar()
+    n_buckets = F.greatest(F.ceil(rows / rows_per_bucket), F.lit(1))
+    encoded = encoded.select("*", bucket_of(id_col, n_buckets).alias("bucket"))
     rn = F.row_number().over(Window.partitionBy("bucket").orderBy(id_col))
     b = encoded.withColumn("batch_no", F.floor((rn - 1) / batch_size).cast("int"))
     longest = F.max("n_tokens").over(Window.partitionBy("bucket", "batch_no"))
@@ -190,10 +220,9 @@ def step_plan(train: DataFrame, batch_size: int = K.BATCH_SIZE,
 
 
 def encode_batches(qa: DataFrame, vocab: DataFrame, max_len: int = K.MAX_SEQ_LEN,
-                   batch_size: int = K.BATCH_SIZE, n_buckets: int | None = None,
+                   batch_size: int = K.BATCH_SIZE, rows_per_bucket: int = ROWS_PER_BUCKET,
                    id_col: str = "qa_id") -> DataFrame:
     """T4-T7 in one plan: prompts, encoding and masks (narrow maps), then left-padded
-    batches (one shuffle by bucket; the Python encoding step does not report its input's
-    partitioning to the planner, so partitioning earlier would only add a shuffle)."""
+    batches (one shuffle by bucket)."""
     encoded = encode(with_prompts(qa), vocab, max_len, id_col)
-    return left_pad_batches(encoded, batch_size, n_buckets, id_col)
+    return left_pad_batches(encoded, batch_size, rows_per_bucket, id_col)

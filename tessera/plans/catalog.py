@@ -1,9 +1,9 @@
 """Registered queries: name -> (Spark plan builder, DuckDB oracle SQL or None).
 
 Every builder takes ``(spark, base_dir)`` and returns a DataFrame over the tables in
-``base_dir``.  Most are lazy; the pyramid builders write the bucketed chunk table when
-called, and the round-trip and streaming builders first write their output to the shared
-folder and return the read-back.  Output columns are named identically in the Spark plan
+``base_dir``.  Most are lazy; index builds write their term frequencies when called, and the
+round-trip and streaming builders first write their output to the shared folder and return
+the read-back.  Output columns are named identically in the Spark plan
 and the SQL; doubles are rounded (``R``) to 6 decimals in both, arrays are flattened to
 strings.
 """
@@ -22,6 +22,7 @@ from tessera.operators.chunking import chunk_documents
 from tessera.operators.pyramid import PyramidParts
 from tessera.operators.search import cosine_scores, query_vectors, search
 from tessera.plans import oracle as O
+from tessera.plans import standins as SI
 from tessera.session import spread
 from tessera.sources import tables as TB
 
@@ -279,7 +280,7 @@ def _rsql(select: str) -> str:
 
 
 def _rq(spark, base):
-    return spread(router_queries(spark, base))
+    return router_queries(spark, base)
 
 
 def _routed(spark, base, router: Router | None = None):
@@ -448,11 +449,11 @@ def _prompts_sql(src: str) -> str:
 
 
 _TOK = O._q(PR.TOKEN_PATTERN)
-_VOCAB_CTE = f"""train AS ({_prompts_sql(_TRAIN)}),
+_VOCAB_CTE = f"""train AS ({_prompts_sql(_SYNTH)}),
 counts AS (SELECT token, count(*) AS freq FROM (SELECT unnest(regexp_extract_all(train_prompt, {_TOK})) AS token FROM train) GROUP BY token),
-ranked AS (SELECT token, CAST(row_number() OVER (ORDER BY freq DESC, token) + 1 AS INTEGER) AS token_id, freq FROM counts),
+ranked AS (SELECT token, CAST(row_number() OVER (ORDER BY freq DESC, md5(token)) + 2 AS INTEGER) AS token_id, freq FROM counts),
 vocab AS (SELECT '<pad>' AS token, 0 AS token_id, 0 AS freq UNION ALL SELECT '<unk>', 1, 0
-          UNION ALL SELECT token, token_id, freq FROM ranked WHERE token_id < {PR.DEFAULT_VOCAB})"""
+          UNION ALL SELECT '<eos>', 2, 0 UNION ALL SELECT token, token_id, freq FROM ranked)"""
 _ENC_CTE = _VOCAB_CTE + f""",
 train_rows AS (SELECT *, row_number() OVER () AS rid FROM train),
 toks AS (
@@ -491,8 +492,8 @@ def _train(spark, base):
 
 
 def _encoded(spark, base):
-    train = PR.with_prompts(_train(spark, base))
-    return PR.encode(train, PR.build_vocab(train))
+    rows = PR.with_prompts(_synth(spark, base))
+    return PR.encode(rows, PR.build_vocab(rows))
 
 
 @register("qa_pairs", _PAIRS)
@@ -516,9 +517,8 @@ def sample_eval(spark, base):
     return PR.sample_eval(QA.qa_pairs(spark, base))
 
 
-@register("split_qa", f"""SELECT qa_id, CASE WHEN rk <= {K.TRAIN_SAMPLES} THEN 'train' ELSE 'eval' END AS split
-FROM (SELECT qa_id, row_number() OVER (ORDER BY {_SEED_KEY}, qa_id) AS rk FROM ({_SYNTH}))
-WHERE rk <= {K.TRAIN_SAMPLES + K.EVAL_SAMPLES}""")
+@register("split_qa", f"""SELECT qa_id, CASE WHEN rk <= floor(n * {PR.TRAIN_SHARE}) THEN 'train' ELSE 'eval' END AS split
+FROM (SELECT qa_id, row_number() OVER (ORDER BY {_SEED_KEY}, qa_id) AS rk, count(*) OVER () AS n FROM ({_SYNTH}))""")
 def split_qa(spark, base):
     return PR.split_qa(_synth(spark, base)).select("qa_id", "split")
 
@@ -541,17 +541,17 @@ def _extract_sql(c: str) -> str:
 
 @register("extract_answer", f"""SELECT s.qa_id, {_extract_sql('s.answer')} AS from_answer,
   {_extract_sql('p.generated')} AS from_generated
-FROM ({_SYNTH}) s JOIN ({QA.predictions_sql(_SYNTH)}) p USING (qa_id)""")
+FROM ({_SYNTH}) s JOIN ({SI.predictions_sql(_SYNTH)}) p USING (qa_id)""")
 def extract_answer(spark, base):
     s = _synth(spark, base)
-    p = QA.predictions(s)
+    p = SI.predictions(s)
     return s.join(p, "qa_id").select("qa_id", X.extract_final_answer("answer").alias("from_answer"),
                                      X.extract_final_answer("generated").alias("from_generated"))
 
 
 @register("build_vocab", "WITH " + _VOCAB_CTE + "\nSELECT token, token_id, freq FROM vocab")
 def build_vocab(spark, base):
-    return PR.build_vocab(PR.with_prompts(_train(spark, base)))
+    return PR.build_vocab(PR.with_prompts(_synth(spark, base)))
 
 
 @register("tokenize_sft", "WITH " + _ENC_CTE + f"""
@@ -577,22 +577,22 @@ def attention_mask(spark, base):
     return e.select("qa_id", _ids_str("attention_mask").alias("attention_mask"))
 
 
-_NB = 64
-_BUCKET = f"(CAST(('0x' || substr(md5(CAST(qa_id AS VARCHAR)), 1, 8)) AS BIGINT) % {_NB})"
+_BUCKET = (f"(CAST(('0x' || substr(md5(CAST(qa_id AS VARCHAR)), 1, 8)) AS BIGINT) % "
+           f"(SELECT greatest(CAST(ceil(count(*) / {PR.ROWS_PER_BUCKET}) AS BIGINT), 1) FROM train))")
 
 
 @register("left_pad_batches", "WITH " + _ENC_CTE + f""",
-b AS (SELECT *, {_BUCKET} AS bucket,
-             CAST(floor((row_number() OVER (PARTITION BY {_BUCKET} ORDER BY qa_id) - 1) / {K.BATCH_SIZE}) AS INTEGER) AS batch_no
-      FROM enc2),
+b0 AS (SELECT *, {_BUCKET} AS bucket FROM enc2),
+b AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY bucket ORDER BY qa_id) - 1) / {K.BATCH_SIZE}) AS INTEGER) AS batch_no
+      FROM b0),
 p AS (SELECT *, max(n_tokens) OVER (PARTITION BY bucket, batch_no) AS padded_len FROM b)
 SELECT qa_id, bucket, batch_no, padded_len, padded_len - n_tokens AS n_pad,
   {_sql_ids("list_concat(list_transform(range(padded_len - n_tokens), lambda x: 0), input_ids)")} AS input_ids,
   {_sql_ids("list_concat(list_transform(range(padded_len - n_tokens), lambda x: 0), attention_mask)")} AS attention_mask
 FROM p""")
 def left_pad_batches(spark, base):
-    train = _train(spark, base)
-    b = PR.encode_batches(train, PR.build_vocab(PR.with_prompts(train)), n_buckets=_NB)
+    rows = _synth(spark, base)
+    b = PR.encode_batches(rows, PR.build_vocab(PR.with_prompts(rows)))
     return b.select("qa_id", "bucket", "batch_no", "padded_len", "n_pad",
                     _ids_str("input_ids").alias("input_ids"),
                     _ids_str("attention_mask").alias("attention_mask"))
@@ -604,8 +604,8 @@ SELECT (SELECT count(*) FROM train) AS n_samples,
        round((SELECT avg(n_tokens) FROM enc2), 6) AS real_tokens_avg,
        (SELECT max(n_tokens) FROM enc2) AS max_tokens""")
 def token_stats(spark, base):
-    train = PR.with_prompts(_train(spark, base))
-    st = PR.token_stats(train, PR.encode(train, PR.build_vocab(train)))
+    rows = PR.with_prompts(_synth(spark, base))
+    st = PR.token_stats(rows, PR.encode(rows, PR.build_vocab(rows)))
     return st.select("n_samples", _r("est_tokens_avg").alias("est_tokens_avg"),
                      _r("real_tokens_avg").alias("real_tokens_avg"), "max_tokens")
 
@@ -620,14 +620,14 @@ def step_plan(spark, base):
 
 
 _SCORED = f"""SELECT s.qa_id, {_extract_sql('p.generated')} AS pred, {_extract_sql('s.answer')} AS truth
-FROM ({_SYNTH}) s LEFT JOIN ({QA.predictions_sql(_SYNTH)}) p USING (qa_id)"""
+FROM ({_SYNTH}) s LEFT JOIN ({SI.predictions_sql(_SYNTH)}) p USING (qa_id)"""
 
 
 @register("score_predictions", f"""SELECT qa_id, pred, truth,
   coalesce(pred IS NOT NULL AND pred = truth, false) AS correct FROM ({_SCORED})""")
 def score_predictions(spark, base):
     s = _synth(spark, base)
-    return EV.score_predictions(QA.predictions(s), s)
+    return EV.score_predictions(SI.predictions(s), s)
 
 
 @register("exact_match_accuracy", f"""SELECT count(*) AS n_total,
@@ -636,7 +636,7 @@ def score_predictions(spark, base):
 FROM ({_SCORED})""")
 def exact_match_accuracy(spark, base):
     s = _synth(spark, base)
-    acc = EV.exact_match_accuracy(EV.score_predictions(QA.predictions(s), s))
+    acc = EV.exact_match_accuracy(EV.score_predictions(SI.predictions(s), s))
     return acc.select("n_total", "n_correct", _r("accuracy").alias("accuracy"))
 
 
@@ -647,13 +647,13 @@ FROM events GROUP BY floor((event_id) / {K.LOGGING_STEPS})"""
 
 @register("loss_rollup", _ROLLUP)
 def loss_rollup(spark, base):
-    return EV.loss_rollup(EV.step_log(TB.read_table(spark, base, "events")))
+    return EV.loss_rollup(SI.step_log(TB.read_table(spark, base, "events")))
 
 
 @register("checkpoint_steps", f"SELECT DISTINCT event_id + 1 AS step FROM events "
                               f"WHERE (event_id + 1) % {K.SAVE_STEPS} = 0")
 def checkpoint_steps(spark, base):
-    return EV.checkpoint_steps(EV.step_log(TB.read_table(spark, base, "events")))
+    return EV.checkpoint_steps(SI.step_log(TB.read_table(spark, base, "events")))
 
 
 _EPOCH_ACC = """SELECT user_id AS run_id,
@@ -667,19 +667,27 @@ FROM events GROUP BY 1, 2"""
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0), 0.0) AS is_best
 FROM ({_EPOCH_ACC})""")
 def best_checkpoints(spark, base):
-    b = EV.best_checkpoints(EV.epoch_accuracy(TB.read_table(spark, base, "events")))
+    b = EV.best_checkpoints(SI.epoch_accuracy(TB.read_table(spark, base, "events")))
     return b.select("run_id", "epoch", _r("accuracy").alias("accuracy"), "is_best")
 
 
-@register("run_summary", f"""SELECT (SELECT count(*) FROM ({_TRAIN})) AS train_samples,
-  (SELECT count(*) FROM (SELECT * FROM ({_PAIRS}) ORDER BY qa_id LIMIT {K.EVAL_SAMPLES})) AS eval_samples,
+_EVAL = f"SELECT * FROM ({_SYNTH}) ORDER BY qa_id LIMIT {K.EVAL_SAMPLES}"
+_EVAL_SCORED = f"""SELECT {_extract_sql('p.generated')} AS pred, {_extract_sql('s.answer')} AS truth
+FROM ({_EVAL}) s LEFT JOIN ({SI.predictions_sql(_EVAL)}) p USING (qa_id)"""
+_SUMMARY = f"""SELECT (SELECT count(*) FROM ({_TRAIN})) AS train_samples,
+  (SELECT count(*) FROM ({_EVAL})) AS eval_samples,
   (SELECT arg_max(train_loss, step) FROM ({_ROLLUP})) AS final_train_loss,
-  (SELECT round(coalesce(sum(CASE WHEN pred IS NOT NULL AND pred = truth THEN 1 ELSE 0 END), 0) / greatest(count(*), 1), 6) FROM ({_SCORED})) AS accuracy""")
+  (SELECT round(coalesce(sum(CASE WHEN pred IS NOT NULL AND pred = truth THEN 1 ELSE 0 END), 0) / greatest(count(*), 1), 6) FROM ({_EVAL_SCORED})) AS accuracy"""
+
+
+@register("run_summary", _SUMMARY)
 def run_summary(spark, base):
-    s = _synth(spark, base)
-    acc = EV.exact_match_accuracy(EV.score_predictions(QA.predictions(s), s))
-    summ = EV.run_summary(_train(spark, base), PR.sample_eval(QA.qa_pairs(spark, base)),
-                          EV.loss_rollup(EV.step_log(TB.read_table(spark, base, "events"))), acc)
+    """Accuracy is that of the evaluation rows."""
+    rows = _synth(spark, base)
+    held = PR.sample_eval(rows)
+    acc = EV.exact_match_accuracy(EV.score_predictions(SI.predictions(held), held))
+    summ = EV.run_summary(PR.sample_train(rows), held,
+                          EV.loss_rollup(SI.step_log(TB.read_table(spark, base, "events"))), acc)
     return summ.select("train_samples", "eval_samples", "final_train_loss",
                        _r("accuracy").alias("accuracy"))
 
@@ -743,13 +751,35 @@ def export_router_log(spark, base):
     return FS.read_json(spark, path, FS.ROUTER_LOG_SCHEMA)
 
 
-@register("export_metrics_json", _ROLLUP)
+_EPOCH_STEPS = f"(SELECT ceil(count(*) / {K.NUM_EPOCHS}) FROM events)"
+
+
+@register("export_metrics_json", f"SELECT *, CAST(ceil(step / {_EPOCH_STEPS}) AS INTEGER) AS epoch FROM ({_ROLLUP})")
 def export_metrics_json(spark, base):
     path = shared_dir(spark, "metrics_json")
-    FS.write_json(EV.loss_rollup(EV.step_log(TB.read_table(spark, base, "events"))), path)
+    steps = SI.step_log(TB.read_table(spark, base, "events"))
+    per_epoch = steps.select(F.ceil(F.count(F.lit(1)) / K.NUM_EPOCHS)).scalar()
+    FS.write_json(EV.with_epoch(EV.loss_rollup(steps), per_epoch), path)
     return FS.read_json(spark, path, FS.METRICS_SCHEMA)
 
 
+@register("export_run_summary_json", _SUMMARY)
+def export_run_summary_json(spark, base):
+    path = shared_dir(spark, "run_summary_json")
+    FS.write_json(run_summary(spark, base), path)
+    return FS.read_json(spark, path, FS.SUMMARY_SCHEMA)
+
+
+@register("src_qa_files", f"SELECT question, answer, 'train' AS split FROM ({_SYNTH}) UNION ALL "
+                          f"SELECT question, answer, 'test' FROM ({_PAIRS})")
+def src_qa_files(spark, base):
+    """Question/answer JSON files in train and test folders, read back."""
+    path = shared_dir(spark, "qa_files")
+    for split, rows in (("train", _synth(spark, base)), ("test", QA.qa_pairs(spark, base))):
+        FS.write_json(rows.select("question", "answer"), f"{path}/split={split}")
+    return QA.read_qa(spark, path)
+
+
 @register("stream_router_log", _rsql(
     "SELECT query_id, substr(query, 1, 100) AS query, detected, module_used, confidence "
     "FROM routed"))

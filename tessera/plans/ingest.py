@@ -1,13 +1,15 @@
 """Ingest and serve (S1, S2, S3, S4): the document path end to end as three calls.
 
 ``ingest_documents`` chunks a document table, builds the pyramid and the postings and
-writes both (plus the chunk ids) under one folder, replacing what was there (overwrite,
-as re-ingesting replaces the index).  ``ingest_files`` does the same for a folder of text
-files, one document per file.  ``search_index`` answers a query table from that folder.
+writes both (plus the chunk ids) into a new version folder; only when all of it is there
+does the pointer ``current`` name that version, so a reader never mixes two ingests.
+``ingest_files`` does the same for a folder of text files, one document per file.
+``search_index`` answers a query table from a version.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,14 +20,19 @@ from tessera.operators.chunking import chunk_documents
 from tessera.operators.corpus import build_postings
 from tessera.operators.pyramid import PyramidParts
 from tessera.operators.search import search
-from tessera.session import spread
 from tessera.sources import files as FS
 
 
 @dataclass
 class IndexPaths:
+    """Folders of one version."""
     root: str
 
+    @classmethod
+    def current(cls, spark: SparkSession, root: str) -> IndexPaths:
+        """The version that ``root`` points at."""
+        return cls(f"{root}/{spark.read.text(f'{root}/current').first()['value']}")
+
     @property
     def postings(self) -> str:
         return f"{self.root}/postings"
@@ -41,14 +48,17 @@ class IndexPaths:
 
 def ingest_documents(docs: DataFrame, root: str, page_chars: int = K.PAGE_CHARS,
                      window_pages: int = K.WINDOW_PAGES, overlap_chars: int = K.OVERLAP_CHARS,
-                     scope: str = "corpus") -> IndexPaths:
+                     scope: str = "corpus", **pyramid) -> IndexPaths:
     """``docs(doc_id, text)`` -> pyramid (JSON lines, without vectors), postings (parquet
-    by level) and chunk ids (parquet) under ``root``; each replaces earlier output."""
-    paths = IndexPaths(root)
-    parts = PyramidParts(chunk_documents(spread(docs), page_chars, window_pages, overlap_chars))
+    by level) and chunk ids (parquet) in a new version under ``root``.  ``pyramid``: rules,
+    summariser, n_sentences and top_k (keywords) of :class:`PyramidParts`."""
+    version = f"version-{uuid.uuid4().hex[:12]}"
+    paths = IndexPaths(f"{root}/{version}")
+    parts = PyramidParts(chunk_documents(docs, page_chars, window_pages, overlap_chars), **pyramid)
     FS.write_json(parts.pyramid, paths.pyramid)
     FS.write_index(build_postings(parts, scope=scope), paths.postings)
-    parts.base.select("doc_id", "chunk_no", "chunk_id").write.mode("overwrite").parquet(paths.chunks)
+    parts.chunks.select("doc_id", "chunk_no", "chunk_id").write.mode("overwrite").parquet(paths.chunks)
+    docs.sparkSession.createDataFrame([(version,)], "value string").write.mode("overwrite").text(f"{root}/current")
     return paths
 
 
@@ -61,10 +71,11 @@ def ingest_files(spark: SparkSession, path: str, root: str, **kwargs) -> IndexPa
 
 
 def search_index(spark: SparkSession, paths: IndexPaths, queries: DataFrame,
-                 top_k: int = K.SEARCH_TOP_K, level: str | None = None) -> DataFrame:
-    """Top-k chunks per query from an ingested folder."""
+                 top_k: int = K.SEARCH_TOP_K, level: str | None = None,
+                 weights: dict | None = None) -> DataFrame:
+    """Top-k chunks per query from an ingested version."""
     return search(queries, FS.read_index(spark, paths.postings), spark.read.parquet(paths.chunks),
-                  top_k=top_k, level=level)
+                  top_k=top_k, level=level, weights=weights)
 
 
 def read_pyramid(spark: SparkSession, paths: IndexPaths) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -16,6 +15,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Joins go broadcast only on a size measured at run time: the planner's estimate does
+    # not follow an explode, so the static threshold is off.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
@@ -37,9 +40,6 @@ def build_session(master: str | None = None, app: str = "tessera",
     settings.setdefault("spark.driver.memory", "8g")
     if conf:
         settings.update(conf)
-    if "spark.checkpoint.dir" not in settings and (master or "local").startswith("local"):
-        # local runs (tests, bench) only; a cluster must name a shared folder
-        settings["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="tessera-ckpt-")
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -47,61 +47,37 @@ def build_session(master: str | None = None, app: str = "tessera",
     return spark
 
 
+def shared_base(spark: SparkSession) -> str:
+    """The folder that all executors and the driver share: ``spark.checkpoint.dir``, or the
+    checkpoint folder set on the context; where neither is set, a folder of the session's
+    warehouse, which a cluster shares as well.  Never a machine's temporary folder."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+            or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/tessera_checkpoints")
+
+
 def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
-    """A folder under the cluster's shared checkpoint location.
+    """A folder under :func:`shared_base`."""
+    path = "/".join([shared_base(spark).rstrip("/"), "tessera", *parts])
+    return f"{path}-{uuid.uuid4().hex[:12]}" if unique else path
 
-    The base is ``spark.checkpoint.dir`` (or the SparkContext checkpoint dir).  Only a
-    local-mode session without either setting gets a fresh temporary folder, as in tests;
-    a cluster session without a shared folder is an error rather than a silent write to
-    one machine's disk.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
-    if not base:
-        base = sc.getCheckpointDir()
-    if not base:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-"))
-        base = sc.getCheckpointDir()
-    path = "/".join([base.rstrip("/"), "tessera", *parts])
-    if unique:
-        path = f"{path}-{uuid.uuid4().hex[:12]}"
-    return path
-
-
-def text_partitions(df) -> int:
-    """Partition count for a CPU-heavy text stage fed by ``df``: at least the task slots
-    (``defaultParallelism``), and twice the number of input splits, so the count grows
-    with the input (each split is bounded by ``spark.sql.files.maxPartitionBytes``)."""
-    return max(df.sparkSession.sparkContext.defaultParallelism, 2 * df.rdd.getNumPartitions())
-
-
-def spread(df, spark: SparkSession | None = None):
-    """Round-robin an input that arrives in fewer partitions than there are task slots
+
+def spread(scan):
+    """Round-robin a file scan that arrives in fewer partitions than there are task slots
     (e.g. one unsplittable file) so a CPU-heavy step after it runs on all cores.  A large
-    input already has at least that many splits and is returned unchanged: no shuffle."""
-    spark = spark or df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    input already has at least that many splits and is returned unchanged: no shuffle.
+
+    Only for a plain scan: counting the partitions of a plan with an exchange would run it."""
+    target = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() < target:
+        return scan.repartition(target)
+    return scan
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The SparkContext checkpoint folder: ``spark.checkpoint.dir`` when the cluster names
-    one; a fresh temporary folder only for a local session that has none (tests)."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="tessera-ckpt-")
-    sc.setCheckpointDir(base)
-    return sc.getCheckpointDir()
+    """The SparkContext checkpoint folder, set to :func:`shared_base` if there is none yet."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_base(spark))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def materialize(df):
@@ -111,16 +87,3 @@ def materialize(df):
     a lost executor costs a re-read, not a recomputation from the source."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def materialize_bucketed(df, n_buckets: int, cols: list[str], prefix: str = "tessera_tmp"):
-    """Write ``df`` to the shared folder as an external table bucketed on ``cols`` and
-    read it back.  Unlike a checkpoint, the read keeps the hash partitioning on ``cols``,
-    so later aggregations and joins keyed by (a superset of) ``cols`` need no shuffle.
-    The rows are hash-partitioned to ``n_buckets`` first, so each task writes one file."""
-    spark = df.sparkSession
-    name = f"{prefix}_{uuid.uuid4().hex[:12]}"
-    path = shared_dir(spark, name, unique=False)
-    (df.repartition(n_buckets, *cols).write.format("parquet").mode("overwrite")
-     .bucketBy(n_buckets, *cols).option("path", path).saveAsTable(name))
-    return spark.table(name)

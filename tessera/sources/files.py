@@ -35,6 +35,14 @@ METRICS_SCHEMA = T.StructType([
     T.StructField("step", T.LongType()),
     T.StructField("n_steps", T.LongType()),
     T.StructField("train_loss", T.DoubleType()),
+    T.StructField("epoch", T.IntegerType()),
+])
+
+SUMMARY_SCHEMA = T.StructType([
+    T.StructField("train_samples", T.LongType()),
+    T.StructField("eval_samples", T.LongType()),
+    T.StructField("final_train_loss", T.DoubleType()),
+    T.StructField("accuracy", T.DoubleType()),
 ])
 
 

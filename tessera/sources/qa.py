@@ -1,20 +1,16 @@
-"""Question/answer tables (S6, T3) and a predictions table for scoring.
+"""Question/answer tables.
 
-* :func:`qa_pairs`: each ``user`` turn of ``conversations`` with the ``assistant`` turn that
-  follows it.  An equi-join on ``(conv_id, turn + 1)`` rather than ``lead()`` over a
-  conversation: every key is unique, so a very long conversation spreads over all tasks
-  instead of landing in one window partition.
+* :func:`qa_pairs`: each ``user`` turn of ``conversations`` with the next turn, if that is
+  the ``assistant``'s.  Turns may have gaps.
 * :func:`synthesize_qa`: word problems with known answers, one per ``lineitem`` row, using
   the five fixed templates; ``a`` and ``b`` are drawn from the row's keys into the fixed
   ranges.
-* :func:`predictions`: stand-in model generations for scoring, derived per question by a
-  hash: the true answer, a perturbed number, the answer without its ``####`` marker, or
-  no generation.
+* :func:`read_qa`: question/answer files.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import constants as K
@@ -31,22 +27,46 @@ def line_key():
     return F.concat_ws("-", *[F.col(c).cast("string") for c in LINE_KEY_COLS])
 
 
+TURN_BLOCK = 1024
+QA_SCHEMA = "question string, answer string"
+
+
+def read_qa(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """``(question, answer)`` rows of JSON-lines or Parquet files, explicit schema.  Folders
+    ``split=train`` / ``split=test`` under ``path`` become a ``split`` column."""
+    return spark.read.schema(QA_SCHEMA).format(fmt).load(path)
+
+
+def with_next_turn(conv: DataFrame, block: int = TURN_BLOCK) -> DataFrame:
+    """Adds ``next_role`` and ``next_text``: the conversation's next row by (turn, role, text).
+
+    Rows are ordered within blocks of ``block`` turn numbers, and a block's last row takes
+    the first row of the conversation's next block, so a very long conversation is spread
+    over many tasks.  Rows without a conversation or turn have no place and are left out."""
+    order = ["turn", "role", "text"]
+    rows = conv.where("conv_id IS NOT NULL AND turn IS NOT NULL").withColumn("_block", F.floor(F.col("turn") / block))
+    inside = F.lead(F.struct(*order)).over(Window.partitionBy("conv_id", "_block").orderBy(*order))
+    heads = rows.groupBy("conv_id", "_block").agg(F.min(F.struct(*order)).alias("_head"))
+    follows = heads.select("conv_id", "_block", F.lead("_head").over(
+        Window.partitionBy("conv_id").orderBy("_block")).alias("_after"))
+    joined = rows.withColumn("_inside", inside).join(follows, ["conv_id", "_block"])
+    nxt = F.coalesce("_inside", "_after")
+    return joined.select(*conv.columns, nxt["role"].alias("next_role"), nxt["text"].alias("next_text"))
+
+
 def qa_pairs(spark: SparkSession, base: str) -> DataFrame:
+    """``qa_id`` is ``conversation-turn``, so ids cannot meet."""
     conv = read_table(spark, base, "conversations").select("conv_id", "turn", "role", "text")
-    users = conv.where(F.col("role") == "user").select(
-        "conv_id", (F.col("turn") + 1).alias("next_turn"), F.col("text").alias("question"),
-        F.col("turn").alias("q_turn"))
-    answers = conv.where(F.col("role") == "assistant").select(
-        "conv_id", F.col("turn").alias("next_turn"), F.col("text").alias("answer"))
-    return (users.join(answers, ["conv_id", "next_turn"], "inner")
-            .select((F.col("conv_id") * 100000 + F.col("q_turn")).alias("qa_id"),
-                    "question", "answer"))
+    return (with_next_turn(conv).where("role = 'user' AND next_role = 'assistant'")
+            .select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("qa_id"),
+                    F.col("text").alias("question"), F.col("next_text").alias("answer")))
 
 
 def qa_pairs_sql() -> str:
-    return ("SELECT u.conv_id * 100000 + u.turn AS qa_id, u.text AS question, a.text AS answer "
-            "FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id "
-            "AND a.turn = u.turn + 1 AND a.role = 'assistant' WHERE u.role = 'user'")
+    return ("SELECT concat_ws('-', conv_id, turn) AS qa_id, text AS question, next_text AS answer FROM ("
+            "SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text FROM conversations "
+            "WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)) "
+            "WHERE role = 'user' AND next_role = 'assistant'")
 
 
 _A = "(5 + (l_orderkey + l_partkey) % 46)"
@@ -54,7 +74,7 @@ _B = "(2 + (l_suppkey + l_linenumber) % 19)"
 _T = f"(l_partkey % {len(K.QA_TEMPLATES)})"
 
 
-def _fill(template: str, sql: bool) -> list:
+def _fill(template: str) -> list:
     """Split a template on {a} {b} {d} {r} into literal / field pieces."""
     pieces, rest = [], template
     while "{" in rest:
@@ -90,7 +110,7 @@ def synthesize_qa(spark: SparkSession, base: str) -> DataFrame:
 
         def build(template):
             return F.concat(*[F.lit(x) if k == "lit" else v[x].cast("bigint").cast("string")
-                              for k, x in _fill(template, False)])
+                              for k, x in _fill(template)])
         q_expr = F.when(t == i, build(tq)) if q_expr is None else q_expr.when(t == i, build(tq))
         ans_expr = F.when(t == i, build(ta)) if ans_expr is None else ans_expr.when(t == i, build(ta))
     return li.select(line_key().alias("qa_id"),
@@ -103,7 +123,7 @@ def synthesize_qa_sql() -> str:
         r = _result_expr(kind, _A, _B)
         v = {"a": _A, "b": _B, "d": f"({_A} * {_B})", "r": r}
         parts = []
-        for k, x in _fill(template, True):
+        for k, x in _fill(template):
             parts.append("'" + x.replace("'", "''") + "'" if k == "lit"
                          else f"CAST(CAST({v[x]} AS BIGINT) AS VARCHAR)")
         return " || ".join(parts)
@@ -111,23 +131,3 @@ def synthesize_qa_sql() -> str:
     ac = " ".join(f"WHEN {i} THEN {build(ta, kind)}" for i, (_, ta, kind) in enumerate(K.QA_TEMPLATES))
     return (f"SELECT {LINE_KEY_SQL} AS qa_id, CAST({_T} AS INTEGER) AS template_no, "
             f"CASE {_T} {qc} END AS question, CASE {_T} {ac} END AS answer FROM lineitem")
-
-
-def predictions(qa: DataFrame, seed: int = K.SEED) -> DataFrame:
-    """``(qa_id, generated)``: by ``md5`` bucket keep / perturb / unmark / NULL."""
-    h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}-pred-"), F.col("qa_id").cast("string"))),
-                           1, 8), 16, 10).cast("bigint") % 4
-    marked = F.regexp_extract("answer", r"####\s*(-?\d+)", 1)
-    perturbed = F.regexp_replace("answer", r"####\s*-?\d+",
-                                 F.concat(F.lit("#### "), (marked.try_cast("bigint") + 1).cast("string")))
-    unmarked = F.regexp_replace("answer", r"####\s*", "")
-    gen = (F.when(h == 0, F.col("answer")).when(h == 1, perturbed)
-           .when(h == 2, unmarked).otherwise(F.lit(None).cast("string")))
-    return qa.select("qa_id", gen.alias("generated"))
-
-
-def predictions_sql(qa_sql: str, seed: int = K.SEED) -> str:
-    h = (f"(CAST(('0x' || substr(md5('{seed}-pred-' || CAST(qa_id AS VARCHAR)), 1, 8)) AS BIGINT) % 4)")
-    return (f"SELECT qa_id, CASE {h} WHEN 0 THEN answer "
-            f"WHEN 1 THEN regexp_replace(answer, '####\\s*-?\\d+', '#### ' || CAST(TRY_CAST(regexp_extract(answer, '####\\s*(-?\\d+)', 1) AS BIGINT) + 1 AS VARCHAR)) "
-            f"WHEN 2 THEN regexp_replace(answer, '####\\s*', '') END AS generated FROM ({qa_sql})")

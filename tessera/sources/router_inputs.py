@@ -18,14 +18,14 @@ from tessera.sources.tables import read_table
 # Question templates; {q} quantity, {l} line number, {o} order key, {p} part key,
 # {s} supplier key, {z} line number mod 3, {t} tax in percent.
 TEMPLATES = [
-    "If Alice has {q} apples and gives {l} to Bob, how many does she have left?",
-    "Calculate {q} * {l} + {p} / 4",
-    "A store sells {q} items per day at ${s} each. What is the weekly revenue?",
-    "What are the GDPR compliance requirements for storing order {o} data in the EU?",
-    "Is my employer allowed to terminate contract {o} without severance pay?",
-    "Fix a KeyError in Python when reading order {o}",
-    "Write a SQL query to join part {p} and supplier {s} on partkey",
-    "How does photosynthesis convert sunlight into glucose in cell {l}?",
+    "Dana had {q} crates in the yard and loses {l} on the road, how many crates are left?",
+    "Solve {q} * {l} + {p} / 4",
+    "A depot ships {q} boxes per week at ${s} for each box. What does a week bring in?",
+    "Which privacy regulation covers the archive of invoice {o} in the UK?",
+    "Can a landlord end tenancy contract {o} without notice?",
+    "Debug the TypeError in my Java method for invoice {o}",
+    "Write a SQL function that lists supplier {s} for part {p}",
+    "How does osmosis move water through cell membrane {l}?",
     "Who shipped order {o}?",
     "Share {q} dollars by {z}",
     "Compute the total of {q} and {t} kg",

@@ -1,7 +1,7 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tessera.operators.chunking import chunk_documents, window_bounds
+from tessera.operators.chunking import chunk_documents, unidentified, window_spans
 
 
 def _chunks(spark, texts, page=800, pages=2, overlap=150):
@@ -45,6 +45,22 @@ def test_progress_guard_space_inside_overlap():
     assert all(x["start"] < y["start"] for x, y in zip(b, b[1:]))
 
 
+def window_bounds(text, window, overlap):
+    """Spans as records, with the offsets left after stripping."""
+    out = []
+    for start, end in window_spans(text, window, overlap):
+        piece = text[start:end]
+        lo = start + len(piece) - len(piece.lstrip())
+        out.append({"start": start, "end": end, "lo": lo, "hi": lo + len(piece.strip())})
+    return out
+
+
+def test_documents_without_id_are_returned_apart(spark):
+    docs = spark.createDataFrame([(1, "a b"), (None, "c d")], "doc_id long, text string")
+    assert [r.doc_id for r in chunk_documents(docs).collect()] == [1]
+    assert [r.text for r in unidentified(docs).collect()] == ["c d"]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="ab \n.é", max_size=3000), st.integers(2, 60), st.integers(0, 40))
 def test_window_invariants(text, window, overlap):

@@ -31,7 +31,7 @@ def test_summary_edge(spark):
 
 def test_category_edges(spark):
     df = one_col(spark, ["nothing relevant here", "model equation", "generally useful rapid"])
-    got = [r.c for r in df.select(X.categorise("text").alias("c")).collect()]
+    got = [r.category for r in X.with_categories(df, "text").collect()]
     # no hit -> fallback; tie -> earlier rule; substring hits count ("ner" in "generally")
     assert got == ["General / Other", "Machine Learning / AI", "Natural Language Processing"]
 
@@ -49,3 +49,24 @@ def test_partition_count_does_not_change_result(spark):
     cols = ["doc_id", "chunk_no", "chunk_id", "summary", "category",
             F.array_join("keywords", ",").alias("kw")]
     assert sorted(a.select(*cols).collect()) == sorted(b.select(*cols).collect())
+
+
+def test_custom_rules_and_summariser_through_ingest(spark):
+    from tessera.plans.ingest import IndexPaths, ingest_documents, read_pyramid
+    from tessera.session import shared_dir
+    docs = spark.createDataFrame([(0, "Apples are red. Pears are green. Figs.")], "doc_id long, text string")
+    root = shared_dir(spark, "rules_index")
+    ingest_documents(docs, root)
+    paths = ingest_documents(docs, root, rules=[("Fruit", ["pear", "fig"]), ("Colour", ["red"])],
+                             n_sentences=1, top_k=2)
+    assert IndexPaths.current(spark, root).root == paths.root      # the pointer names the new version
+    row = read_pyramid(spark, paths).first()
+    assert (row.category, row.summary, len(row.keywords)) == ("Fruit", "Apples are red.", 2)
+
+
+def test_pyramid_has_no_shuffle(spark):
+    from tessera.operators.chunking import chunk_documents
+    from tessera.operators.pyramid import PyramidParts
+    docs = spark.createDataFrame([(0, "a bb cc bb")], "doc_id long, text string")
+    plan = PyramidParts(chunk_documents(docs)).pyramid._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan

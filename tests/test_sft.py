@@ -32,12 +32,39 @@ def test_label_mask_long_prompt(spark):
 def test_left_padding(spark):
     qa = PR.with_prompts(_qa(spark, [(i, "q" * (i + 1), "a") for i in range(9)]))
     enc = PR.encode(qa, PR.build_vocab(qa))
-    padded = PR.left_pad_batches(enc, batch_size=4, n_buckets=2).collect()
+    padded = PR.left_pad_batches(enc, batch_size=4, rows_per_bucket=5).collect()
     for r in padded:
         assert len(r.input_ids) == r.padded_len == len(r.attention_mask)
         assert list(r.attention_mask[:r.n_pad]) == [0] * r.n_pad
 
 
+def test_batches_do_not_depend_on_partitions(spark):
+    qa = PR.with_prompts(_qa(spark, [(i, "q" * (i % 5), "a") for i in range(12)]))
+    vocab = PR.build_vocab(qa)
+    got = [sorted(map(tuple, PR.left_pad_batches(PR.encode(qa.repartition(n), vocab), 4, rows_per_bucket=5)
+                      .select("qa_id", "bucket", "batch_no", "padded_len").collect())) for n in (1, 3, 12)]
+    assert got[0] == got[1] == got[2]
+
+
+def test_joined_encoding_equals_broadcast(spark, monkeypatch):
+    qa = PR.with_prompts(_qa(spark, [(1, "word " * 600, "#### 3"), (2, "short?", None), (3, None, "x"), (3, "two two", "x")]))
+    vocab = PR.build_vocab(qa.where("qa_id = 1"))      # some tokens are unknown
+    cols = ["qa_id", "input_ids", "n_prompt", "labels", "attention_mask", "n_tokens", "n_label_tokens"]
+    want = sorted(repr(tuple(r)) for r in PR.encode(qa, vocab).select(cols).collect())
+    monkeypatch.setattr(PR, "BROADCAST_VOCAB", 1)
+    assert sorted(repr(tuple(r)) for r in PR.encode(qa, vocab).select(cols).collect()) == want
+
+
+def test_next_turn_survives_gaps_and_blocks(spark):
+    from tessera.sources.qa import with_next_turn
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"t{t}") for t in range(0, 40, 3)]
+    conv = spark.createDataFrame(rows + [(2, 7, "user", "x"), (None, 1, "user", "y")],
+                                 "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): r.next_text for r in with_next_turn(conv, block=5).collect()}
+    want = {(1, t): f"t{t + 3}" if t < 39 else None for t in range(0, 40, 3)} | {(2, 7): None}
+    assert got == want
+
+
 def test_accuracy_edges(spark):
     truth = _qa(spark, [(1, "q", "#### 5"), (2, "q", "#### 6")])
     preds = spark.createDataFrame([(1, "so #### 5"), (2, None)], "qa_id long, generated string")
@@ -76,12 +103,12 @@ def test_py_float_str_matches_python_repr(spark):
 def test_split_sample_and_step_plan(spark):
     qa = spark.range(200).selectExpr("id AS qa_id", "concat('q', id) AS question",
                                      "concat('#### ', id) AS answer")
-    split = PR.split_qa(qa, n_train=150, n_eval=50).collect()
+    split = PR.split_qa(qa).collect()
     train = {r.qa_id for r in split if r.split == "train"}
     ev = {r.qa_id for r in split if r.split == "eval"}
     assert len(train) == 150 and len(ev) == 50 and not (train & ev)
     # seeded order is reproducible and independent of partitioning
-    again = PR.split_qa(qa.repartition(7), n_train=150, n_eval=50).collect()
+    again = PR.split_qa(qa.repartition(7)).collect()
     assert {r.qa_id for r in again if r.split == "train"} == train
     # evaluation rows are not shuffled: the first n by id
     assert [r.qa_id for r in PR.sample_eval(qa, 5).collect()] == [0, 1, 2, 3, 4]

@@ -57,33 +57,23 @@ def summarise(text: str) -> list[str]:
 
 
 def _materialisations(spark, sf: str) -> None:
-    """Plans of the two writes that run as their own jobs: the bucketed chunk table and
-    the term-frequency checkpoint (shown as the plans of the DataFrames they write)."""
-    from pyspark.sql import functions as F
-
+    """Plan of the write that runs as its own job: the term-frequency checkpoint (shown as
+    the plan of the DataFrame it writes)."""
     from tessera.operators import corpus as C
     from tessera.operators.chunking import chunk_documents
-    from tessera.operators.pyramid import CHUNK_KEY, PyramidParts
-    from tessera.session import spread, text_partitions
+    from tessera.operators.pyramid import PyramidParts
+    from tessera.session import spread
     from tessera.sources import tables as TB
 
-    chunks = chunk_documents(spread(TB.documents(spark, sf)))
-    written = (chunks.where(F.col("doc_id").isNotNull())
-               .select(*CHUNK_KEY, "chunk_id", "start_char", "end_char",
-                       F.col("text").alias("raw_text"))
-               .repartition(text_partitions(chunks), *CHUNK_KEY))
-    parts = PyramidParts(chunks)
-    tf = C.term_frequency(C.level_counts(parts))
-    for title, df in [("materialisation: bucketed chunk table", written),
-                      ("materialisation: term-frequency checkpoint", tf)]:
-        df.write.format("noop").mode("overwrite").save()
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain(mode="formatted")
-        print(f"## {title}\n")
-        for line in summarise(buf.getvalue()):
-            print(f"- {line}")
-        print()
+    df = C.term_frequency(C.level_counts(PyramidParts(chunk_documents(spread(TB.documents(spark, sf))))))
+    df.write.format("noop").mode("overwrite").save()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    print("## materialisation: term-frequency checkpoint\n")
+    for line in summarise(buf.getvalue()):
+        print(f"- {line}")
+    print()
 
 
 def main() -> None:
