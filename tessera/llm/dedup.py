@@ -12,11 +12,13 @@ defaults (14 chunks of 6, one error) a pair of similarity 0.8 shares none with p
 
 Equal sets are one node, so copies never meet in a bucket.  In a bucket (a variant that
 several nodes have) nodes are first compared with the bucket's centre only, and each node
-is confirmed against its best centre; centres change with each round.  Nodes that are then
-in one component need no comparison.  Last, every pair of a bucket whose nodes are still in
-different components is compared.  A pair goes on to confirmation if its signatures agree
-in at least ``agree`` of the symbols (0.55: a pair of similarity 0.8 fails with probability
-below 1e-7) and becomes a link if the full shingle sets have the similarity.
+is confirmed against its best centre; a centre is the first node of the bucket in an order
+that each chunk and each round has for itself, so a node meets many centres.  Nodes that
+are then in one component need no comparison.  Last, every pair of a bucket whose nodes are
+still in different components is compared, unless its counts exclude the similarity.  A
+pair goes on to confirmation if its signatures agree in at least ``agree`` of the symbols
+(0.55: a pair of similarity 0.8 fails with probability below 1e-7) and becomes a link if the
+full shingle sets have the similarity.
 
 Defined results: a NULL or empty text has no shingles and is linked with nothing; a text
 with fewer words than a shingle is one shingle; a row with a NULL id is linked with nothing,
@@ -52,7 +54,7 @@ class Parameters:
     errors: int = 1
     bits: int = 8
     agree: float = 0.55
-    rounds: int = 2
+    rounds: int = 3
 
     def __post_init__(self):
         if self.bits > 8 or self.bits * (self.width - self.errors) + self.variants.bit_length() > 63:
@@ -176,6 +178,9 @@ class _Sets:
         need = written(need.join(self.nodes.select("node", "doc_id"), "node"), "need")
         if not need.isEmpty():
             self.tables.append(written(self._read(need), "sets"))
+        return self.all()
+
+    def all(self) -> DataFrame:
         out = self.docs.sparkSession.createDataFrame([], "node long, keys binary")
         for more in self.tables:
             out = out.unionByName(more)
@@ -216,12 +221,35 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("a", "b", "keys_a", "keys_b").mapInArrow(run, "a long, b long"))
 
 
+def shared_counts(sets: DataFrame) -> DataFrame:
+    """(node, shared): how many of a node's shingles some other node of ``sets`` has, too.
+    A shingle that very many nodes have is counted before it is shuffled."""
+    def run(batches):
+        for batch in batches:
+            keys = [np.frombuffer(v.as_buffer(), np.int64) for v in batch.column("keys")]
+            owner = np.repeat(batch.column("node").to_numpy(), list(map(len, keys)))
+            every = np.concatenate(keys) if keys else np.empty(0, np.int64)
+            for at in range(0, len(every), 1 << 18):
+                yield pa.RecordBatch.from_arrays([pa.array(owner[at:at + (1 << 18)]), pa.array(every[at:at + (1 << 18)])],
+                                                 ["node", "shingle"])
+
+    rows = sets.mapInArrow(run, "node long, shingle long")
+    common = rows.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
+    return rows.join(common, "shingle").groupBy("node").agg(F.count("*").alias("shared"))
+
+
 def link_nodes(docs: DataFrame, nodes: DataFrame, p: Parameters) -> DataFrame:
-    """(node, comp) of the nodes that have a link; ``nodes``: (node, sig, doc_id of a row)."""
-    buckets = (postings(nodes, p).groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("centre"))
+    """(node, comp) of the nodes that have a link; ``nodes``: (node, sig, n, doc_id of a row)."""
+    def order(number: int):
+        chunk = F.floor(F.pmod("key", F.lit(p.variants)) / (p.variants // p.chunks))
+        return F.xxhash64("node", chunk, F.lit(number))
+
+    buckets = (postings(nodes, p).groupBy("key")
+               .agg(F.count("*").alias("n"), F.min(F.struct(order(0).alias("o"), "node"))["node"].alias("centre"))
                .where("n > 1").select("key", "centre"))
     multi = written(postings(nodes, p).join(buckets, "key"), "buckets")
     sets, labels, edges = _Sets(docs, nodes, p), None, None
+    sets.cover(multi.select(F.col("node").alias("a"), F.col("node").alias("b")))
 
     def open_buckets() -> DataFrame:
         """Rows of the buckets that have several components, with their components."""
@@ -249,21 +277,30 @@ def link_nodes(docs: DataFrame, nodes: DataFrame, p: Parameters) -> DataFrame:
         rows = open_buckets()
         if number:
             chosen = rows.groupBy("key").agg(
-                F.min_by(F.struct("node", "comp"), F.xxhash64("node", F.lit(number))).alias("c"))
+                F.min(F.struct(order(number).alias("o"), "node", "comp")).alias("c"))
             rows = rows.join(chosen, "key").where("comp != c.comp").withColumn("centre", F.col("c.node"))
         near = written(close(rows.where("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b"))),
                        "close")
         if near.isEmpty():
             break
-        if number == 0:
-            sets.cover(near)  # later rounds seldom need more
         both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "same"))
         best = both.groupBy(F.col("a").alias("node")).agg(F.max_by("b", F.struct("same", "b")).alias("b"))
-        link(written(best.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct(), "best"), 2)
+        link(written(best.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct(), "best"),
+             None if number == p.rounds - 1 else 3)
+    # What two nodes share is at most what either shares with any node that is left, so the
+    # similarity is at most m / (n_a + n_b - m) for the smaller m of both: pairs that cannot
+    # reach the threshold by their counts are not made.
     rest = open_buckets()
-    other = rest.select("key", F.col("node").alias("b"), F.col("comp").alias("comp_b"))
-    pairs = (rest.select("key", F.col("node").alias("a"), "comp").join(other, "key")
-             .where("a < b and comp != comp_b").select("a", "b"))
+    left = sets.all().join(rest.select("node").distinct(), "node", "left_semi")
+    sizes = written(nodes.select("node", "n").join(shared_counts(left), "node")
+                    .where(100 * F.col("shared") >= p.percent * F.col("n")), "sizes")
+    rest = written(rest.join(sizes, "node").select("key", "node", "comp", "n", "shared"), "rest")
+    other = rest.select("key", F.col("node").alias("b"), F.col("comp").alias("comp_b"), F.col("n").alias("n_b"),
+                        F.col("shared").alias("shared_b"))
+    most = F.least("shared", "shared_b")
+    pairs = (rest.select("key", F.col("node").alias("a"), "comp", "n", "shared").join(other, "key")
+             .where((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b"))
+                    & (100 * most >= p.percent * (F.col("n") + F.col("n_b") - most))).select("a", "b"))
     link(written(close(pairs).select("a", "b"), "rest"), None)
     return labels if labels is not None else docs.sparkSession.createDataFrame([], "node long, comp long")
 
@@ -272,7 +309,8 @@ def _linked(docs: DataFrame, p: Parameters) -> tuple[DataFrame, DataFrame]:
     """Every row, and the nodes (node, doc_id, comp)."""
     rows = written(describe(docs, p), "signatures")
     nodes = written(rows.where("node is not null and doc_id is not null")
-                    .groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")), "nodes")
+                    .groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"),
+                         F.first("n_shingles").alias("n")), "nodes")
     labels = link_nodes(docs, nodes, p)
     return rows, (nodes.join(labels, "node", "left")
                   .select("node", "doc_id", F.coalesce("comp", "node").alias("comp")))
