@@ -18,7 +18,16 @@ ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 _SPACE = re.compile(r"[\x20\x09-\x0D]")
 
 
+#: Most bytes of an Arrow batch that goes to a Python worker (one longer text is a batch of
+#: its own).  A worker holds a batch several times over, as buffers, strings and words.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of texts; from here on the session's Arrow batches are bounded for them."""
+    if int(spark.conf.get(_BATCH).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH, f"{BATCH_BYTES}b")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

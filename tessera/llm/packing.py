@@ -35,6 +35,7 @@ from tessera.llm.common import words, written
 
 CAPACITY = 4096
 END_ID = 1
+BLOCK_BYTES = 12 << 20
 
 _IDS = pa.schema([("block", pa.int64()), ("codes", pa.binary()), ("lengths", pa.binary()),
                   ("ids", pa.binary())])
@@ -76,7 +77,8 @@ def encode_words(dictionary: DataFrame, path: str) -> DataFrame:
 def cut_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pieces of every document, with ``nth``: the piece's number among the block's pieces
     of its length."""
-    documents, dictionary = write_blocks(docs.select("doc_id", "text", F.lit(True).alias("flag")), words, "packing")
+    documents, dictionary = write_blocks(docs.select("doc_id", "text", F.lit(True).alias("flag")), words, "packing",
+                                         block_bytes=BLOCK_BYTES)
 
     def finish(block_docs, rows):
         of_word = Ragged([(unpack(r["codes"]), unpack(r["lengths"]), unpack(r["ids"])) for r in rows])
