@@ -26,7 +26,8 @@ _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of texts; from here on the session's Arrow batches are bounded for them."""
-    if int(spark.conf.get(_BATCH).rstrip("b")) > BATCH_BYTES:
+    size = spark.conf.get(_BATCH).removesuffix("b")
+    if not size.isdigit() or int(size) > BATCH_BYTES:
         spark.conf.set(_BATCH, f"{BATCH_BYTES}b")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
