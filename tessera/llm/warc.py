@@ -118,27 +118,40 @@ _MANIFEST = pa.schema([("name", pa.string()), ("temporary", pa.string()), ("byte
 _MANIFEST_DDL = "name string, temporary string, bytes long, records long, sha1 string"
 
 
-def mark_revisits(pages: DataFrame) -> DataFrame:
-    """page_id, url, html and refers_to.  Payload digests are summed before the shuffle, and
-    a digest that many pages have is a skewed join that Spark splits."""
-    clean = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
-    keyed = clean.select("page_id", F.octet_length("html").alias("n"), F.sha1(F.encode("html", "utf-8")).alias("payload"))
+def revisits(pages: DataFrame) -> DataFrame:
+    """(url, page_id, payload, refers_to) of every page whose payload another page stores.
+    Only digests are shuffled, summed before; a digest that many pages have is a skewed join
+    that Spark splits."""
+    keyed = pages.select("url", "page_id", "payload", F.octet_length("html").alias("n"))
     first = (keyed.where((F.col("n") >= MIN_REVISIT) & F.col("page_id").isNotNull()).groupBy("payload")
-             .agg(F.max("page_id").alias("first"), F.count("*").alias("copies")).where("copies > 1"))
-    named = clean.withColumn("payload", F.sha1(F.encode("html", "utf-8")))
-    refers = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    return named.join(first, "payload", "left").select("page_id", "url", "html", refers.alias("refers_to"))
+             .agg(F.max("page_id").alias("refers_to"), F.count("*").alias("copies")).where("copies > 1"))
+    return (keyed.join(first, "payload").where(~F.col("page_id").eqNullSafe(F.col("refers_to")))
+            .select("url", "page_id", "payload", "refers_to"))
 
 
 def write_archives(pages: DataFrame, folder: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """Write ``pages`` (page_id, url, html) as archives under ``folder``; returns the manifest."""
+    """Write ``pages`` (page_id, url, html) as archives under ``folder``; returns the manifest.
+
+    The pages are shuffled once, by range; a row that says whom a page revisits is sorted to
+    just before the page."""
     spark = pages.sparkSession
-    ordered = (mark_revisits(pages).repartitionByRange(shuffle_partitions(spark), "url", "page_id")
-               .sortWithinPartitions("url", "page_id", F.sha1(F.encode("html", "utf-8"))))
+    clean = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
+    clean = clean.withColumn("payload", F.sha1("html"))
+    key = ["url", "page_id", "payload"]
+    marks = revisits(clean).select(*key, "refers_to", F.lit(None).cast("string").alias("html"))
+    ordered = (clean.select(*key, F.lit(None).cast("long").alias("refers_to"), "html").unionByName(marks)
+               .repartitionByRange(shuffle_partitions(spark), *key)
+               .sortWithinPartitions(*key, F.col("refers_to").asc_nulls_last()))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context, file, number, out = TaskContext.get(), None, 0, Emitter(_MANIFEST)
+        mark = {}
         for page in rows_of(batches):
+            if page["html"] is None:
+                mark = page
+                continue
+            known = all(mark.get(c) == page[c] for c in key) if mark else False
+            page["refers_to"] = mark["refers_to"] if known else None
             if file is None:
                 file, number = _File(folder, context.partitionId(), number, context.taskAttemptId()), number + 1
             file.add(record(page))
