@@ -152,3 +152,23 @@ def test_attention_is_causal_and_normalised_and_learns():
     for _ in range(60):
         adam.step(x, y, valid)
     assert loss(model) < 0.3 * before
+
+
+def cycle_documents(spark, n=60, length=200):
+    """Texts that go round the same words, from different places: the next word is known."""
+    from llm_cases import WORDS
+    rows = [(i, " ".join(WORDS[(i + k) % len(WORDS)] for k in range(length)), i % 7 == 0) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, held_out boolean").repartition(3)
+
+
+def test_lm_share_is_fitted_and_context_counts(spark):
+    rng = np.random.default_rng(0)
+    for share in (0.1, 0.6):
+        base, own = rng.dirichlet(np.full(50, 0.3)), rng.dirichlet(np.full(50, 0.3))
+        drawn = rng.choice(50, 200_000, p=share * base + (1 - share) * own)
+        assert lm.fit_share(np.log10(own / base), np.bincount(drawn, minlength=50)) == pytest.approx(share, abs=0.02)
+    assert lm.fit_share(np.empty(0), np.empty(0)) == 0.5
+    rows = lm.score(cycle_documents(spark), P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect()
+    held = [r for r in rows if r.held_out]
+    n = sum(r.n_tokens for r in held)
+    assert sum(r.score - r.base_score for r in held) / n > 0.5     # log10 per token
