@@ -172,3 +172,40 @@ def test_lm_share_is_fitted_and_context_counts(spark):
     held = [r for r in rows if r.held_out]
     n = sum(r.n_tokens for r in held)
     assert sum(r.score - r.base_score for r in held) / n > 0.5     # log10 per token
+
+
+def test_attention_tells_ids_of_one_class_apart():
+    rng = np.random.default_rng(5)
+    first = rng.integers(0, 150, 3000)
+    text = np.stack([first, first + 150], 1).reshape(-1).astype(np.uint16)     # 300 ids, each pair fixed
+    starts = np.append(np.ones(300, bool), True)
+    lexicon = lm.make_lexicon(np.bincount(text, minlength=301), starts, 6000, 300, 0)
+    assert (np.bincount(lexicon.class_of) > 5).any()
+    model = lm.Attention.start(np.ones((lm.CLASSES, lm.CLASSES)), 300, lexicon)
+    model.p["node"] += rng.normal(0, 0.3, model.p["node"].shape).astype(np.float32)
+    model.p["out"] += rng.normal(0, 0.3, model.p["out"].shape).astype(np.float32)
+    prefix = text[:70]
+    last = [model.positions([np.append(prefix, np.uint16(i))], lexicon.starts)[0][0][-1] for i in range(301)]
+    assert sum(10 ** v for v in last) == pytest.approx(1, abs=1e-4)            # over ids, not classes
+    x, y, valid, _ = lm.cut_windows([text[:400]], 300)
+    grad, eps = model.gradients(x, y, valid), 1e-2
+
+    def loss(m, of):
+        return -float(np.mean(m.positions([of], lexicon.starts)[0][0])) * math.log(10)
+
+    for name in ("embedding", "node", "bias"):
+        at = np.unravel_index(np.argmax(np.abs(grad[name])), grad[name].shape)
+        old = model.p[name][at]
+        model.p[name][at] = old + eps
+        up = loss(model, text[:400])
+        model.p[name][at] = old - eps
+        down = loss(model, text[:400])
+        model.p[name][at] = old
+        assert (up - down) / (2 * eps) == pytest.approx(grad[name][at], rel=0.05, abs=1e-4)
+    model = lm.Attention.start(np.ones((lm.CLASSES, lm.CLASSES)), 300, lexicon)
+    adam, (x, y, valid, _) = lm.Adam(model), lm.cut_windows([text[:5000]], 300)
+    for _ in range(40):
+        for at in range(0, len(x), 16):
+            adam.step(x[at:at + 16], y[at:at + 16], valid[at:at + 16])
+    second = model.positions([text[5000:]], lexicon.starts)[0][0][1::2]
+    assert second.mean() > math.log10(0.5)         # by class alone at best the 1 / size of the class
