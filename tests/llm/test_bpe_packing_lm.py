@@ -209,3 +209,31 @@ def test_attention_tells_ids_of_one_class_apart():
             adam.step(x[at:at + 16], y[at:at + 16], valid[at:at + 16])
     second = model.positions([text[5000:]], lexicon.starts)[0][0][1::2]
     assert second.mean() > math.log10(0.5)         # by class alone at best the 1 / size of the class
+
+
+def test_lm_trains_on_every_window_whatever_the_partitions(spark, monkeypatch):
+    from tessera.llm.blocks import unpack
+    docs, seen, train = cycle_documents(spark, n=40, length=3000), [], lm.train
+    encoding = lm.load_encoding(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+
+    def spy(gathered, *rest):
+        pieces = gathered.where("ids is not null").collect()
+        seen.append(sum(len(unpack(r.ids)) - lm.CONTEXT - 1 for r in pieces))
+        assert {r.round for r in pieces} == set(range(lm.ROUNDS))
+        return train(gathered, *rest)
+
+    monkeypatch.setattr(lm, "train", spy)
+    monkeypatch.setattr(lm, "n_groups", lambda ids: 3)
+    scores = []
+    for n in (1, 5):
+        rows = lm.score(docs.repartition(n), P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect()
+        scores.append([r.score for r in sorted(rows, key=lambda r: r.doc_id)])
+    assert scores[0] == pytest.approx(scores[1], rel=1e-6)
+    ids = [len(encoding.encode_ordinary(" " + r.text)) + 1 for r in docs.where("not held_out").collect()]
+    assert seen == [sum(ids)] * 2
+
+
+def test_lm_groups_grow_with_the_corpus_and_are_bounded():
+    window = lm.STRIDE * lm.ROUNDS
+    assert [lm.n_groups(n * window) for n in (0, 1023, 4096, 1 << 20)] == [1, 1, 2, 32]
+    assert (1 << 45) / lm.n_groups((1 << 45) * window) <= lm.GROUP_WINDOWS
