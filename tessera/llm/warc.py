@@ -123,8 +123,9 @@ def revisits(pages: DataFrame) -> DataFrame:
     Only digests are shuffled, summed before; a digest that many pages have is a skewed join
     that Spark splits."""
     keyed = pages.select("url", "page_id", "payload", F.octet_length("html").alias("n"))
-    first = (keyed.where((F.col("n") >= MIN_REVISIT) & F.col("page_id").isNotNull()).groupBy("payload")
-             .agg(F.max("page_id").alias("refers_to"), F.count("*").alias("copies")).where("copies > 1"))
+    first = (keyed.where(F.col("n") >= MIN_REVISIT).groupBy("payload")
+             .agg(F.max("page_id").alias("refers_to"), F.count("*").alias("copies"))
+             .where("copies > 1 AND refers_to IS NOT NULL"))
     return (keyed.join(first, "payload").where(~F.col("page_id").eqNullSafe(F.col("refers_to")))
             .select("url", "page_id", "payload", "refers_to"))
 

@@ -208,3 +208,14 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert masked.text.endswith("mail me at [email] now") and masked.n_chars == len(masked.text)
     assert corpus_pipeline.run(spark, root).count() == kept[4][1].count()
     assert BASE
+
+
+def test_pages_without_an_id_revisit_the_only_page_with_one(spark):
+    html, other = prose(1, 400), prose(2, 400)
+    rows = [(7, "http://a", html), (None, "http://b", html), (None, "http://b", html), (None, "http://c", html),
+            (None, "http://d", other), (None, "http://e", other), (8, "http://f", prose(3, 400))]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = Counter((r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in warc.round_trip(frame).collect())
+    sha = [hashlib.sha1(h.encode()).hexdigest() for h in (html, other, prose(3, 400))]
+    assert got == {(7, sha[0], "response", None): 1, (None, sha[0], "revisit", 7): 3,
+                   (None, sha[1], "response", None): 2, (8, sha[2], "response", None): 1}
