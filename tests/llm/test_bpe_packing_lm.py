@@ -237,3 +237,17 @@ def test_lm_groups_grow_with_the_corpus_and_are_bounded():
     window = lm.STRIDE * lm.ROUNDS
     assert [lm.n_groups(n * window) for n in (0, 1023, 4096, 1 << 20)] == [1, 1, 2, 32]
     assert (1 << 45) / lm.n_groups((1 << 45) * window) <= lm.GROUP_WINDOWS
+
+
+def test_lm_counts_of_very_large_corpora_are_exact(spark):
+    from tessera.llm.blocks import pack, pack_words
+    most = 0xFFFFFFFF
+    rows = [(b, 0, bytearray(pack(np.arange(2))), bytearray(pack_words([b"a", b"the"])),
+             bytearray(pack(np.array([b, most])))) for b in range(3)]
+    frame = spark.createDataFrame(rows, "block long, bucket int, codes binary, words binary, counts binary")
+    out = lm.count_words(frame, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect()
+    lexicon = lm.make_lexicon(np.ones(50257), np.ones(50257, bool), 1, 1, 1)
+    for b in range(3):
+        block = lm.Block([r.asDict() for r in out if r.block == b], lexicon)
+        assert block.count.tolist() == [3, 3 * most]
+    assert sum(r.n for r in out if r.stat == "tokens") == 3 + 3 * most
