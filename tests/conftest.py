@@ -5,10 +5,10 @@ import tempfile
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-FIXTURES = os.path.join(ROOT, "tests", "fixtures")
-SF_SMALL = "/root/testdata/sf0.001"
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [HERE, os.path.dirname(HERE)]
+
+from shared_cases import FIXTURES  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -36,7 +36,3 @@ def pyramid_golden():
 def router_golden():
     with open(os.path.join(FIXTURES, "router_golden.json"), encoding="utf-8") as fh:
         return json.load(fh)
-
-
-def one_col(spark, values, name="text", dtype="string"):
-    return spark.createDataFrame([(v,) for v in values], f"{name} {dtype}")

@@ -4,7 +4,7 @@ import os
 import duckdb
 import pytest
 
-from conftest import ROOT, SF_SMALL
+from shared_cases import ROOT, SF_SMALL
 
 spec = importlib.util.spec_from_file_location("spark_entry", os.path.join(ROOT, "__spark_entry__.py"))
 entry_mod = importlib.util.module_from_spec(spec)

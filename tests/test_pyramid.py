@@ -4,7 +4,7 @@ from tessera.functions import text as X
 from tessera.operators.chunking import chunk_documents
 from tessera.operators.pyramid import build_pyramid
 
-from conftest import one_col
+from shared_cases import one_col
 
 
 def test_demo_golden_layers(spark, demo_text, pyramid_golden):

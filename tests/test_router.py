@@ -4,7 +4,7 @@ from tessera.operators.router.arith import evaluate
 from tessera.operators.router.handlers import math_handle, math_prepare
 from tessera.operators.router.registry import call_log, default_router
 
-from conftest import one_col
+from shared_cases import one_col
 
 
 def _route(spark, queries):

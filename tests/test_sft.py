@@ -4,7 +4,7 @@ from tessera.functions.text import extract_final_answer
 from tessera.operators.sft import evaluate as EV
 from tessera.operators.sft import prepare as PR
 
-from conftest import one_col
+from shared_cases import one_col
 
 
 def test_extract_answer_edges(spark):
