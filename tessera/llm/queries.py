@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, dedup, fingerprint, langid, lm, packing, pii, quality, urlfilter, warc
+from tessera.llm import (bpe, dedup, exact, fingerprint, langid, lm, packing, pii, quality, spelling, urlfilter, warc,
+                         whitening)
 from tessera.llm.common import table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -158,3 +159,30 @@ def op6_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page against the list entries in force when it was fetched (operator 6)."""
     pages = table(spark, sf_dir, "pages")
     return urlfilter.evaluate(_captures(pages), _list_changes(pages))
+
+
+_EXACT_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       row_number() OVER (PARTITION BY body ORDER BY doc_id) = 1 AS kept, sha256(body) AS text_sha256
+FROM texts WINDOW w AS (PARTITION BY body)
+"""
+
+
+@register("op12_exact_duplicates", _EXACT_SQL)
+def op12_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row with the row that stays of its group of equal texts (operator 12)."""
+    return exact.label(table(spark, sf_dir, "documents"))
+
+
+@register("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all whole texts with their standard forms (operator 11)."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@register("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the first four whitened components (operator 13)."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
