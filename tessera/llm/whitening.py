@@ -127,7 +127,8 @@ def _gather(fit: DataFrame, start: Callable, combine: Callable, label: str) -> l
 
     parts = written(fit.mapInArrow(in_task, _PART), label)
     while parts.count() > 1:
-        parts = written(parts.groupBy(F.expr(f"part div {FAN}").alias("part")).applyInArrow(in_group, _PART), label)
+        groups = parts.select(F.expr(f"part div {FAN}").alias("to"), "part", "value").groupBy("to")
+        parts = written(groups.applyInArrow(in_group, _PART), label)
     return _load(parts.first()["value"])
 
 

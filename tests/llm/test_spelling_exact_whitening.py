@@ -218,9 +218,13 @@ def test_whitening_equals_brute_force(spark):
 
 def test_whitening_gathers_in_rounds(spark, monkeypatch):
     monkeypatch.setattr(whitening, "FAN", 2)
-    g = np.random.default_rng(8)
-    rows = [(i, v.tolist()) for i, v in enumerate(g.normal(size=(90, 3)) * [1, 4, 9])]
-    _check_whitening(spark, [(i, v, "", 1, 2) for i, v in rows], rows, partitions=9)
+    x = np.floor(np.random.default_rng(8).normal(size=(90, 3)) * [100, 400, 900]).astype(int)
+    fit = spark.createDataFrame([(v,) for v in x.tolist()], "x array<long>").repartition(9)
+    model = whitening.fit_whitening(fit, 3)
+    centred = x - x.mean(axis=0)
+    values = np.linalg.eigvalsh(centred.T @ centred / 90)[::-1]
+    assert (model.n, model.sums) == (90, x.sum(axis=0).tolist()) and np.allclose(model.variances, values, rtol=1e-12)
+    assert whitening.identity_error(fit, model) < 1e-12
 
 
 def test_whitening_without_rows_or_variance(spark):
