@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import constants as K
+from tessera.operators import paged as P
 from tessera.operators.pyramid import CHUNK_KEY, PyramidParts
-from tessera.session import materialize
 
 SCOPES = ("corpus", "document")
 
@@ -63,29 +63,32 @@ def inverse_document_frequency(df: DataFrame, totals: DataFrame, scope: str) ->
                          (F.log((F.col("n_chunks") + 1) / (F.col("df") + 1)) + 1.0).alias("idf"))
 
 
-def build_postings(parts: PyramidParts, scope: str = "corpus", levels=K.LEVELS,
-                   checkpoint: bool = True) -> DataFrame:
+def build_postings(parts: PyramidParts, scope: str = "corpus", levels=K.LEVELS) -> DataFrame:
     """A4 + A5: ``postings(doc_id, chunk_no, level, term, tf, idf, weight, norm)``.
 
     ``norm`` (the chunk's vector length at that level) is carried on every posting so a
-    search needs no second join to normalise.  The idf join goes broadcast only when AQE
-    measures the idf side under the adaptive threshold, and sort-merge (with skew splitting
-    for very frequent terms) otherwise.  The weighted postings are clustered by chunk once,
-    and the norm is a window over that: a group is one window of text, so it is bounded.
+    search needs no second join to normalise.  Counts never leave their page: the idf goes to
+    every page that has the term, and weights and norms are computed there.  A norm's group is
+    one window of text, so it is bounded.
     """
     cols = _scope_cols(scope)
-    tf = term_frequency(level_counts(parts, levels))
-    if checkpoint:
-        # tf feeds both the document frequencies and the weights: write it once
-        tf = materialize(tf)
-    idf = inverse_document_frequency(document_frequency(tf, scope), chunk_totals(parts, scope),
-                                     scope)
-    keys = cols + ["level", "term"]
-    weighted = (tf.join(idf.select(*keys, "idf"), keys, "inner")
-                .select(*CHUNK_KEY, "level", "term", "tf", "idf",
-                        (F.col("tf") * F.col("idf")).alias("weight")))
-    of_chunk = Window.partitionBy(*CHUNK_KEY, "level")
-    return weighted.withColumn("norm", F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(of_chunk)))
+    windows, counts = parts.paged()
+    of_page = P.page_terms(counts, *cols)
+    frequencies = [f"df_{lv}" for lv in K.LEVELS]
+    dfs = of_page.groupBy(*cols, "term").agg(*[F.sum(c).alias(c) for c in frequencies])
+    totals = windows.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+    dfs = dfs.join(totals, cols) if cols else dfs.withColumn("n", totals.select("n").scalar())
+    idf = dfs.select(*cols, "term", *[P.idf_of(F.col(f"df_{lv}"), F.col("n")).alias(f"idf_{lv}") for lv in levels])
+    known = of_page.drop(*frequencies).join(idf, [*cols, "term"])
+    weighted = counts.join(known, ["page", *cols, "term"])
+    of_chunk = Window.partitionBy("page", *CHUNK_KEY)
+    weight = {lv: F.col(lv) * F.col(f"idf_{lv}") for lv in levels}
+    normed = weighted.select("*", *[F.sqrt(F.sum(weight[lv] * weight[lv]).over(of_chunk)).alias(f"norm_{lv}") for lv in levels])
+    rows = [F.when(F.col(lv).isNotNull(), F.struct(
+        F.lit(lv).alias("level"), F.col(lv).alias("tf"), F.col(f"idf_{lv}").alias("idf"), weight[lv].alias("weight"),
+        F.col(f"norm_{lv}").alias("norm"))) for lv in levels]
+    return (normed.select(*CHUNK_KEY, "term", F.inline(F.array_compact(F.array(*rows))))
+            .select(*CHUNK_KEY, "level", "term", "tf", "idf", "weight", "norm"))
 
 
 def vector_norms(postings: DataFrame) -> DataFrame:

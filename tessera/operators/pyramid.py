@@ -61,12 +61,28 @@ class PyramidParts:
                                     F.col("text").alias("raw_text"))
         self.top_k, self.rules = top_k, rules
         self.summary = summariser or (lambda text: X.summarise(text, n_sentences))
+        self._paged: tuple[DataFrame, DataFrame] | None = None
+
+    def paged(self) -> tuple[DataFrame, DataFrame]:
+        """Windows and term frequencies of these chunks, written once to the shared folder and
+        read in place from then on (:mod:`tessera.operators.paged`)."""
+        from tessera.operators import paged as P
+        from tessera.session import shared_dir
+        if self._paged is None:
+            spark = self.chunks.sparkSession
+            windows = P.write_windows(self, shared_dir(spark, "windows"))
+            self._paged = windows, P.write_counts(windows, shared_dir(spark, "counts"), P.bucket_count(spark), self.top_k)
+        return self._paged
 
     @property
     def base(self) -> DataFrame:
-        # lower-case and score in projections of their own: the category tests both many times
-        scored = X.with_categories(self.chunks.select("*", F.lower("raw_text").alias("_lower")), "_lower", self.rules)
-        return scored.select(*self.chunks.columns, self.summary(F.col("raw_text")).alias("summary"), "category")
+        return self.categorised(self.chunks.select("*", self.summary(F.col("raw_text")).alias("summary")))
+
+    def categorised(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (with raw_text) and ``category``.  The lower-cased text is a projection of its
+        own: the category tests it many times."""
+        scored = X.with_categories(rows.select("*", F.lower("raw_text").alias("_lower")), "_lower", self.rules)
+        return scored.select(*rows.columns, "category")
 
     @property
     def pyramid(self) -> DataFrame:

@@ -8,6 +8,7 @@ Plan shape, for a whole table of queries at once:
    measured size is under the threshold, otherwise both sides shuffle on ``term``);
 3. one aggregation per (query, chunk) gives the three per-level dot products and the
    carried vector lengths -> cosines -> weighted composite -> matched level;
+   (:mod:`tessera.operators.topk` skips chunks that cannot be among the top k);
 4. top-k per query with ``row_number`` (Spark inserts a partial ``WindowGroupLimit`` before
    the shuffle, so at most k rows per query and partition move);
 5. zero-score fill: queries with fewer than k scored chunks take the highest-index chunks
@@ -60,7 +61,12 @@ def cosine_scores(qvec: DataFrame, postings: DataFrame, level: str | None = None
         at = F.col("level") == lv
         aggs.append(F.sum(F.when(at, prod)).alias(f"dot_{lv}"))
         aggs.append(F.max(F.when(at, F.col("norm"))).alias(f"norm_{lv}"))
-    grouped = matches.groupBy("query_id", *CHUNK_KEY).agg(F.max("qnorm").alias("qnorm"), *aggs)
+    return composite_of(matches.groupBy("query_id", *CHUNK_KEY).agg(F.max("qnorm").alias("qnorm"), *aggs), weights)
+
+
+def composite_of(grouped: DataFrame, weights: dict | None = None) -> DataFrame:
+    """Cosines, composite and matched level from the dot products and vector lengths of each
+    (query, chunk)."""
     cos = {lv: F.coalesce(F.col(f"dot_{lv}") /
                           (F.col("qnorm") * F.col(f"norm_{lv}") + F.lit(K.COSINE_EPSILON)),
                           F.lit(0.0))
@@ -77,11 +83,14 @@ def cosine_scores(qvec: DataFrame, postings: DataFrame, level: str | None = None
     return scored.select("*", composite.alias("composite"), matched.alias("matched_level"))
 
 
+def rank_order():
+    """Order of a query's hits: ties in the composite go to the higher index."""
+    return Window.partitionBy("query_id").orderBy(
+        F.round("composite", RANK_DIGITS).desc(), F.col("doc_id").desc(), F.col("chunk_no").desc())
+
+
 def _top_k(df: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(
-        F.round("composite", RANK_DIGITS).desc(), F.col("doc_id").desc(),
-        F.col("chunk_no").desc())
-    return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return df.withColumn("rank", F.row_number().over(rank_order())).where(F.col("rank") <= k)
 
 
 def search(queries: DataFrame, postings: DataFrame, chunks: DataFrame, top_k: int = K.SEARCH_TOP_K,
@@ -94,7 +103,12 @@ def search(queries: DataFrame, postings: DataFrame, chunks: DataFrame, top_k: in
     chunk_id, score (4 dp), level``; ties in the composite go to the higher index.
     """
     qvec = query_vectors(queries, id_col, text_col)
-    hits = (_top_k(cosine_scores(qvec, postings, level, weights), top_k)
+    return fill_and_rank(qvec, cosine_scores(qvec, postings, level, weights), chunks, top_k)
+
+
+def fill_and_rank(qvec: DataFrame, scores: DataFrame, chunks: DataFrame, top_k: int) -> DataFrame:
+    """The ``top_k`` of each query's scored chunks, filled up with unscored ones."""
+    hits = (_top_k(scores, top_k)
             .select("query_id", *CHUNK_KEY, "composite", "matched_level",
                     F.lit(1).alias("scored")))
     # Zero-score fill: the k highest-index chunks of the index, as one array value, offered

@@ -23,7 +23,8 @@ from tessera.operators.pyramid import PyramidParts
 from tessera.operators.search import cosine_scores, query_vectors, search
 from tessera.plans import oracle as O
 from tessera.plans import standins as SI
-from tessera.session import spread
+from tessera.plans.ingest import delete_documents, ingest_documents, search_index
+from tessera.session import shared_dir, spread
 from tessera.sources import tables as TB
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -205,12 +206,10 @@ def search_all_levels(spark, base):
 
 
 def _search(spark, base, top_k=K.SEARCH_TOP_K, level=None, queries=None):
-    parts = _parts(spark, base)
+    """Ingest, then search with bounds."""
+    version = ingest_documents(_docs(spark, base), shared_dir(spark, "search_index"), export_pyramid=False)
     q = queries if queries is not None else TB.benchmark_queries(spark, base)
-    # IDF and vector lengths are per level, so a level-restricted search needs (and
-    # builds) only that level's postings
-    postings = C.build_postings(parts, levels=[level] if level else K.LEVELS)
-    return search(q, postings, parts.base, top_k=top_k, level=level)
+    return search_index(version, q, top_k=top_k, level=level)
 
 
 _RESULTS = "SELECT * FROM results"
@@ -251,7 +250,7 @@ def search_zero_fill(spark, base):
 def search_document_scope(spark, base):
     parts = _parts(spark, base)
     return search(TB.benchmark_queries(spark, base), C.build_postings(parts, scope="document"),
-                  parts.base)
+                  parts.paged()[0])
 
 
 # ---------------------------------------------------------------------------------------
@@ -696,7 +695,6 @@ def run_summary(spark, base):
 # Sources and sinks: every write goes to the shared checkpoint folder and is read back.
 # ---------------------------------------------------------------------------------------
 
-from tessera.session import shared_dir  # noqa: E402
 from tessera.sources import files as FS  # noqa: E402
 from tessera.streaming import router_stream as RS  # noqa: E402
 
@@ -737,9 +735,23 @@ def index_roundtrip(spark, base):
 @register("search_persisted_index", O.with_(O.search_cte(O.BENCH_QUERIES), _RESULTS))
 def search_persisted_index(spark, base):
     """Search served from the written index (postings + chunk table read back)."""
-    from tessera.plans.ingest import ingest_documents, search_index
-    paths = ingest_documents(TB.documents(spark, base), shared_dir(spark, "ingested"))
-    return search_index(spark, paths, TB.benchmark_queries(spark, base))
+    version = ingest_documents(_docs(spark, base), shared_dir(spark, "ingested"))
+    return search_index(version, TB.benchmark_queries(spark, base))
+
+
+@register("search_replaced_documents", O.with_(O.search_cte(O.BENCH_QUERIES), _RESULTS))
+def search_replaced_documents(spark, base):
+    """The same search after three ingests and a deletion: a third of the documents with other
+    texts and some that do not belong, then those replaced and the rest added, then the others
+    taken out.  The index must be that of one ingest."""
+    docs, root = _docs(spark, base), shared_dir(spark, "segments")
+    first = docs.where("doc_id % 3 = 0").withColumn("text", F.concat(F.lit("outdated "), F.reverse("text")))
+    strangers = docs.select((-F.col("doc_id") - 1).alias("doc_id"), F.upper("text").alias("text"))
+    ingest_documents(first.unionByName(strangers), root, export_pyramid=False)
+    ingest_documents(docs.where("doc_id % 3 <> 1"), root, export_pyramid=False)
+    ingest_documents(docs.where("doc_id % 3 = 1"), root, export_pyramid=False)
+    version = delete_documents(strangers, root)
+    return search_index(version, TB.benchmark_queries(spark, base))
 
 
 @register("export_router_log", _rsql(
@@ -797,11 +809,11 @@ def stream_router_log(spark, base):
 def stream_search(spark, base):
     """Benchmark queries landed as parquet files and searched by a Structured Streaming
     query (per micro-batch, against the persisted index), then read back."""
-    from tessera.plans.ingest import ingest_documents
     from tessera.streaming.search_stream import start_search_stream
-    paths = ingest_documents(TB.documents(spark, base), shared_dir(spark, "stream_index"))
+    root = shared_dir(spark, "stream_index")
+    ingest_documents(_docs(spark, base), root, export_pyramid=False)
     src, sink, ckpt = (shared_dir(spark, n) for n in ("qstream_src", "qstream_sink", "qstream_ckpt"))
     TB.benchmark_queries(spark, base).write.mode("overwrite").parquet(src)
-    start_search_stream(spark, src, paths, sink, ckpt).awaitTermination()
+    start_search_stream(spark, src, root, sink, ckpt).awaitTermination()
     return spark.read.parquet(sink).select("query_id", "rank", "doc_id", "chunk_no", "chunk_id",
                                            "score", "level")

@@ -1,82 +1,106 @@
-"""Ingest and serve (S1, S2, S3, S4): the document path end to end as three calls.
+"""Ingest and serve (S1, S2, S3, S4): an index that grows by segments.
 
-``ingest_documents`` chunks a document table, builds the pyramid and the postings and
-writes both (plus the chunk ids) into a new version folder; only when all of it is there
-does the pointer ``current`` name that version, so a reader never mixes two ingests.
-``ingest_files`` does the same for a folder of text files, one document per file.
+``ingest_documents`` adds a document table to the index under a folder; documents that are there
+already are replaced.  ``delete_documents`` takes documents out.  Both write a segment and a
+version (:mod:`tessera.operators.segments`) and publish it in one step
+(:mod:`tessera.sources.versions`): a reader sees the version before or the version after, and
+nothing that a version names changes or goes before ``RETAIN`` later ones are there.
 ``search_index`` answers a query table from a version.
 """
 
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import constants as K
 from tessera.operators.chunking import chunk_documents
-from tessera.operators.corpus import build_postings
 from tessera.operators.pyramid import PyramidParts
-from tessera.operators.search import search
+from tessera.operators.segments import TERM_BUCKETS, Segment, Version
+from tessera.operators.topk import search_version
+from tessera.session import spread
 from tessera.sources import files as FS
+from tessera.sources.paged import bucket_count
+from tessera.sources.versions import RETAIN, VersionLog
 
 
-@dataclass
-class IndexPaths:
-    """Folders of one version."""
-    root: str
+def _folders(entry: dict) -> list[str]:
+    return [entry["folder"], *(s["folder"] for s in entry["segments"])]
 
-    @classmethod
-    def current(cls, spark: SparkSession, root: str) -> IndexPaths:
-        """The version that ``root`` points at."""
-        return cls(f"{root}/{spark.read.text(f'{root}/current').first()['value']}")
 
-    @property
-    def postings(self) -> str:
-        return f"{self.root}/postings"
+def current_version(spark: SparkSession, root: str) -> Version | None:
+    """The latest published version, or None."""
+    entry = VersionLog(spark, root).latest()
+    return Version(spark, root, entry) if entry else None
 
-    @property
-    def chunks(self) -> str:
-        return f"{self.root}/chunks"
 
-    @property
-    def pyramid(self) -> str:
-        return f"{self.root}/pyramid"
+def _publish(spark: SparkSession, root: str, log: VersionLog, segment: Segment, options: dict, retain: int) -> Version:
+    """A version of the latest one's segments and a new one.  If another writer publishes in the
+    meantime, the version is made again with its segment as well."""
+    mine = {"folder": segment.path[len(log.root) + 1:], "number": segment.number, "buckets": segment.buckets}
+
+    def make(before: dict | None) -> dict:
+        others = before["segments"] if before else []
+        entry = options | {"folder": f"versions/{uuid.uuid4().hex[:12]}",
+                           "segments": sorted([*others, mine], key=lambda s: s["number"])}
+        Version(spark, root, entry).write()
+        return entry
+
+    entry = log.publish(make)
+    log.trim(_folders, retain)
+    return Version(spark, root, entry)
+
+
+def _new_segment(spark: SparkSession, log: VersionLog, scope: str) -> Segment:
+    return Segment(spark, f"{log.root}/segments/{uuid.uuid4().hex[:12]}", log.take_number(), bucket_count(spark), scope)
 
 
 def ingest_documents(docs: DataFrame, root: str, page_chars: int = K.PAGE_CHARS,
                      window_pages: int = K.WINDOW_PAGES, overlap_chars: int = K.OVERLAP_CHARS,
-                     scope: str = "corpus", **pyramid) -> IndexPaths:
-    """``docs(doc_id, text)`` -> pyramid (JSON lines, without vectors), postings (parquet
-    by level) and chunk ids (parquet) in a new version under ``root``.  ``pyramid``: rules,
-    summariser, n_sentences and top_k (keywords) of :class:`PyramidParts`."""
-    version = f"version-{uuid.uuid4().hex[:12]}"
-    paths = IndexPaths(f"{root}/{version}")
+                     scope: str = "corpus", term_buckets: int = TERM_BUCKETS, export_pyramid: bool = True,
+                     retain: int = RETAIN, **pyramid) -> Version:
+    """Add ``docs(doc_id, text)`` to the index under ``root``, replacing documents of the same
+    id, and publish the new version.  ``scope`` and ``term_buckets`` are those of the index: they
+    are fixed by its first ingest.  ``pyramid``: rules, summariser, n_sentences and top_k
+    (keywords) of :class:`PyramidParts`; ``export_pyramid`` also writes the four layers as JSON
+    lines (without vectors)."""
+    spark = docs.sparkSession
+    log = VersionLog(spark, root)
+    before = log.latest()
+    options = {"scope": scope, "term_buckets": term_buckets}
+    if before and any(before[k] != v for k, v in options.items()):
+        raise ValueError(f"the index has {({k: before[k] for k in options})}")
     parts = PyramidParts(chunk_documents(docs, page_chars, window_pages, overlap_chars), **pyramid)
-    FS.write_json(parts.pyramid, paths.pyramid)
-    FS.write_index(build_postings(parts, scope=scope), paths.postings)
-    parts.chunks.select("doc_id", "chunk_no", "chunk_id").write.mode("overwrite").parquet(paths.chunks)
-    docs.sparkSession.createDataFrame([(version,)], "value string").write.mode("overwrite").text(f"{root}/current")
-    return paths
+    segment = _new_segment(spark, log, scope)
+    segment.write(parts, docs, term_buckets, export_pyramid)
+    return _publish(spark, root, log, segment, options, retain)
+
+
+def delete_documents(ids: DataFrame, root: str, retain: int = RETAIN) -> Version:
+    """Take the documents of ``ids(doc_id)`` out of the index and publish the new version."""
+    spark = ids.sparkSession
+    before = current_version(spark, root)
+    if before is None:
+        raise ValueError(f"no index at {root}")
+    none = ids.select("doc_id", F.lit(None).cast("string").alias("text"))
+    return ingest_documents(none, root, scope=before.scope, term_buckets=before.term_buckets, retain=retain)
 
 
-def ingest_files(spark: SparkSession, path: str, root: str, **kwargs) -> IndexPaths:
+def ingest_files(spark: SparkSession, path: str, root: str, **kwargs) -> Version:
     """A folder of UTF-8 text files, one document per file; ``doc_id`` is a hash of the
     file path (stable across runs)."""
     files = FS.read_text_files(spark, path)
     docs = files.select(F.xxhash64("file_path").alias("doc_id"), "text")
-    return ingest_documents(docs, root, **kwargs)
+    return ingest_documents(spread(docs), root, **kwargs)
 
 
-def search_index(spark: SparkSession, paths: IndexPaths, queries: DataFrame,
-                 top_k: int = K.SEARCH_TOP_K, level: str | None = None,
+def search_index(version: Version, queries: DataFrame, top_k: int = K.SEARCH_TOP_K, level: str | None = None,
                  weights: dict | None = None) -> DataFrame:
-    """Top-k chunks per query from an ingested version."""
-    return search(queries, FS.read_index(spark, paths.postings), spark.read.parquet(paths.chunks),
-                  top_k=top_k, level=level, weights=weights)
+    """Top-k chunks per query from a version."""
+    return search_version(version, queries, top_k=top_k, level=level, weights=weights)
 
 
-def read_pyramid(spark: SparkSession, paths: IndexPaths) -> DataFrame:
-    return FS.read_json(spark, paths.pyramid, FS.PYRAMID_SCHEMA)
+def read_pyramid(version: Version) -> DataFrame:
+    return version.pyramid

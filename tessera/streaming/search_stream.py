@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.functions import constants as K
-from tessera.plans.ingest import IndexPaths, search_index
+from tessera.operators.segments import Version
+from tessera.plans.ingest import current_version, search_index
 
 QUERY_SCHEMA = T.StructType([
     T.StructField("query_id", T.LongType()),
@@ -21,14 +22,16 @@ QUERY_SCHEMA = T.StructType([
 ])
 
 
-def start_search_stream(spark: SparkSession, source_dir: str, paths: IndexPaths, sink_dir: str,
+def start_search_stream(spark: SparkSession, source_dir: str, index: Version | str, sink_dir: str,
                         checkpoint_dir: str, top_k: int = K.SEARCH_TOP_K,
                         level: str | None = None, schema: T.StructType = QUERY_SCHEMA,
                         available_now: bool = True) -> StreamingQuery:
     """Top-k hits of every query file arriving in ``source_dir``, as parquet under
-    ``sink_dir/epoch=<batch id>``."""
+    ``sink_dir/epoch=<batch id>``.  ``index`` is a version, or the folder of an index, of which
+    every batch takes the version that is current when it starts."""
     def search_batch(batch, epoch_id: int) -> None:
-        hits = search_index(batch.sparkSession, paths, batch, top_k=top_k, level=level)
+        version = current_version(batch.sparkSession, index) if isinstance(index, str) else index
+        hits = search_index(version, batch, top_k=top_k, level=level)
         hits.write.mode("overwrite").parquet(f"{sink_dir}/epoch={epoch_id}")
 
     writer = (spark.readStream.schema(schema).parquet(source_dir).writeStream

@@ -52,15 +52,15 @@ def test_partition_count_does_not_change_result(spark):
 
 
 def test_custom_rules_and_summariser_through_ingest(spark):
-    from tessera.plans.ingest import IndexPaths, ingest_documents, read_pyramid
+    from tessera.plans.ingest import current_version, ingest_documents, read_pyramid
     from tessera.session import shared_dir
     docs = spark.createDataFrame([(0, "Apples are red. Pears are green. Figs.")], "doc_id long, text string")
     root = shared_dir(spark, "rules_index")
     ingest_documents(docs, root)
-    paths = ingest_documents(docs, root, rules=[("Fruit", ["pear", "fig"]), ("Colour", ["red"])],
+    version = ingest_documents(docs, root, rules=[("Fruit", ["pear", "fig"]), ("Colour", ["red"])],
                              n_sentences=1, top_k=2)
-    assert IndexPaths.current(spark, root).root == paths.root      # the pointer names the new version
-    row = read_pyramid(spark, paths).first()
+    assert current_version(spark, root).number == version.number == 2
+    (row,) = read_pyramid(version).collect()   # the document of the first ingest is replaced
     assert (row.category, row.summary, len(row.keywords)) == ("Fruit", "Apples are red.", 2)
 
 

@@ -1,3 +1,4 @@
+import glob
 import os
 
 import pytest
@@ -83,31 +84,41 @@ def test_ingest_files_and_search(spark, demo_text):
     os.makedirs(src)
     with open(os.path.join(src, "demo.txt"), "w", encoding="utf-8") as fh:
         fh.write(demo_text)
-    paths = ingest_files(spark, src, shared_dir(spark, "demo_index"), page_chars=800,
+    version = ingest_files(spark, src, shared_dir(spark, "demo_index"), page_chars=800,
                          window_pages=2, overlap_chars=150)
-    assert sorted(r.chunk_id for r in read_pyramid(spark, paths).collect()) == \
+    assert sorted(r.chunk_id for r in read_pyramid(version).collect()) == \
         sorted(["79475df8", "dedf3169", "167689dc", "9d872ef5"])
     q = spark.createDataFrame([(0, Q3)], "query_id long, query string")
-    top = search_index(spark, paths, q, top_k=1).first()
+    top = search_index(version, q, top_k=1).first()
     assert (top.chunk_id, top.score, top.level) == ("167689dc", 0.2643, "summary")
 
 
-def test_level_filter_prunes_persisted_index(spark, demo_text):
-    import contextlib
-    import io
-    from tessera.plans.ingest import ingest_documents, search_index
+def test_search_reads_only_its_level_and_its_folders(spark, demo_text):
+    from tessera.operators.topk import BoundedSearch
+    from tessera.plans.ingest import current_version, ingest_documents, search_index
     from tessera.session import shared_dir
     docs = spark.createDataFrame([(0, demo_text)], "doc_id long, text string")
-    paths = ingest_documents(docs, shared_dir(spark, "prune_index"), 800, 2, 150)
+    version = ingest_documents(docs, shared_dir(spark, "prune_index"), 800, 2, 150)
     q = spark.createDataFrame([(0, Q3)], "query_id long, query string")
-    hits = search_index(spark, paths, q, top_k=4, level="summary")
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        hits.explain()
-    plan = buf.getvalue()
-    assert "PartitionFilters: [isnotnull(level" in plan and "(level#" in plan and "= summary)" in plan
+    hits = search_index(version, q, top_k=4, level="summary")
     got = [(r.chunk_id, r.score, r.level) for r in sorted(hits.collect(), key=lambda r: r.rank)]
     assert got[0] == ("167689dc", 0.1194, "summary")
+    search = BoundedSearch(version, q, 4, "summary")
+    matches = search.matches(search.block_bounds(search.query_terms()), search.query_terms())
+    assert "dynamicpruning" in matches._jdf.queryExecution().executedPlan().toString()
+    assert not {"raw", "keywords"} & set(matches.columns)
+    # folders of no query term cannot be read any more, and are not
+    used, spoilt = {r.bucket for r in search.qvec.collect()}, 0
+    for path in glob.glob(f"{version.root}/**/bucket=*/*.parquet", recursive=True):
+        if int(path.split("bucket=")[1].split("/")[0]) not in used:
+            with open(path, "wb") as fh:
+                fh.write(b"unreadable")
+            spoilt += 1
+    assert spoilt > 10
+    again = current_version(spark, version.root)
+    assert sorted(map(tuple, search_index(again, q, top_k=4, level="summary").collect())) == sorted(map(tuple, hits.collect()))
+    with pytest.raises(Exception):
+        again.postings[0].selectExpr("sum(block)").collect()
 
 
 def test_search_and_routing_independent_of_partitioning(spark):
@@ -133,8 +144,8 @@ def test_document_scope_persisted_equals_in_memory(spark):
     from tessera.sources import tables as TB
     sf = "/root/testdata/sf0.001"
     docs, q = TB.documents(spark, sf), TB.benchmark_queries(spark, sf)
-    paths = ingest_documents(docs, shared_dir(spark, "docscope"), scope="document")
-    persisted = sorted(tuple(r) for r in search_index(spark, paths, q).collect())
+    version = ingest_documents(docs, shared_dir(spark, "docscope"), scope="document")
+    persisted = sorted(tuple(r) for r in search_index(version, q).collect())
     parts = PyramidParts(chunk_documents(docs))
     in_memory = sorted(tuple(r) for r in
                        search(q, build_postings(parts, scope="document"), parts.base).collect())
