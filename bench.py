@@ -19,14 +19,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from tessera.operators import corpus as C  # noqa: E402
 from tessera.operators.chunking import chunk_documents  # noqa: E402
 from tessera.operators.pyramid import PyramidParts  # noqa: E402
 from tessera.operators.router.registry import call_log, default_router  # noqa: E402
-from tessera.operators.search import search  # noqa: E402
 from tessera.operators.sft import prepare as PR  # noqa: E402
+from tessera.plans.ingest import ingest_documents, search_index  # noqa: E402
 from tessera.session import build_session, shared_dir, spread  # noqa: E402
-from tessera.sources import files as FS  # noqa: E402
 from tessera.sources import qa as QA  # noqa: E402
 from tessera.sources import tables as TB  # noqa: E402
 from tessera.sources.router_inputs import router_queries  # noqa: E402
@@ -75,17 +73,12 @@ def main() -> None:
     parts = holder["parts"]
     counts["chunks"] = parts.chunks.count()
 
-    index_path = shared_dir(spark, "bench_index")
-    chunk_path = shared_dir(spark, "bench_chunks")
-
     def build_index():
-        FS.write_index(C.build_postings(parts), index_path)
-        parts.chunks.select("doc_id", "chunk_no", "chunk_id").write.mode("overwrite").parquet(chunk_path)
+        holder["version"] = ingest_documents(docs, shared_dir(spark, "bench_index"), export_pyramid=False)
     timed("index_build", build_index)
 
     queries = TB.benchmark_queries(spark, sf_dir)
-    timed("search_benchmark", lambda: _run(search(
-        queries, FS.read_index(spark, index_path), spark.read.parquet(chunk_path))))
+    timed("search_benchmark", lambda: _run(search_index(holder["version"], queries)))
 
     rq = router_queries(spark, sf_dir)
     timed("route", lambda: _run(call_log(default_router().route(rq))))

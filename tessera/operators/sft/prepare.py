@@ -12,9 +12,9 @@
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +26,7 @@ from tessera.session import materialize
 # Word-character runs or one other non-blank character (explicit classes, so the same
 # pattern means the same thing to every regex engine).
 TOKEN_PATTERN = r"[A-Za-z0-9_]+|[^ \t\n\r\f\x0BA-Za-z0-9_]"
+_MARK = r"([^A-Za-z0-9_ \t\n\r\f\x0B])"   # the second half of it
 PAD_ID, UNK_ID, EOS_ID = 0, 1, 2
 SPECIAL = ["<pad>", "<unk>", "<eos>"]
 BROADCAST_VOCAB = 1_000_000   # larger vocabularies are joined, not broadcast
@@ -81,9 +82,15 @@ def build_vocab(corpus: DataFrame, text_col: str = "train_prompt",
 
     An id is the number of tokens of higher frequency, plus those of equal frequency in
     earlier md5 groups, plus the place in the group: rare tokens, of which there may be
-    very many of one frequency, never meet in one task."""
-    counts = (corpus.select(F.explode(tokens(text_col)).alias("token"))
-              .groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
+    very many of one frequency, never meet in one task.  Tokens are counted in each Arrow batch
+    first, so a row for each distinct token of a batch is all that leaves it."""
+    def count(batches):
+        for batch in batches:
+            found = pc.value_counts(cut_batch(batch.column(0))[1])
+            yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], names=["token", "freq"])
+
+    counts = (corpus.select(text_col).mapInArrow(count, "token string, freq long")
+              .groupBy("token").agg(F.sum("freq").alias("freq"))
               .select("*", F.md5("token").alias("_key"), F.substring(F.md5("token"), 1, 3).alias("_group")))
     groups = counts.groupBy("freq", "_group").agg(F.count(F.lit(1)).alias("_n"))
     levels = groups.groupBy("freq").agg(F.sum("_n").alias("_n"))
@@ -107,19 +114,42 @@ ENCODED_TYPE = T.StructType([
 ])
 
 
-def _encoder(vocab_bc, max_len: int):
-    pattern = re.compile(TOKEN_PATTERN)
+def cut_batch(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(number of tokens of each text, all tokens) of a batch, by vector functions: every
+    non-blank character that is in no word gets blanks around it, then blanks separate.  The
+    tokens are those of :func:`tokens`; a NULL has none."""
+    parts = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, pattern=_MARK, replacement=r" \1 "))
+    flat = parts.flatten()
+    full = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+    lengths = pc.fill_null(pc.list_value_length(parts), 0).to_numpy(zero_copy_only=False)
+    rows = np.repeat(np.arange(len(texts)), lengths)
+    return np.bincount(rows[full], minlength=len(texts)), flat.filter(pa.array(full))
 
-    def encode_batch(train: pd.Series, prompt: pd.Series) -> pd.DataFrame:
-        table = vocab_bc.value
-        ids, n_prompt = [], []
-        for full, head in zip(train, prompt):
-            toks = pattern.findall(full)[:max_len] if isinstance(full, str) else []
-            ids.append([table.get(t, UNK_ID) for t in toks])
-            n_prompt.append(min(len(pattern.findall(head)), max_len) if isinstance(head, str) else 0)
-        return pd.DataFrame({"input_ids": ids, "n_prompt": n_prompt})
 
-    return F.pandas_udf(encode_batch, ENCODED_TYPE)
+def _encoder(vocab_bc, max_len: int):
+    def encode_batch(train: pa.Array, rest: pa.Array, head: pa.Array) -> pa.Array:
+        names, ids = vocab_bc.value
+        counts, flat = cut_batch(train)
+        after, _ = cut_batch(rest)
+        of_head, _ = cut_batch(head)
+        n_prompt = np.where(rest.is_valid().to_numpy(zero_copy_only=False), counts - after, of_head)
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
+        looked = pc.fill_null(pc.take(ids, pc.index_in(flat.filter(pa.array(place < max_len)), value_set=names)), UNK_ID)
+        ends = np.concatenate([[0], np.cumsum(np.minimum(counts, max_len))]).astype(np.int32)
+        return pa.StructArray.from_arrays(
+            [pa.ListArray.from_arrays(pa.array(ends), looked), pa.array(np.minimum(n_prompt, max_len).astype(np.int32))],
+            names=["input_ids", "n_prompt"])
+
+    return F.arrow_udf(encode_batch, ENCODED_TYPE)
+
+
+def _encoded(vocab_bc, max_len: int) -> Column:
+    """input_ids and n_prompt.  Where the train prompt continues the inference prompt after a line
+    break, the prompt's length follows from what is left, and the prompt is not cut again."""
+    train, head = F.col("train_prompt"), F.col("inference_prompt")
+    continued = F.coalesce(train.startswith(head) & head.endswith("\n"), F.lit(False))
+    rest = F.when(continued, F.substring(train, F.length(head) + 1, F.length(train)))
+    return _encoder(vocab_bc, max_len)(train, rest, F.when(~continued, head))
 
 
 def encode(examples: DataFrame, vocab: DataFrame, max_len: int = K.MAX_SEQ_LEN,
@@ -128,16 +158,15 @@ def encode(examples: DataFrame, vocab: DataFrame, max_len: int = K.MAX_SEQ_LEN,
     (inference prompt length, also truncated), ``labels`` (first ``n_prompt`` positions
     -100), ``attention_mask`` (ids != pad) and ``n_label_tokens``.
 
-    The prompt's tokens are a prefix of the train prompt's tokens (the prompt ends with a
-    line break), so the prompt length is a count."""
+    Whole Arrow batches are cut and looked up by vector functions."""
     # never more than the limit comes to the driver, whatever vocabulary is passed in
     rows = vocab.select("token", "token_id").limit(BROADCAST_VOCAB + 1).collect()
     if len(rows) > BROADCAST_VOCAB:
         out = _encode_joined(examples, vocab, max_len, id_col, keep)
     else:
-        known = examples.sparkSession.sparkContext.broadcast({r.token: r.token_id for r in rows})
-        enc = _encoder(known, max_len)(F.col("train_prompt"), F.col("inference_prompt"))
-        out = examples.select(id_col, *keep, enc.alias("_e")).select(
+        known = examples.sparkSession.sparkContext.broadcast(
+            (pa.array([r.token for r in rows], pa.string()), pa.array([r.token_id for r in rows], pa.int32())))
+        out = examples.select(id_col, *keep, _encoded(known, max_len).alias("_e")).select(
             id_col, *keep, F.col("_e.input_ids").alias("input_ids"), F.col("_e.n_prompt").alias("n_prompt"))
     labels = F.transform("input_ids", lambda x, i: F.when(i < F.col("n_prompt"),
                                                             F.lit(K.LABEL_IGNORE_ID)).otherwise(x))

@@ -28,6 +28,8 @@ from tessera.session import materialize
 
 #: Blocks that are scored first for every hit that is wanted.
 SEEDS = 8
+#: Query terms, and pairs of query and block, that are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 MARGIN = 2 * 10.0 ** -RANK_DIGITS
 
 
@@ -40,10 +42,17 @@ def _levels(level: str | None) -> list[str]:
 def in_used_folders(table: DataFrame, terms: DataFrame, term_buckets: int) -> DataFrame:
     """``table`` without the folders of buckets that no row of ``terms`` (bucket) has.  The filter
     on the bucket is always true; a scan is only pruned by a side that filters something."""
+    # Spark would build Bloom filters for the query side from scans of the index that are not pruned
+    table.sparkSession.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "false")
     used = terms.select("bucket").distinct().where((F.col("bucket") >= 0) & (F.col("bucket") < term_buckets))
     return table.join(F.broadcast(used), "bucket", "left_semi")
 
 
+def _fits(rows: DataFrame) -> bool:
+    """Whether ``rows`` (materialised) may be broadcast."""
+    return rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
 class BoundedSearch:
     """The steps of a search of ``queries`` (query_id, query) in a version."""
 
@@ -64,7 +73,7 @@ class BoundedSearch:
         """``(query_id, term, qnorm, factor_raw, ..)``; factor: query tf times idf."""
         known = self._of_query_terms(self.version.terms, "df_")
         factors = [(F.col("qtf") * self.version.idf(F.col(f"df_{lv}"))).alias(f"factor_{lv}") for lv in self.levels]
-        return self.qvec.join(known, "term").select("query_id", "term", "qnorm", *factors)
+        return materialize(self.qvec.join(known, "term").select("query_id", "term", "qnorm", *factors))
 
     def block_bounds(self, terms: DataFrame) -> DataFrame:
         """``(query_id, block, bound)`` of every block that has a term of the query.  A negative
@@ -72,14 +81,17 @@ class BoundedSearch:
         tops = self._of_query_terms(self.version.bounds, "top_")
         share = sum((F.lit(max(0.0, self.weights[lv])) * F.coalesce(F.col(f"factor_{lv}") * F.col(f"top_{lv}"), F.lit(0.0))
                      for lv in self.levels), F.lit(0.0)) / F.col("qnorm")
-        return tops.join(terms, "term").groupBy("query_id", "block").agg(F.sum(share).alias("bound"))
+        side = F.broadcast(terms) if _fits(terms) else terms
+        return materialize(tops.join(side, "term").groupBy("query_id", "block").agg(F.sum(share).alias("bound")))
 
     def matches(self, pairs: DataFrame, terms: DataFrame) -> DataFrame:
         """Postings of the query's terms in its ``pairs`` (query_id, block): the rows that enter
-        the aggregation of scores."""
-        wanted = terms.join(pairs, "query_id")
+        the aggregation of scores.  Few pairs and terms go to the postings where they are read;
+        otherwise both meet by term and block, so that no posting of another block is matched."""
         postings = reduce(DataFrame.unionByName, [self._of_query_terms(p, "") for p in self.version.postings])
-        return postings.join(wanted, ["term", "block"])
+        if _fits(pairs) and _fits(terms):
+            return postings.join(F.broadcast(terms), "term").join(F.broadcast(pairs), ["query_id", "block"], "left_semi")
+        return postings.join(terms.join(pairs, "query_id"), ["term", "block"])
 
     def scores(self, pairs: DataFrame, terms: DataFrame) -> DataFrame:
         """Cosines, composite and matched level of every live chunk of ``pairs`` that has a term."""
@@ -98,19 +110,19 @@ class BoundedSearch:
     def surviving_blocks(self, bounds: DataFrame, terms: DataFrame) -> DataFrame:
         """``(query_id, block)`` of the blocks that can reach the k-th composite."""
         by_bound = Window.partitionBy("query_id").orderBy(F.col("bound").desc(), "block")
-        seeds = (bounds.withColumn("n", F.row_number().over(by_bound)).where(F.col("n") <= SEEDS * self.top_k)
-                 .select("query_id", "block"))
+        seeds = materialize(bounds.withColumn("n", F.row_number().over(by_bound)).where(F.col("n") <= SEEDS * self.top_k)
+                            .select("query_id", "block"))
         place = F.row_number().over(rank_order())
         reached = (self.scores(seeds, terms).withColumn("place", place).where(F.col("place") <= self.top_k)
                    .groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("composite").alias("least"))
                    .where(F.col("n") == self.top_k).select("query_id", "least"))
-        return (bounds.join(reached, "query_id", "left")
-                .where(F.col("least").isNull() | (F.col("bound") >= F.col("least") - MARGIN))
-                .select("query_id", "block"))
+        return materialize(bounds.join(reached, "query_id", "left")
+                           .where(F.col("least").isNull() | (F.col("bound") >= F.col("least") - MARGIN))
+                           .select("query_id", "block"))
 
     def hits(self) -> DataFrame:
-        terms = materialize(self.query_terms())
-        bounds = materialize(self.block_bounds(terms))
+        terms = self.query_terms()
+        bounds = self.block_bounds(terms)
         return fill_and_rank(self.qvec, self.scores(self.surviving_blocks(bounds, terms), terms),
                              self.version.live, self.top_k)
 

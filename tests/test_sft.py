@@ -133,3 +133,19 @@ def test_checkpoint_steps_run_summary_token_stats(spark):
     prompts = spark.createDataFrame([("x" * 10,), ("y" * 3,)], "train_prompt string")
     st = PR.token_stats(prompts).first()
     assert (st.n_samples, st.est_tokens_avg) == (2, (13 + 3) / 2)   # int(10*1.3), int(3*1.3)
+
+
+def test_tokens_of_a_batch_are_those_of_the_column(spark):
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+    from tessera.operators.sft import prepare as PR
+    rng = random.Random(4)
+    stock = "ab Z_9 \t\n\r\f\x0b.,#\\é你🙂\x1c -"
+    texts = ["".join(rng.choice(stock) for _ in range(rng.randint(0, 40))) for _ in range(200)] + [None, "", "   ", "x" * 5000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    want = [r.k or [] for r in df.select("i", PR.tokens("t").alias("k")).orderBy("i").collect()]
+    counts, flat = PR.cut_batch(pa.array(texts, pa.string()))
+    ends = np.cumsum(counts)
+    assert [flat.to_pylist()[e - n:e] for e, n in zip(ends.tolist(), counts.tolist())] == want
