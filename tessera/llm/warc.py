@@ -1,8 +1,11 @@
 """Operator 4: deterministic sharded WARC archives.
 
-Records are range-sorted by URL and page id, so shards hold neighbouring URLs and the same
-input gives the same archives.  A task writes its range as gzip members, one per record,
-and starts a new file when the compressed size passes ``max_bytes``.  WARC and HTTP headers,
+Records are range-sorted by URL and page id, so shards hold neighbouring URLs.  Where a shard
+starts follows from the data alone: the keys are sorted once without their payloads, every key
+gets its place in bytes, and a shard is an equal part of all bytes; their number is that of
+``SHARD_BYTES`` in the total, at most ``MAX_SHARDS``.  So the same pages give the same archives,
+whatever files, partitions or settings they come with.  A task writes its shard as gzip members,
+one per record, and starts a new file when the compressed size passes ``max_bytes``.  WARC and HTTP headers,
 lengths and SHA-1 digests are made anew from the payload.  A payload of at least
 ``MIN_REVISIT`` bytes that several pages have is stored once, with the largest page id;
 the others become revisit records that name it.
@@ -11,7 +14,8 @@ Commit: a task writes under a temporary name with its own attempt id and reports
 a manifest row; Spark keeps the rows of successful attempts only.  The files that the
 manifest names are then renamed, a step that can be repeated, and the final manifest is
 written.  Readers open the files of the manifest and nothing else, so what a lost attempt
-left behind is never read.
+left behind is never read.  A file whose bytes, records or digest are not those of the manifest,
+or that ends inside a record, is an error.
 
 NULL html or URL counts as empty.  Pages that repeat the largest page id with the same
 payload are all responses.  A NULL page id never is what others refer to.  An empty table
@@ -24,12 +28,13 @@ import base64
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import Emitter, rows_of, shuffle_partitions, written
@@ -37,6 +42,10 @@ from tessera.session import shared_dir
 
 MIN_REVISIT = 1000
 MAX_FILE_BYTES = 1 << 30
+SHARD_BYTES = 8 << 20
+#: The starts of all shards are in every task.
+MAX_SHARDS = 20_000
+_RECORD_BYTES = 512   # what a record has besides its payload, about
 _END = b"\r\n\r\n"
 
 
@@ -130,19 +139,54 @@ def revisits(pages: DataFrame) -> DataFrame:
             .select("url", "page_id", "payload", "refers_to"))
 
 
-def write_archives(pages: DataFrame, folder: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+KEY = ["url", "page_id", "payload"]
+
+
+def _order(url: str, page_id: int | None, payload: str) -> tuple:
+    """A key as Spark sorts it: by UTF-8 bytes, NULL first."""
+    return url.encode("utf-8"), page_id is not None, page_id or 0, payload
+
+
+def shard_starts(pages: DataFrame, shard_bytes: int, max_shards: int) -> list[tuple]:
+    """The first key of every shard but the first, in order.  Which rows sort into which partition
+    here has no influence: a key's place is the number of bytes before it."""
+    keys = written(pages.select(*KEY, (F.octet_length("html") + _RECORD_BYTES).cast("long").alias("size"))
+                   .repartitionByRange(shuffle_partitions(pages.sparkSession), *KEY)
+                   .withColumn("part", F.spark_partition_id()), "warc_keys")
+    parts = written(keys.groupBy("part").agg(F.sum("size").alias("bytes")), "warc_parts")
+    before = parts.select("part", (F.sum("bytes").over(Window.orderBy("part")) - F.col("bytes")).alias("before"))
+    total = parts.agg(F.sum("bytes")).first()[0] or 0
+    shards = min(max_shards, -(-total // shard_bytes))
+    if shards < 2:
+        return []
+    inside = F.sum("size").over(Window.partitionBy("part").orderBy(*KEY).rowsBetween(Window.unboundedPreceding, -1))
+    place = (F.col("before") + F.coalesce(F.col("inside"), F.lit(0))).cast("decimal(38,0)")
+    placed = keys.withColumn("inside", inside).join(before, "part")
+    starts = (placed.withColumn("shard", (F.floor(place * shards / F.lit(total))).cast("int"))
+              .groupBy("shard").agg(F.min(F.struct(*KEY)).alias("first")).where("shard > 0"))
+    return sorted(_order(*r["first"]) for r in starts.collect())
+
+
+def write_archives(pages: DataFrame, folder: str, max_bytes: int = MAX_FILE_BYTES, shard_bytes: int = SHARD_BYTES,
+                   max_shards: int = MAX_SHARDS) -> DataFrame:
     """Write ``pages`` (page_id, url, html) as archives under ``folder``; returns the manifest.
 
-    The pages are shuffled once, by range; a row that says whom a page revisits is sorted to
+    The payloads are shuffled once, by shard; a row that says whom a page revisits is sorted to
     just before the page."""
     spark = pages.sparkSession
     clean = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     clean = clean.withColumn("payload", F.sha1("html"))
-    key = ["url", "page_id", "payload"]
+    key = KEY
+    starts = shard_starts(clean, shard_bytes, max_shards)
+
+    def shard_of(urls: pa.Array, ids: pa.Array, payloads: pa.Array) -> pa.Array:
+        keys = zip(urls.to_pylist(), ids.to_pylist(), payloads.to_pylist())
+        return pa.array([bisect_right(starts, _order(*k)) for k in keys], pa.int32())
+
     marks = revisits(clean).select(*key, "refers_to", F.lit(None).cast("string").alias("html"))
     ordered = (clean.select(*key, F.lit(None).cast("long").alias("refers_to"), "html").unionByName(marks)
-               .repartitionByRange(shuffle_partitions(spark), *key)
-               .sortWithinPartitions(*key, F.col("refers_to").asc_nulls_last()))
+               .withColumn("shard", F.arrow_udf(shard_of, "int")(*key)).repartitionById(len(starts) + 1, F.col("shard"))
+               .drop("shard").sortWithinPartitions(*key, F.col("refers_to").asc_nulls_last()))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context, file, number, out = TaskContext.get(), None, 0, Emitter(_MANIFEST)
@@ -182,19 +226,32 @@ def write_archives(pages: DataFrame, folder: str, max_bytes: int = MAX_FILE_BYTE
 
 
 def _members(stream) -> Iterator[bytes]:
-    """Records of a file of gzip members, read in pieces."""
+    """Records of a file of gzip members, read in pieces.  A file that ends inside one is an error."""
     unpack, parts, data = zlib.decompressobj(31), [], b""
     while True:
         data = data or stream.read(1 << 20)
         if not data:
+            if parts:
+                raise ValueError("an archive ends inside a record")
             return
         parts.append(unpack.decompress(data))
         data = unpack.unused_data
         if unpack.eof:
             yield b"".join(parts)
             unpack, parts = zlib.decompressobj(31), []
-        elif not data:
-            continue
+
+
+class _Checked:
+    """A stream that keeps the size and digest of what was read from it."""
+
+    def __init__(self, stream):
+        self.stream, self.size, self.digest = stream, 0, hashlib.sha1()
+
+    def read(self, n: int) -> bytes:
+        data = self.stream.read(n)
+        self.size += len(data)
+        self.digest.update(data)
+        return data
 
 
 _PAGES = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()),
@@ -211,7 +268,9 @@ def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True) -
         out, (system, path) = Emitter(_PAGES), _open(folder)
         for r in rows_of(batches):
             with system.open_input_stream(f"{path}/{r['name']}", compression=None) as stream:
-                for data in _members(stream):
+                checked, records = _Checked(stream), 0
+                for data in _members(checked):
+                    records += 1
                     fields, payload = parse(data)
                     response = fields["WARC-Type"] == "response"
                     if response and _sha1(payload) != fields["WARC-Payload-Digest"]:
@@ -223,10 +282,12 @@ def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True) -
                            None if refers is None else int(refers),
                            payload.decode("utf-8") if response and with_payload else None)
                     yield from out.add(row, len(payload) if with_payload else 0)
+                if (checked.size, records, checked.digest.hexdigest()) != (r["bytes"], r["records"], r["sha1"]):
+                    raise ValueError(f"{r['name']} is not the file of the manifest")
         yield from out.rest()
 
     files = manifest.repartition(shuffle_partitions(manifest.sparkSession), "name")
-    return files.select("name").mapInArrow(read, _PAGES_DDL)
+    return files.select("name", "bytes", "records", "sha1").mapInArrow(read, _PAGES_DDL)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:

@@ -219,3 +219,33 @@ def test_pages_without_an_id_revisit_the_only_page_with_one(spark):
     sha = [hashlib.sha1(h.encode()).hexdigest() for h in (html, other, prose(3, 400))]
     assert got == {(7, sha[0], "response", None): 1, (None, sha[0], "revisit", 7): 3,
                    (None, sha[1], "response", None): 2, (8, sha[2], "response", None): 1}
+
+
+def test_archives_are_the_same_from_any_partitions(spark, tmp_path):
+    rows = [(i % 39_000 if i % 7 else None, f"http://host{i * 7919 % 300}.org/{i % 37}", "text é " * (i % 90)) for i in range(40_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n, (partitions, setting) in enumerate([(1, 4), (7, 9)]):
+            spark.conf.set("spark.sql.shuffle.partitions", setting)
+            manifest = warc.write_archives(pages.repartition(partitions), str(tmp_path / f"run{n}"), shard_bytes=4 << 20)
+            found.append(sorted(map(tuple, manifest.collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] and len(found[0]) > 5
+    assert sum(r[2] for r in found[0]) == len(rows)
+
+
+def test_a_shortened_archive_is_an_error(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "http://a", "x" * i) for i in range(20)], "page_id long, url string, html string")
+    for cut in (60, None):
+        folder = str(tmp_path / f"cut{cut}")
+        manifest = warc.write_archives(pages, folder)
+        name = f"{folder}/{manifest.first()['name']}"
+        with open(name, "rb") as fh:
+            data = fh.read()
+        ends = data.rfind(b"\x1f\x8b")   # cut inside the last record, then just before it
+        with open(name, "wb") as fh:
+            fh.write(data[:-cut] if cut else data[:ends])
+        with pytest.raises(Exception):
+            warc.read_archives(manifest, folder).collect()
