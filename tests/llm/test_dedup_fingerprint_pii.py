@@ -204,3 +204,12 @@ def test_personal_data_runs_no_python(documents):
     plan = scanned._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
     assert BASE
+
+
+def test_very_many_identifiers_in_one_text(spark):
+    text = " ".join(f"10.{i // 250 % 250}.{i % 250}.7" for i in range(50_000))
+    docs = spark.createDataFrame([(1, text), (2, "mail to ann@x.org now"), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.find(docs).collect()}
+    assert got[1].n_ip == 50_000 and got[2].n_email == 1 and got[3].spans == ""
+    want = ",".join(f"ip:{m.start()}:{m.end()}" for m in re.finditer(r"\S+", text))
+    assert got[1].base_sha256 == hashlib.sha256(want.encode()).hexdigest()
