@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shared_cases import SF_SMALL
 from tessera.functions import constants as K
+from tessera.operators import topk
 from tessera.operators.chunking import chunk_documents
 from tessera.operators.corpus import build_postings
 from tessera.operators.pyramid import PyramidParts
@@ -67,6 +68,11 @@ def test_bounded_search_equals_scoring_everything(version, in_memory, questions,
     assert _rows(search_index(version, questions, **kwargs)) == _rows(search(questions, *in_memory, **kwargs))
 
 
+def test_joins_beyond_the_broadcast_limit(version, in_memory, questions, monkeypatch):
+    monkeypatch.setattr(topk, "BROADCAST_ROWS", 0)
+    assert _rows(search_index(version, questions, top_k=3)) == _rows(search(questions, *in_memory, top_k=3))
+
+
 def test_document_scope(spark, corpus, questions):
     version = ingest_documents(corpus, shared_dir(spark, "scoped"), 100, 2, 40, scope="document")
     assert _rows(search_index(version, questions)) == _plain(corpus, questions, scope="document")
