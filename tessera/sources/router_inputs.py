@@ -25,7 +25,7 @@ TEMPLATES = [
     "Can a landlord end tenancy contract {o} without notice?",
     "Debug the TypeError in my Java method for invoice {o}",
     "Write a SQL function that lists supplier {s} for part {p}",
-    "How does osmosis move water through cell membrane {l}?",
+    "Describe the osmosis of water through cell membrane {l}.",
     "Who shipped order {o}?",
     "Share {q} dollars by {z}",
     "Compute the total of {q} and {t} kg",

@@ -77,3 +77,11 @@ def test_powers_are_guarded_by_digits():
     assert evaluate("(0-1) ** 100001")[0] == "-1"
     assert evaluate("((9**999)**999)**9 * 0")[3] == "guarded"
     assert evaluate("2 ** 0.5")[3] == "ok" and evaluate("1 / 0")[3] == "failed"
+
+
+def test_every_handler_is_reached(spark):
+    from shared_cases import SF_SMALL
+    from tessera.operators.router.registry import default_router
+    from tessera.sources.router_inputs import router_queries
+    rows = default_router().route(router_queries(spark, SF_SMALL)).groupBy("detected").count().collect()
+    assert {r.detected for r in rows} == {"math", "legal", "code", "science", "general"}
