@@ -12,13 +12,20 @@ defaults (14 chunks of 6, one error) a pair of similarity 0.8 shares none with p
 
 Equal sets are one node, so copies never meet in a bucket.  In a bucket (a variant that
 several nodes have) nodes are first compared with the bucket's centre only, and each node
-is confirmed against its best centre; a centre is the first node of the bucket in an order
-that each chunk and each round has for itself, so a node meets many centres.  Nodes that
-are then in one component need no comparison.  Last, every pair of a bucket whose nodes are
-still in different components is compared, unless its counts exclude the similarity.  A
-pair goes on to confirmation if its signatures agree in at least ``agree`` of the symbols
-(0.55: a pair of similarity 0.8 fails with probability below 1e-7) and becomes a link if the
-full shingle sets have the similarity.
+is confirmed against its best centre.  The first centre is the node that meets most others
+over all its buckets, in a family of near copies the one nearest to what they share; the
+second is the most met one outside the first one's component; later ones follow an order
+that each chunk has for itself.  Nodes that are then in one component need no comparison.
+
+What is left is joined exactly through pivots.  A node's pivot c is the most met of its
+first centres, a whole family's usually the same, and i = |a & c| is counted.  Two nodes
+of one pivot share at most min(i_a, i_b) shingles inside it, so they either share one
+outside it, too, and meet by (pivot, shingle), or reach the similarity inside the pivot
+alone, which their sizes and i must allow, and meet by (pivot, size).  Nodes of different
+pivots meet in their buckets.  Pairs that their counts exclude are not made.  A pair goes
+on to confirmation if its signatures agree in at least ``agree`` of the symbols (0.55: a
+pair of similarity 0.8 fails with probability below 1e-7) and becomes a link if the full
+shingle sets have the similarity.
 
 Defined results: a NULL or empty text has no shingles and is linked with nothing; a text
 with fewer words than a shingle is one shingle; a row with a NULL id is linked with nothing,
@@ -36,7 +43,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import WORD_CLASS, mix64, written
@@ -238,29 +245,107 @@ def shared_counts(sets: DataFrame) -> DataFrame:
     return rows.join(common, "shingle").groupBy("node").agg(F.count("*").alias("shared"))
 
 
+def pivoted(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``nodes`` (node, pivot, ...) with ``inside``, the number of a node's shingles that its
+    pivot has, and ``outside``, the others."""
+    def run(batches):
+        for batch in batches:
+            inside, outside = [], []
+            for own, other in zip(batch.column("keys"), batch.column("pivot_keys")):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (own, other))
+                more = np.setdiff1d(x, y, assume_unique=True)
+                inside.append(len(x) - len(more))
+                outside.append(more.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(inside, pa.int64()), pa.array(outside, pa.list_(pa.int64()))],
+                ["node", "inside", "outside"])
+
+    both = (nodes.select("node", "pivot").join(sets, "node")
+            .join(sets.select(F.col("node").alias("pivot"), F.col("keys").alias("pivot_keys")), "pivot")
+            .select("node", "keys", "pivot_keys"))
+    return nodes.join(both.mapInArrow(run, "node long, inside long, outside array<long>"), "node")
+
+
+def _pairs(left: DataFrame, by: list[str], percent: int, most, right: DataFrame | None = None) -> DataFrame:
+    """(a, b) of rows with equal ``by`` and different components that can reach the
+    similarity: ``most(x, y)`` is the most that two rows share."""
+    def side(rows: DataFrame, mark: str) -> DataFrame:
+        return rows.select(*by, F.struct(*[c for c in rows.columns if c not in by or c == "pivot"]).alias(mark))
+
+    joined = side(left, "x").join(side(left if right is None else right, "y"), by)
+    apart = F.col("x.node") < F.col("y.node") if right is None else F.col("x.node") != F.col("y.node")
+    return joined.where(apart & (F.col("x.comp") != F.col("y.comp"))
+                        & ((100 + percent) * most("x", "y") >= percent * (F.col("x.n") + F.col("y.n")))
+                        ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
+def remaining_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Every pair of different components that may have the similarity, of nodes that share
+    a bucket; ``rest``: (key, node, comp, n, shared, pivot, pivot_comp).
+
+    The (x, y) bounds are: inside + outside by (pivot, shingle); inside alone by (pivot, n),
+    where one of both is not in the pivot's component; shared where the pivots differ."""
+    def least(*names):
+        return lambda x, y: sum((F.least(f"{x}.{c}", f"{y}.{c}") for c in names), F.lit(0))
+
+    alone = rest.select("node", "comp", "n", "pivot", "pivot_comp").distinct()
+    full = written(pivoted(alone, sets), "pivoted")
+    spread = full.select("pivot", "node", "comp", "n", "inside", F.explode("outside").alias("shingle"))
+    common = (spread.groupBy("pivot", "shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+              .where("low != high").select("pivot", "shingle"))
+    common = written(spread.join(common, ["pivot", "shingle"]), "outside")
+    counted = common.groupBy("node").agg(F.count("*").alias("outside"))
+    out = _pairs(common.join(counted, "node").where(100 * (F.col("inside") + F.col("outside")) >= percent * F.col("n")),
+                 ["pivot", "shingle"], percent, least("inside", "outside"))
+
+    narrow = full.select("pivot", "node", "comp", "n", "inside", "pivot_comp")
+    low = F.ceil(F.col("n") * percent / 100).cast("long")
+    high = F.floor(F.col("inside") * (100 + percent) / percent).cast("long") - F.col("n")
+    probes = (narrow.where((F.col("comp") != F.col("pivot_comp")) & (low <= high))
+              .withColumn("size", F.explode(F.sequence(low, high))).drop("pivot_comp"))
+    sized = narrow.withColumn("size", F.col("n")).drop("pivot_comp")
+    inside = _pairs(probes, ["pivot", "size"], percent, least("inside"), sized)
+
+    several = (rest.groupBy("key").agg(F.min("pivot").alias("low"), F.max("pivot").alias("high"))
+               .where("low != high").select("key"))
+    mixed = rest.join(several, "key").select("key", "node", "comp", "n", "shared", "pivot")
+    across = _pairs(mixed, ["key"], percent, lambda x, y: F.when(F.col(f"{x}.pivot") != F.col(f"{y}.pivot"),
+                                                                 F.least(f"{x}.shared", f"{y}.shared")))
+    return out.unionByName(inside).unionByName(across)
+
+
 def link_nodes(docs: DataFrame, nodes: DataFrame, p: Parameters) -> DataFrame:
     """(node, comp) of the nodes that have a link; ``nodes``: (node, sig, n, doc_id of a row)."""
     def order(number: int):
         chunk = F.floor(F.pmod("key", F.lit(p.variants)) / (p.variants // p.chunks))
         return F.xxhash64("node", chunk, F.lit(number))
 
-    buckets = (postings(nodes, p).groupBy("key")
-               .agg(F.count("*").alias("n"), F.min(F.struct(order(0).alias("o"), "node"))["node"].alias("centre"))
-               .where("n > 1").select("key", "centre"))
-    multi = written(postings(nodes, p).join(buckets, "key"), "buckets")
+    several = postings(nodes, p).withColumn("size", F.count("*").over(Window.partitionBy("key"))).where("size > 1")
+    multi = written(several, "buckets")
+    met = multi.groupBy("node").agg(F.struct(F.sum("size").alias("met"), F.xxhash64("node").alias("o")).alias("rank"))
+    multi = written(multi.drop("size").join(met, "node"), "ranked")
     sets, labels, edges = _Sets(docs, nodes, p), None, None
     sets.cover(multi.select(F.col("node").alias("a"), F.col("node").alias("b")))
 
+    def with_comp(rows: DataFrame, node: str, comp: str) -> DataFrame:
+        if labels is None:
+            return rows.withColumn(comp, F.col(node))
+        found = labels.select(F.col("node").alias(node), F.col("comp").alias(comp))
+        return rows.join(found, node, "left").withColumn(comp, F.coalesce(comp, node))
+
     def open_buckets() -> DataFrame:
         """Rows of the buckets that have several components, with their components."""
+        rows = with_comp(multi, "node", "comp")
         if labels is None:
-            return multi.withColumn("comp", F.col("node"))
-        rows = multi.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        rows = written(rows.select("key", "node", "comp"), "labelled")
+            return rows
+        rows = written(rows, "labelled")
         several = (rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
                    .where("low != high").select("key"))
         return written(rows.join(several, "key"), "open")
 
+    def first(rows: DataFrame, *by) -> DataFrame:
+        return rows.groupBy("key").agg(F.max(F.struct(*by, "node", "comp")).alias("c"))
+
     def close(pairs: DataFrame) -> DataFrame:
         ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         return agreeing(ordered, nodes, p)
@@ -273,13 +358,19 @@ def link_nodes(docs: DataFrame, nodes: DataFrame, p: Parameters) -> DataFrame:
         if edges is not None and (rounds is None or not found.isEmpty()):
             labels = components(edges, rounds)
 
+    pivots = None
     for number in range(p.rounds):
         rows = open_buckets()
-        if number:
-            chosen = rows.groupBy("key").agg(
-                F.min(F.struct(order(number).alias("o"), "node", "comp")).alias("c"))
-            rows = rows.join(chosen, "key").where("comp != c.comp").withColumn("centre", F.col("c.node"))
-        near = written(close(rows.where("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b"))),
+        if number < 2:
+            chosen = first(rows, "rank")
+            if number:
+                chosen = first(rows.join(chosen, "key").where("comp != c.comp").drop("c"), "rank")
+        else:
+            chosen = first(rows, order(number).alias("o"))
+        rows = rows.join(chosen, "key")
+        if not number:
+            pivots = written(rows.groupBy("node").agg(F.max(F.struct("c.rank", "c.node"))["node"].alias("pivot")), "pivots")
+        near = written(close(rows.where("comp != c.comp").select(F.col("node").alias("a"), F.col("c.node").alias("b"))),
                        "close")
         if near.isEmpty():
             break
@@ -287,21 +378,14 @@ def link_nodes(docs: DataFrame, nodes: DataFrame, p: Parameters) -> DataFrame:
         best = both.groupBy(F.col("a").alias("node")).agg(F.max_by("b", F.struct("same", "b")).alias("b"))
         link(written(best.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct(), "best"),
              None if number == p.rounds - 1 else 3)
-    # What two nodes share is at most what either shares with any node that is left, so the
-    # similarity is at most m / (n_a + n_b - m) for the smaller m of both: pairs that cannot
-    # reach the threshold by their counts are not made.
-    rest = open_buckets()
+    # A pair shares at most what either node shares with any other that is left.
+    rest = open_buckets().select("key", "node", "comp")
     left = sets.all().join(rest.select("node").distinct(), "node", "left_semi")
-    sizes = written(nodes.select("node", "n").join(shared_counts(left), "node")
-                    .where(100 * F.col("shared") >= p.percent * F.col("n")), "sizes")
-    rest = written(rest.join(sizes, "node").select("key", "node", "comp", "n", "shared"), "rest")
-    other = rest.select("key", F.col("node").alias("b"), F.col("comp").alias("comp_b"), F.col("n").alias("n_b"),
-                        F.col("shared").alias("shared_b"))
-    most = F.least("shared", "shared_b")
-    pairs = (rest.select("key", F.col("node").alias("a"), "comp", "n", "shared").join(other, "key")
-             .where((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b"))
-                    & (100 * most >= p.percent * (F.col("n") + F.col("n_b") - most))).select("a", "b"))
-    link(written(close(pairs).select("a", "b"), "rest"), None)
+    sizes = (nodes.select("node", "n").join(shared_counts(left), "node")
+             .where(100 * F.col("shared") >= p.percent * F.col("n")))
+    sizes = written(with_comp(sizes.join(pivots, "node"), "pivot", "pivot_comp"), "sizes")
+    rest = written(rest.join(sizes, "node"), "rest")
+    link(written(close(remaining_pairs(rest, sets.all(), p.percent)).select("a", "b"), "remaining"), None)
     return labels if labels is not None else docs.sparkSession.createDataFrame([], "node long, comp long")
 
 
