@@ -22,6 +22,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from tessera.llm.common import words, written
 
 CAPACITY = 4096
 END_ID = 1
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 32 << 20
 
 _IDS = pa.schema([("block", pa.int64()), ("codes", pa.binary()), ("lengths", pa.binary()),
                   ("ids", pa.binary())])
@@ -52,21 +53,45 @@ def load_tokenizer(path: str) -> Tokenizer:
     return tokenizer
 
 
+class _Growing(Ragged):
+    """Arrays of numbers to which more are added; the buffers double as they fill."""
+
+    def __init__(self):
+        super().__init__([])
+        self.arrays = self.used = 0
+
+    @staticmethod
+    def _room(held: np.ndarray, n: int) -> np.ndarray:
+        if n <= len(held):
+            return held
+        return np.concatenate([held, np.empty(max(n, 2 * len(held)) - len(held), held.dtype)])
+
+    def extend(self, more: list[list[int]]) -> None:
+        length = np.fromiter(map(len, more), np.int64, len(more))
+        last, end = self.arrays + len(more), self.used + int(length.sum())
+        self.start, self.length = self._room(self.start, last), self._room(self.length, last)
+        self.values = self._room(self.values, end)
+        self.start[self.arrays:last] = self.used + np.cumsum(length) - length
+        self.length[self.arrays:last] = length
+        self.values[self.used:end] = np.fromiter(chain.from_iterable(more), np.uint32, end - self.used)
+        self.arrays, self.used = last, end
+
+
 def encode_words(dictionary: DataFrame, path: str) -> DataFrame:
     """Ids of each distinct word, encoded once.  The tokenizer never merges across white
     space, so a text's ids are those of its words one after another."""
     def run(batches):
         tokenizer, known, out = load_tokenizer(path), {}, Emitter(_IDS)
+        ids = _Growing()
         for r in rows_of(batches):
             items = unpack_words(r["words"])
             new = [w for w in items if w not in known]
+            known.update(zip(new, range(len(known), len(known) + len(new))))
             for at in range(0, len(new), 1000):
-                part = new[at:at + 1000]
-                found = tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)
-                known.update((w, np.array(e.ids, np.uint32)) for w, e in zip(part, found))
-            ids = [known[w] for w in items]
-            row = (r["block"], r["codes"], pack(np.fromiter(map(len, ids), np.uint32, len(ids))),
-                   pack(np.concatenate(ids)))
+                part = [w.decode("utf-8") for w in new[at:at + 1000]]
+                ids.extend([e.ids for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)])
+            which = np.fromiter(map(known.__getitem__, items), np.int64, len(items))
+            row = (r["block"], r["codes"], pack(ids.length[which]), pack(ids.take(which)))
             yield from out.add(row, sum(map(len, row[1:])))
         yield from out.rest()
 
