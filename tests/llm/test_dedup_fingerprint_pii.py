@@ -213,3 +213,32 @@ def test_very_many_identifiers_in_one_text(spark):
     assert got[1].n_ip == 50_000 and got[2].n_email == 1 and got[3].spans == ""
     want = ",".join(f"ip:{m.start()}:{m.end()}" for m in re.finditer(r"\S+", text))
     assert got[1].base_sha256 == hashlib.sha256(want.encode()).hexdigest()
+
+
+def test_remaining_pairs_miss_no_similar_pair(spark):
+    """Families of edited, shortened and lengthened sets, two pivots, in one bucket."""
+    rng, sets, pivot, comp = random.Random(4), {}, {}, {}
+    for first in (0, 1000):
+        core = set(range(first, first + 60))
+        sets[first] = core
+        for k in range(1, 50):
+            mine = set(rng.sample(sorted(core), 60 - rng.randint(0, 14)))
+            mine |= {first + 5000 + rng.randrange(25) for _ in range(rng.randint(0, 9))}
+            sets[first + k] = mine
+        for k in range(50):
+            pivot[first + k] = first if k % 7 else rng.choice((0, 1000))
+    pivot[0], pivot[1000] = 0, 1000
+
+    def alike(a, b):
+        return 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+
+    for n in sets:
+        comp[n] = pivot[n] if alike(n, pivot[n]) else n
+    rows = [(1, n, comp[n], len(s), len(s), pivot[n], pivot[n]) for n, s in sets.items()]
+    rest = spark.createDataFrame(rows, "key long, node long, comp long, n long, shared long, pivot long, pivot_comp long")
+    keys = spark.createDataFrame([(n, bytearray(np.array(sorted(s), np.uint64).tobytes())) for n, s in sets.items()],
+                                 "node long, keys binary")
+    got = {tuple(sorted(r)) for r in dedup.remaining_pairs(rest, keys, 80).collect()}
+    want = {(a, b) for a, b in combinations(sorted(sets), 2) if alike(a, b) and comp[a] != comp[b]}
+    assert want and want <= got
+    assert all(comp[a] != comp[b] for a, b in got)
