@@ -19,6 +19,7 @@ from tessera.functions import constants as K
 from tessera.functions import text as X
 from tessera.operators import corpus as C
 from tessera.operators.chunking import chunk_documents
+from tessera.operators.long_texts import chunk_files
 from tessera.operators.pyramid import PyramidParts
 from tessera.operators.search import cosine_scores, query_vectors, search
 from tessera.plans import oracle as O
@@ -709,6 +710,22 @@ def src_text_files(spark, base):
     return files.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
 
 
+@register("chunk_long_files", O.with_(
+    """long_texts AS (
+  SELECT source AS doc_id, string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id) AS text
+  FROM documents GROUP BY source),""" + O.chunks_cte(source="long_texts"),
+    "SELECT doc_id AS source, chunk_no, chunk_id, start_char, end_char, text FROM chunks"))
+def chunk_long_files(spark, base):
+    """All documents of a source as one file, a line break after each, cut by byte ranges."""
+    path = shared_dir(spark, "long_files")
+    FS.write_long_files(TB.read_table(spark, base, "documents"), "source", "doc_id", path)
+    chunks = chunk_files(spark, path, segment_bytes=1 << 15)
+    return chunks.select(F.regexp_extract("doc_id", "/source=([^/]*)/", 1).alias("source"),
+                         F.col("chunk_no").cast("int").alias("chunk_no"), "chunk_id",
+                         F.col("start_char").cast("int").alias("start_char"),
+                         F.col("end_char").cast("int").alias("end_char"), "text")
+
+
 @register("export_pyramid_json", O.with_(
     O.pyramid_cte(),
     "SELECT doc_id, chunk_no, chunk_id, start_char, end_char, raw_text, summary, category, "

@@ -54,6 +54,14 @@ def write_text_files(docs: DataFrame, path: str) -> None:
     docs.select("doc_id", "text").write.mode("overwrite").partitionBy("doc_id").text(path)
 
 
+def write_long_files(docs: DataFrame, file_col: str, order_col: str, path: str) -> None:
+    """One file for each value of ``file_col``: its texts by ``order_col``, a line break after each
+    (an empty line for NULL).  A file is written by one task, row by row from its sorted input,
+    which spills; nothing holds a file's text."""
+    (docs.repartition(file_col).sortWithinPartitions(file_col, order_col)
+     .select(file_col, "text").write.mode("overwrite").partitionBy(file_col).text(path))
+
+
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
     """Every file under ``path`` as one row ``(file_path, text)``: the whole file,
     verbatim (UTF-8); partition folders such as ``doc_id=7`` become columns."""
