@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import WORD_CLASS, mix64, written
 from tessera.llm.components import components
 
-MAX_CACHED_WORDS = 500_000
+MAX_CACHED_WORDS = 20_000   # the frequent ones; more take memory and save no time
 
 
 @dataclass(frozen=True)
@@ -125,11 +125,15 @@ def describe(docs: DataFrame, p: Parameters) -> DataFrame:
     def run(batches):
         cache = _WordHashes()
         for batch in batches:
-            sets = [shingles(t, p.shingle, cache) for t in batch.column("text").to_pylist()]
+            sizes, names, sigs = [], [], []
+            for text in batch.column("text"):
+                keys = shingles(text.as_py(), p.shingle, cache)
+                sizes.append(len(keys))
+                names.append(node_of(keys) if len(keys) else None)
+                sigs.append(signature(keys, p) if len(keys) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()),
-                 pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
-                 pa.array([signature(s, p) if len(s) else None for s in sets], pa.binary()), batch.column("row_key")],
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()),
+                 pa.array(sigs, pa.binary()), batch.column("row_key")],
                 ["doc_id", "n_shingles", "node", "sig", "row_key"])
 
     return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_key")).mapInArrow(
@@ -200,8 +204,8 @@ class _Sets:
             cache = _WordHashes()
             for batch in batches:
                 out = {}
-                for text, node in zip(batch.column("text").to_pylist(), batch.column("node").to_pylist()):
-                    keys = shingles(text, size, cache)
+                for text, node in zip(batch.column("text"), batch.column("node").to_pylist()):
+                    keys = shingles(text.as_py(), size, cache)
                     if len(keys) and node_of(keys) == node:  # rows may share an id but not the text
                         out[node] = keys.tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.binary())],
