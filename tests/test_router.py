@@ -85,3 +85,14 @@ def test_every_handler_is_reached(spark):
     from tessera.sources.router_inputs import router_queries
     rows = default_router().route(router_queries(spark, SF_SMALL)).groupBy("detected").count().collect()
     assert {r.detected for r in rows} == {"math", "legal", "code", "science", "general"}
+
+
+def test_word_problems_include_osmosis(spark, tmp_path):
+    from tessera.plans.catalog import REGISTRY
+    rows = [(o, 1, 5, 6, 17.0, 0.04) for o in range(28)]
+    (spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, "
+                                 "l_quantity double, l_tax double").write.parquet(f"{tmp_path}/lineitem.parquet"))
+    found = REGISTRY["route_word_problem"][0](spark, str(tmp_path)).collect()
+    # five of fourteen templates are word problems; the one on osmosis has a single number
+    assert len(found) == 10
+    assert sum(r.numbers == "Extracted numbers: ['1']" and r.operation == "unknown" for r in found) == 2
