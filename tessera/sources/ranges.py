@@ -27,11 +27,15 @@ TASK_BYTES = 128 << 20
 _TAIL = 3   # most bytes of a code point after its first one
 
 
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path as Spark writes it, and the path inside it."""
+    if urlparse(path).scheme in ("", "file"):
+        return fs.LocalFileSystem(), path.removeprefix("file:").replace("///", "/", 1)
+    return fs.FileSystem.from_uri(path)
+
+
 def _open(path: str):
-    url = urlparse(path)
-    if url.scheme in ("", "file"):
-        return fs.LocalFileSystem().open_input_file(path.removeprefix("file:").replace("///", "/", 1))
-    system, inner = fs.FileSystem.from_uri(path)
+    system, inner = file_system(path)
     return system.open_input_file(inner)
 
 
