@@ -32,6 +32,7 @@ from tessera.session import materialize
 from tessera.sources.ranges import SEGMENT_BYTES, file_ranges, read_range, spread_ranges
 
 FANOUT = 64
+FLUSH_BYTES = 4 << 20   # passages that a task holds at a time
 DONE = -1   # the last window of the file has begun before
 
 _PASSAGE = "file_path string, segment_no long, chars long, next binary, counts binary"
@@ -87,6 +88,10 @@ def _unpack(row) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _segment_passages(window: int, overlap: int):
+    columns = ["file_path", "segment_no", "chars", "next", "counts"]
+    # a batch has thousands of ranges: their passages leave a few at a time
+    most = max(1, FLUSH_BYTES // (12 * (window - overlap)))
+
     def passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
@@ -97,7 +102,10 @@ def _segment_passages(window: int, overlap: int):
                 after, counts = Walk(text, ahead, window, overlap).passage()
                 out.append((row.file_path, row.segment_no, len(text),
                             after.astype("<i4").tobytes(), counts.tobytes()))
-            yield pd.DataFrame(out, columns=["file_path", "segment_no", "chars", "next", "counts"])
+                if len(out) >= most:
+                    yield pd.DataFrame(out, columns=columns)
+                    out = []
+            yield pd.DataFrame(out, columns=columns)
     return passages
 
 

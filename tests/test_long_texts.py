@@ -79,3 +79,20 @@ def test_text_ranges_of_all_files(spark, tmp_path):
         name = os.path.basename(r.file_path)
         joined[name] = joined.get(name, "") + r.text
     assert joined == {k: v for k, v in FILES.items() if v}
+
+
+def test_passages_leave_a_few_at_a_time(tmp_path, monkeypatch):
+    import pandas as pd
+    from tessera.operators import long_texts as LT
+    path, size = str(tmp_path / "a.txt"), 300
+    with open(path, "w") as out:
+        out.write("ab cde " * 600)
+    n = 600 * 7 // size
+    ranges = pd.DataFrame([(path, n, i, i * size, (i + 1) * size) for i in range(n)],
+                          columns=["file_path", "n_segments", "segment_no", "byte_start", "byte_end"])
+    monkeypatch.setattr(LT, "FLUSH_BYTES", 12 * 40 * 3)
+    frames = list(LT._segment_passages(50, 10)(iter([ranges])))
+    assert max(map(len, frames)) == 3 and len(frames) > 4
+    alone = [f for i in range(n) for f in LT._segment_passages(50, 10)(iter([ranges[i:i + 1]]))]
+    whole = pd.concat(frames, ignore_index=True)
+    assert whole.to_dict("records") == pd.concat(alone, ignore_index=True).to_dict("records") and len(whole) == n
