@@ -96,3 +96,15 @@ def test_word_problems_include_osmosis(spark, tmp_path):
     # five of fourteen templates are word problems; the one on osmosis has a single number
     assert len(found) == 10
     assert sum(r.numbers == "Extracted numbers: ['1']" and r.operation == "unknown" for r in found) == 2
+
+
+def test_patterns_are_matched_once(spark, tmp_path):
+    """A filter on the type or the result does not bring the classifier's patterns along, nor the
+    construction of results."""
+    from tessera.plans.catalog import REGISTRY
+    (spark.createDataFrame([(1, 1, 5, 6, 17.0, 0.04)], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, "
+                           "l_quantity double, l_tax double").write.parquet(f"{tmp_path}/lineitem.parquet"))
+    for name in ("route_word_problem", "route_arithmetic", "route_custom_module", "route_legal"):
+        plan = REGISTRY[name][0](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("(?i)\\b(calculate|compute|solve") == 1, name
+        assert plan.count("Based on analysis: ") == 1, name
