@@ -89,13 +89,14 @@ def test_every_handler_is_reached(spark):
 
 def test_word_problems_include_osmosis(spark, tmp_path):
     from tessera.plans.catalog import REGISTRY
-    rows = [(o, 1, 5, 6, 17.0, 0.04) for o in range(28)]
+    rows = [(0, n, 5, 6, 17.0, 0.04) for n in range(1, 29)]   # every template twice
     (spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, "
                                  "l_quantity double, l_tax double").write.parquet(f"{tmp_path}/lineitem.parquet"))
     found = REGISTRY["route_word_problem"][0](spark, str(tmp_path)).collect()
     # five of fourteen templates are word problems; the one on osmosis has a single number
     assert len(found) == 10
-    assert sum(r.numbers == "Extracted numbers: ['1']" and r.operation == "unknown" for r in found) == 2
+    single = {"Extracted numbers: ['7']", "Extracted numbers: ['21']"}
+    assert sum(r.numbers in single and r.operation == "unknown" for r in found) == 2
 
 
 def test_patterns_are_matched_once(spark, tmp_path):
