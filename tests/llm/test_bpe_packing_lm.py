@@ -43,6 +43,43 @@ def test_small_blocks_give_the_same_result(documents, monkeypatch):
     assert sorted(bpe.encode_decode(documents, RANKS, P.PATTERN).collect(), key=repr) == want
 
 
+@pytest.mark.parametrize("counted, most", [(False, 100), (True, 130)])
+def test_closing_a_block_holds_little_beside_its_words(counted, most):
+    """Bytes for each word of the dictionary, most of them the sorting of its words."""
+    import tracemalloc
+    from tessera.llm import blocks
+    n = 40_000
+    index = {b"%x" % (i * 2654435761 % 2 ** 32): i for i in range(n)}
+    docs = [(d, d % 2 == 0, np.arange(n, dtype=np.uint32)) for d in range(20)]
+    tracemalloc.start()
+    try:
+        for _ in blocks._close(0, docs, index, 8, counted):
+            pass
+        assert tracemalloc.get_traced_memory()[1] < most * n
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_block_has_each_word_once_in_its_bucket_and_order():
+    from tessera.llm import blocks
+    words, times = [b"%x" % (i * i * 7919) for i in range(500)], [1 + i % 5 for i in range(500)]
+    index = {w: i for i, w in enumerate(words)}
+    codes = np.repeat(np.arange(500, dtype=np.uint32), times)
+    docs = [(1, True, codes), (2, False, codes[::-1]), (3, True, np.empty(0, np.uint32)), (4, False, codes[:7])]
+    rows = [r for r, _ in blocks._close(9, docs, index, 8, True)]
+    texts, buckets = [r for r in rows if r[1] == 0], [r for r in rows if r[1] == 1]
+    word_of, seen = {}, {}
+    for _, _, _, _, _, bucket, packed_codes, packed_words, counts in buckets:
+        found = blocks.unpack_words(packed_words)
+        assert found == sorted(found) and {zlib.crc32(w) % 8 for w in found} == {bucket}
+        word_of.update(zip(blocks.unpack(packed_codes).tolist(), found))
+        seen.update(zip(found, blocks.unpack(counts).tolist()))
+    assert [r[5] for r in buckets] == sorted({r[5] for r in buckets}) and len(word_of) == 500
+    assert seen == dict(zip(words, times))     # of the documents with a true flag
+    assert [(r[2], [word_of[c] for c in blocks.unpack(r[4]).tolist()] if r[4] else []) for r in texts] == [
+        (d, [words[c] for c in codes.tolist()]) for d, _, codes in docs]
+
+
 def test_packing_pieces_and_sequences(documents):
     tokenizer, want = packing.load_tokenizer(WORD_BPE), Counter()
     for i, t in TEXTS:
