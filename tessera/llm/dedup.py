@@ -17,11 +17,12 @@ over all its buckets, in a family of near copies the one nearest to what they sh
 second is the most met one outside the first one's component; later ones follow an order
 that each chunk has for itself.  Nodes that are then in one component need no comparison.
 
-What is left is joined exactly through pivots.  A node's pivot c is the most met of its
-first centres, a whole family's usually the same, and i = |a & c| is counted.  Two nodes
-of one pivot share at most min(i_a, i_b) shingles inside it, so they either share one
-outside it, too, and meet by (pivot, shingle), or reach the similarity inside the pivot
-alone, which their sizes and i must allow, and meet by (pivot, size).  Nodes of different
+What is left is joined exactly through pivots.  A node's pivot is the most met of its first
+centres, a whole family's usually the same.  A node that has the similarity with its pivot is
+paired with it.  Of two others, or of such a one and another, the shingles in which they
+differ from the pivot must have a certain number in common, which follows from the sizes
+and is never 0; so they meet by (pivot, difference), where only a node's rarest differences
+are taken, as many as make sure that a common one is among them.  Nodes of different
 pivots meet in their buckets.  Pairs that their counts exclude are not made.  A pair goes
 on to confirmation if its signatures agree in at least ``agree`` of the symbols (0.55: a
 pair of similarity 0.8 fails with probability below 1e-7) and becomes a link if the full
@@ -37,6 +38,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 from math import comb
 
@@ -46,10 +48,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD_CLASS, mix64, written
+from tessera.llm.common import WORD_CLASS, mix64, written, written_in_buckets
 from tessera.llm.components import components
+from tessera.session import shared_dir
 
 MAX_CACHED_WORDS = 20_000   # the frequent ones; more take memory and save no time
+BIT_WORDS = 1 << 20         # of 64 bits each
 
 
 @dataclass(frozen=True)
@@ -176,26 +180,45 @@ def agreeing(pairs: DataFrame, nodes: DataFrame, p: Parameters) -> DataFrame:
             .select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long, same int"))
 
 
+def with_bit_of(need: DataFrame, rows: DataFrame, name: str) -> DataFrame:
+    """The rows whose hashed column ``name`` has its bit set by some row of ``need``: all that a
+    join on it finds, and few others, so that most are not shuffled for the join.  The broadcast
+    bits have at most ``BIT_WORDS`` rows; very many values only make them let more through."""
+    word = F.pmod(F.xxhash64(name), F.lit(BIT_WORDS)).alias("word")
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(xxhash64({name}), 58) as int))")
+    bits = need.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    return (rows.withColumn("word", word).join(F.broadcast(bits), "word")
+            .where(F.col("bits").bitwiseAND(bit) != 0).drop("word", "bits"))
+
+
 class _Sets:
-    """Full shingle sets of the nodes that some pair needs, written as they come to be needed."""
+    """Full shingle sets of the nodes that some pair needs, written as they come to be needed:
+    in buckets of nodes, which a join by node reads in place, and ``spread``, the same files
+    without their buckets, for joins in which a few nodes may have most of the rows."""
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, p: Parameters):
         self.docs, self.nodes, self.p, self.tables = docs, nodes, p, []
 
-    def cover(self, pairs: DataFrame) -> DataFrame:
+    def cover(self, pairs: DataFrame) -> None:
         need = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        for have in self.tables:
+        for have, _ in self.tables:
             need = need.join(have.select("node"), "node", "left_anti")
         need = written(need.join(self.nodes.select("node", "doc_id"), "node"), "need")
         if not need.isEmpty():
-            self.tables.append(written(self._read(need), "sets"))
-        return self.all()
+            spark, path = self.docs.sparkSession, shared_dir(self.docs.sparkSession, "llm_sets")
+            table = written_in_buckets(self._read(need), "sets", "node", path)
+            self.tables.append((table, spark.read.schema(table.schema).parquet(path)))
+
+    def by_node(self) -> DataFrame:
+        return self._all(0)
 
-    def all(self) -> DataFrame:
-        out = self.docs.sparkSession.createDataFrame([], "node long, keys binary")
-        for more in self.tables:
-            out = out.unionByName(more)
-        return out
+    def spread(self) -> DataFrame:
+        return self._all(1)
+
+    def _all(self, form: int) -> DataFrame:
+        if not self.tables:
+            return self.docs.sparkSession.createDataFrame([], "node long, keys binary")
+        return reduce(DataFrame.unionByName, [t[form] for t in self.tables])
 
     def _read(self, need: DataFrame) -> DataFrame:
         size = self.p.shingle
@@ -211,12 +234,12 @@ class _Sets:
                 yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.binary())],
                                                  ["node", "keys"])
 
-        return (self.docs.select("doc_id", "text").join(need, "doc_id")
+        return (with_bit_of(need, self.docs.select("doc_id", "text"), "doc_id").join(need, "doc_id")
                 .mapInArrow(run, "node long, keys binary").dropDuplicates(["node"]))
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets have the similarity, exactly."""
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int, spread: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b) whose full sets have the similarity, exactly; a b may have many pairs."""
     def run(batches):
         for batch in batches:
             ok = []
@@ -227,8 +250,9 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(
                 pa.array(ok, pa.bool_()))
 
+    others = with_bit_of(pairs.select(F.col("b").alias("node")), sets if spread is None else spread, "node")
     return (pairs.join(sets.select(F.col("node").alias("a"), F.col("keys").alias("keys_a")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("keys").alias("keys_b")), "b")
+            .join(others.select(F.col("node").alias("b"), F.col("keys").alias("keys_b")), "b")
             .select("a", "b", "keys_a", "keys_b").mapInArrow(run, "a long, b long"))
 
 
@@ -249,73 +273,97 @@ def shared_counts(sets: DataFrame) -> DataFrame:
     return rows.join(common, "shingle").groupBy("node").agg(F.count("*").alias("shared"))
 
 
-def pivoted(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """``nodes`` (node, pivot, ...) with ``inside``, the number of a node's shingles that its
-    pivot has, and ``outside``, the others."""
+def pivoted(nodes: DataFrame, sets: DataFrame, spread: DataFrame) -> DataFrame:
+    """``nodes`` (node, pivot, ...) with ``apart``, the shingles that either a node or its
+    pivot has but not both, and ``pivot_n``, the pivot's number of shingles."""
     def run(batches):
         for batch in batches:
-            inside, outside = [], []
+            apart, sizes = [], []
             for own, other in zip(batch.column("keys"), batch.column("pivot_keys")):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (own, other))
-                more = np.setdiff1d(x, y, assume_unique=True)
-                inside.append(len(x) - len(more))
-                outside.append(more.view(np.int64))
+                apart.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
+                sizes.append(len(y))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(inside, pa.int64()), pa.array(outside, pa.list_(pa.int64()))],
-                ["node", "inside", "outside"])
+                [batch.column("node"), pa.array(sizes, pa.int64()), pa.array(apart, pa.list_(pa.int64()))],
+                ["node", "pivot_n", "apart"])
 
     both = (nodes.select("node", "pivot").join(sets, "node")
-            .join(sets.select(F.col("node").alias("pivot"), F.col("keys").alias("pivot_keys")), "pivot")
+            .join(with_bit_of(nodes.select(F.col("pivot").alias("node")), spread, "node")
+                  .select(F.col("node").alias("pivot"), F.col("keys").alias("pivot_keys")), "pivot")
             .select("node", "keys", "pivot_keys"))
-    return nodes.join(both.mapInArrow(run, "node long, inside long, outside array<long>"), "node")
-
-
-def _pairs(left: DataFrame, by: list[str], percent: int, most, right: DataFrame | None = None) -> DataFrame:
-    """(a, b) of rows with equal ``by`` and different components that can reach the
-    similarity: ``most(x, y)`` is the most that two rows share."""
-    def side(rows: DataFrame, mark: str) -> DataFrame:
-        return rows.select(*by, F.struct(*[c for c in rows.columns if c not in by or c == "pivot"]).alias(mark))
-
-    joined = side(left, "x").join(side(left if right is None else right, "y"), by)
-    apart = F.col("x.node") < F.col("y.node") if right is None else F.col("x.node") != F.col("y.node")
-    return joined.where(apart & (F.col("x.comp") != F.col("y.comp"))
-                        & ((100 + percent) * most("x", "y") >= percent * (F.col("x.n") + F.col("y.n")))
-                        ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-
-
-def remaining_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Every pair of different components that may have the similarity, of nodes that share
-    a bucket; ``rest``: (key, node, comp, n, shared, pivot, pivot_comp).
-
-    The (x, y) bounds are: inside + outside by (pivot, shingle); inside alone by (pivot, n),
-    where one of both is not in the pivot's component; shared where the pivots differ."""
-    def least(*names):
-        return lambda x, y: sum((F.least(f"{x}.{c}", f"{y}.{c}") for c in names), F.lit(0))
-
+    return nodes.join(both.mapInArrow(run, "node long, pivot_n long, apart array<long>"), "node")
+
+
+def _pairs(left: DataFrame, right: DataFrame, by: list[str], condition) -> DataFrame:
+    """(a, b) of rows x and y with equal ``by`` and different components that meet ``condition``."""
+    x, y = (rows.select(*by, F.struct(*[c for c in rows.columns if c not in by or c == "pivot"]).alias(mark))
+            for rows, mark in ((left, "x"), (right, "y")))
+    return (x.join(y, by).where((F.col("x.comp") != F.col("y.comp")) & condition)
+            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+
+
+def _by_differences(full: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one pivot; ``full``: rows of :func:`pivoted`.
+
+    Sets x and y have the similarity if and only if at most r(|x| + |y|) shingles are in one
+    of them only, r = (100 - percent) / (100 + percent).  Those are the differences dx and dy
+    from the pivot c less what both have, so |dx & dy| >= (|dx| + |dy| - r(|x| + |y|)) / 2.  A
+    node is near if it has the similarity with the pivot; it is paired with the pivot, and two
+    near nodes need no pair.  For far y, |dy| > r(|y| + |c|), so x shares more than
+    (|dx| + r(|c| - |x|)) / 2 of its differences with it, which is no less than 0; and far y
+    shares at least (|dy| - r(|y| + |c|)) / 2 > 0 with any x.  So both have a common one among
+    their rarest differences, leaving out as many as they must share less one (prefix filter);
+    the first common one bounds by its places how many more there are."""
+    plus, minus = 100 + percent, 100 - percent
+    size = F.size("apart").cast("long")
+    full = (full.withColumn("d", size)
+            .withColumn("near", plus * F.col("d") <= minus * (F.col("n") + F.col("pivot_n")))
+            .withColumn("with_far", F.floor((plus * F.col("d") + minus * (F.col("pivot_n") - F.col("n"))) / (2 * plus))
+                        .cast("long") + 1)
+            .withColumn("with_any", F.when(F.col("near"), F.col("with_far")).otherwise(
+                F.ceil((plus * F.col("d") - minus * (F.col("pivot_n") + F.col("n"))) / (2 * plus)).cast("long"))))
+    linked = full.where(F.col("near") & (F.col("comp") != F.col("pivot_comp"))).select(
+        F.col("node").alias("a"), F.col("pivot").alias("b"))
+
+    spread = full.select("pivot", "node", "comp", F.explode("apart").alias("shingle"))
+    common = (spread.groupBy("pivot", "shingle")
+              .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("nodes"))
+              .where("low != high").select("pivot", "shingle", "nodes"))
+    ranked = (spread.join(common, ["pivot", "shingle"]).groupBy("node")
+              .agg(F.sort_array(F.collect_list(F.struct("nodes", "shingle"))).alias("ranked")))
+    prefix = (full.drop("apart", "pivot_comp", "pivot_n").join(ranked, "node")
+              .withColumn("m", F.size("ranked").cast("long")).where("m >= with_any")
+              .select("pivot", "node", "comp", "n", "d", "m", "near", "with_far", F.posexplode(
+                  F.expr("slice(ranked, 1, cast(m - with_any + 1 as int))")).alias("at", "r"))
+              .select("pivot", F.col("r.shingle").alias("shingle"), "node", "comp", "n", "d", "near",
+                      (F.col("m") - F.col("at")).alias("left"),
+                      (F.col("at") <= F.col("m") - F.col("with_far")).alias("ahead")))
+    prefix = written(prefix, "prefix")
+    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    met = _pairs(prefix.where("ahead"), prefix.where("not near"), ["pivot", "shingle"],
+                 (x("near") | (y("ahead") & (x("node") < y("node"))))
+                 & (100 * F.least(x("n"), y("n")) >= percent * F.greatest(x("n"), y("n")))
+                 & (2 * plus * F.least(x("left"), y("left"))
+                    >= plus * (x("d") + y("d")) - minus * (x("n") + y("n"))))
+    return linked.unionByName(met)
+
+
+def remaining_pairs(rest: DataFrame, sets: DataFrame, percent: int, spread: DataFrame | None = None) -> DataFrame:
+    """Pairs of different components, of nodes that share a bucket, that link all which have
+    the similarity; ``rest``: (key, node, comp, n, shared, pivot, pivot_comp).
+
+    Nodes of one pivot meet by their differences from it; where the pivots differ, two nodes
+    meet in a bucket if the smaller ``shared`` allows the similarity."""
     alone = rest.select("node", "comp", "n", "pivot", "pivot_comp").distinct()
-    full = written(pivoted(alone, sets), "pivoted")
-    spread = full.select("pivot", "node", "comp", "n", "inside", F.explode("outside").alias("shingle"))
-    common = (spread.groupBy("pivot", "shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-              .where("low != high").select("pivot", "shingle"))
-    common = written(spread.join(common, ["pivot", "shingle"]), "outside")
-    counted = common.groupBy("node").agg(F.count("*").alias("outside"))
-    out = _pairs(common.join(counted, "node").where(100 * (F.col("inside") + F.col("outside")) >= percent * F.col("n")),
-                 ["pivot", "shingle"], percent, least("inside", "outside"))
-
-    narrow = full.select("pivot", "node", "comp", "n", "inside", "pivot_comp")
-    low = F.ceil(F.col("n") * percent / 100).cast("long")
-    high = F.floor(F.col("inside") * (100 + percent) / percent).cast("long") - F.col("n")
-    probes = (narrow.where((F.col("comp") != F.col("pivot_comp")) & (low <= high))
-              .withColumn("size", F.explode(F.sequence(low, high))).drop("pivot_comp"))
-    sized = narrow.withColumn("size", F.col("n")).drop("pivot_comp")
-    inside = _pairs(probes, ["pivot", "size"], percent, least("inside"), sized)
+    full = written(pivoted(alone, sets, sets if spread is None else spread), "pivoted")
 
     several = (rest.groupBy("key").agg(F.min("pivot").alias("low"), F.max("pivot").alias("high"))
                .where("low != high").select("key"))
     mixed = rest.join(several, "key").select("key", "node", "comp", "n", "shared", "pivot")
-    across = _pairs(mixed, ["key"], percent, lambda x, y: F.when(F.col(f"{x}.pivot") != F.col(f"{y}.pivot"),
-                                                                 F.least(f"{x}.shared", f"{y}.shared")))
-    return out.unionByName(inside).unionByName(across)
+    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    across = _pairs(mixed, mixed, ["key"], (x("node") < y("node")) & (x("pivot") != y("pivot"))
+                    & ((100 + percent) * F.least(x("shared"), y("shared")) >= percent * (x("n") + y("n"))))
+    return _by_differences(full, percent).unionByName(across)
 
 
 def link_nodes(docs: DataFrame, nodes: DataFrame, p: Parameters) -> DataFrame:
@@ -356,7 +404,8 @@ def link_nodes(docs: DataFrame, nodes: DataFrame, p: Parameters) -> DataFrame:
 
     def link(pairs: DataFrame, rounds: int | None) -> None:
         nonlocal labels, edges
-        found = written(confirm(pairs, sets.cover(pairs), p.percent), "links")
+        sets.cover(pairs)
+        found = written(confirm(pairs, sets.by_node(), p.percent, sets.spread()), "links")
         if not found.isEmpty():
             edges = found if edges is None else edges.unionByName(found)
         if edges is not None and (rounds is None or not found.isEmpty()):
@@ -380,16 +429,17 @@ def link_nodes(docs: DataFrame, nodes: DataFrame, p: Parameters) -> DataFrame:
             break
         both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "same"))
         best = both.groupBy(F.col("a").alias("node")).agg(F.max_by("b", F.struct("same", "b")).alias("b"))
-        link(written(best.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct(), "best"),
+        once = best.groupBy(F.least("node", "b").alias("low"), F.greatest("node", "b").alias("high"))
+        link(written(once.agg(F.max_by("node", "b").alias("a"), F.max("b").alias("b")).select("a", "b"), "best"),
              None if number == p.rounds - 1 else 3)
     # A pair shares at most what either node shares with any other that is left.
     rest = open_buckets().select("key", "node", "comp")
-    left = sets.all().join(rest.select("node").distinct(), "node", "left_semi")
+    left = sets.by_node().join(rest.select("node").distinct(), "node", "left_semi")
     sizes = (nodes.select("node", "n").join(shared_counts(left), "node")
              .where(100 * F.col("shared") >= p.percent * F.col("n")))
     sizes = written(with_comp(sizes.join(pivots, "node"), "pivot", "pivot_comp"), "sizes")
     rest = written(rest.join(sizes, "node"), "rest")
-    link(written(close(remaining_pairs(rest, sets.all(), p.percent)).select("a", "b"), "remaining"), None)
+    link(written(close(remaining_pairs(rest, sets.by_node(), p.percent, sets.spread())).select("a", "b"), "remaining"), None)
     return labels if labels is not None else docs.sparkSession.createDataFrame([], "node long, comp long")
 
 

@@ -242,3 +242,42 @@ def test_remaining_pairs_miss_no_similar_pair(spark):
     want = {(a, b) for a, b in combinations(sorted(sets), 2) if alike(a, b) and comp[a] != comp[b]}
     assert want and want <= got
     assert all(comp[a] != comp[b] for a, b in got)
+
+
+def test_remaining_pairs_of_a_family_are_far_fewer_than_its_square(spark):
+    """300 copies of one text, an eighth of each replaced, by few words that others have, too:
+    none is similar to another one but the twins, which are found."""
+    rng, core = random.Random(5), set(range(400))
+    sets, twins = {0: core}, set()
+    for k in range(1, 301):
+        lost = set(rng.sample(sorted(core), 50))
+        sets[k] = core - lost | set(rng.sample(range(1000, 1030), 6)) | set(range(2000 + 100 * k, 2044 + 100 * k))
+    for k in range(1, 11):
+        sets[300 + k] = sets[k] | {50_000 + k}
+        twins.add((k, 300 + k))
+    rows = [(1, n, n, len(s), len(s), 0, 0) for n, s in sets.items()]
+    rest = spark.createDataFrame(rows, "key long, node long, comp long, n long, shared long, pivot long, pivot_comp long")
+    keys = spark.createDataFrame([(n, bytearray(np.array(sorted(s), np.uint64).tobytes())) for n, s in sets.items()],
+                                 "node long, keys binary")
+    got = [tuple(sorted(r)) for r in dedup.remaining_pairs(rest, keys, 80).collect()]
+    assert twins <= set(got)
+    assert len(got) < len(sets) ** 2 / 8
+
+
+def test_a_node_similar_to_its_pivot_is_paired_with_it(spark):
+    core = set(range(100))
+    sets = {0: core, 1: core - {1, 2, 3}, 2: core - {4, 5, 6} | {200}, 3: core - set(range(10, 27))}
+    rows = [(1, n, n, len(s), len(s), 0, 0) for n, s in sets.items()]
+    rest = spark.createDataFrame(rows, "key long, node long, comp long, n long, shared long, pivot long, pivot_comp long")
+    keys = spark.createDataFrame([(n, bytearray(np.array(sorted(s), np.uint64).tobytes())) for n, s in sets.items()],
+                                 "node long, keys binary")
+    got = {tuple(sorted(r)) for r in dedup.remaining_pairs(rest, keys, 80).collect()}
+    assert {(0, 1), (0, 2), (0, 3)} <= got
+
+
+def test_bits_let_every_needed_row_through(spark):
+    rows = spark.range(-500, 5000).withColumnRenamed("id", "doc_id")
+    need = rows.where("doc_id % 7 = 0")
+    got = {r.doc_id for r in dedup.with_bit_of(need, rows, "doc_id").collect()}
+    want = {r.doc_id for r in need.collect()}
+    assert want <= got and len(got) < len(want) + 50
