@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+import os.path
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,7 +28,6 @@ from tessera.session import materialize
 # Word-character runs or one other non-blank character (explicit classes, so the same
 # pattern means the same thing to every regex engine).
 TOKEN_PATTERN = r"[A-Za-z0-9_]+|[^ \t\n\r\f\x0BA-Za-z0-9_]"
-_MARK = r"([^A-Za-z0-9_ \t\n\r\f\x0B])"   # the second half of it
 PAD_ID, UNK_ID, EOS_ID = 0, 1, 2
 SPECIAL = ["<pad>", "<unk>", "<eos>"]
 BROADCAST_VOCAB = 1_000_000   # larger vocabularies are joined, not broadcast
@@ -86,8 +87,7 @@ def build_vocab(corpus: DataFrame, text_col: str = "train_prompt",
     first, so a row for each distinct token of a batch is all that leaves it."""
     def count(batches):
         for batch in batches:
-            found = pc.value_counts(cut_batch(batch.column(0))[1])
-            yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], names=["token", "freq"])
+            yield pa.RecordBatch.from_arrays(list(count_batch(batch.column(0))), names=["token", "freq"])
 
     counts = (corpus.select(text_col).mapInArrow(count, "token string, freq long")
               .groupBy("token").agg(F.sum("freq").alias("freq"))
@@ -108,48 +108,122 @@ def build_vocab(corpus: DataFrame, text_col: str = "train_prompt",
     return special.unionByName(ranked)
 
 
+# Kinds of bytes in UTF-8: blank, of a word, first of another character, further ones of it.
+_BLANK, _WORD, _OTHER, _FURTHER = range(4)
+_KINDS = np.full(256, _OTHER, np.uint8)
+_KINDS[list(b" \t\n\r\f\x0b")] = _BLANK
+_KINDS[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_")] = _WORD
+_KINDS[0x80:0xC0] = _FURTHER
+
+
+def _cut(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(where each text begins and the last one ends, where each token begins, all tokens) of
+    texts without NULLs, in bytes: a word begins where no word was before, every other
+    non-blank character is a token, and dropping the blanks leaves the tokens side by side."""
+    wide = pa.types.is_large_string(texts.type)
+    _, ends, data = texts.buffers()
+    if not len(texts) or data is None:
+        return np.zeros(len(texts) + 1, np.int64), np.empty(0, np.int64), pa.array([], pa.string())
+    at = np.frombuffer(ends, np.int64 if wide else np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(data, np.uint8)[at[0]:at[-1]]
+    at = at.astype(np.int64) - at[0]
+    kinds = _KINDS[data]
+    word, kept = kinds == _WORD, kinds != _BLANK
+    begins = word | (kinds == _OTHER)
+    begins[1:] &= ~(word[1:] & word[:-1])
+    first = at[:-1][at[:-1] < at[1:]]
+    begins[first] = kept[first]
+    ends = np.append(np.flatnonzero(begins[kept]), np.count_nonzero(kept)).astype(np.int32)
+    flat = pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(data[kept]))
+    return at, np.flatnonzero(begins), flat
+
+
+def cut_batch(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(number of tokens of each text, all tokens) of a batch, by vector functions.  The tokens
+    are those of :func:`tokens`; a NULL has none."""
+    at, begins, flat = _cut(pc.fill_null(texts, ""))
+    return np.diff(np.searchsorted(begins, at)), flat
+
+
+def _without_head(texts: pa.Array, most: int | None = None) -> tuple[pa.Array, pa.Array]:
+    """(what all texts of a batch begin with, the texts without it); no token goes over the cut,
+    which is after a blank and at most ``most`` bytes into the texts.  Prompts of one format
+    begin alike, and what is common needs to be cut only once."""
+    ends = pc.min_max(texts)
+    low, high = (ends[k].as_buffer() for k in ("min", "max"))
+    low, high = (b"" if v is None else v.to_pybytes() for v in (low, high))
+    size = len(os.path.commonprefix([low, high])[:most])
+    while size and _KINDS[low[size - 1]] != _BLANK:
+        size -= 1
+    head = pa.array([low[:size].decode("utf-8")], pa.string())
+    if not size:
+        return head, texts
+    raw = pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()
+    longest = pc.max(pc.binary_length(texts)).as_py()
+    return head, pc.binary_slice(texts.view(raw), size, longest).view(texts.type)
+
+
+def count_batch(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """(distinct tokens of a batch, how often each is in it); a token may come twice."""
+    head, bodies = _without_head(texts.drop_null())
+    of_head, of_bodies = (pc.value_counts(cut_batch(part)[1]) for part in (head, bodies))
+    return (pa.concat_arrays([of_head.field("values"), of_bodies.field("values")]),
+            pa.concat_arrays([pc.multiply(of_head.field("counts"), len(bodies)), of_bodies.field("counts")]))
+
+
 ENCODED_TYPE = T.StructType([
     T.StructField("input_ids", T.ArrayType(T.IntegerType())),
     T.StructField("n_prompt", T.IntegerType()),
 ])
 
 
-def cut_batch(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """(number of tokens of each text, all tokens) of a batch, by vector functions: every
-    non-blank character that is in no word gets blanks around it, then blanks separate.  The
-    tokens are those of :func:`tokens`; a NULL has none."""
-    parts = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, pattern=_MARK, replacement=r" \1 "))
-    flat = parts.flatten()
-    full = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
-    lengths = pc.fill_null(pc.list_value_length(parts), 0).to_numpy(zero_copy_only=False)
-    rows = np.repeat(np.arange(len(texts)), lengths)
-    return np.bincount(rows[full], minlength=len(texts)), flat.filter(pa.array(full))
+def encode_texts(train: pa.Array, prompt_bytes: pa.Array, prompt: pa.Array, lookup, max_len: int) -> pa.StructArray:
+    """input_ids and n_prompt of a batch; ``lookup``: tokens -> ids.  The prompt is the first
+    ``prompt_bytes`` bytes of the train prompt, which end with a blank, or, where that is NULL,
+    ``prompt``."""
+    train, begun = pc.fill_null(train, ""), prompt_bytes.is_valid().to_numpy(zero_copy_only=False)
+    lengths = pc.fill_null(prompt_bytes, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    head, bodies = _without_head(train, int(lengths[begun].min()) if begun.any() else None)
+    size = len(head[0].as_buffer())
+    head = cut_batch(head)[1]
+    at, begins, flat = _cut(bodies)
+    bounds = np.searchsorted(begins, at)
+    in_prompt = np.searchsorted(begins, at[:-1] + np.maximum(lengths - size, 0)) - bounds[:-1] + len(head)
+    n_prompt = np.where(begun, in_prompt, cut_batch(prompt)[0])
+
+    counts = np.diff(bounds)
+    ends = np.concatenate([[0], np.cumsum(counts + len(head))])
+    ids = np.empty(ends[-1], np.int32)
+    heads = ends[:-1, None] + np.arange(len(head))
+    ids[heads] = lookup(head)
+    ids[np.arange(len(flat)) + np.repeat((np.arange(len(train)) + 1) * len(head), counts)] = lookup(flat)
+    if (counts + len(head) > max_len).any():
+        place = np.arange(len(ids)) - np.repeat(ends[:-1], np.diff(ends))
+        ids = ids[place < max_len]
+        ends = np.concatenate([[0], np.cumsum(np.minimum(counts + len(head), max_len))])
+    return pa.StructArray.from_arrays(
+        [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)),
+         pa.array(np.minimum(n_prompt, max_len).astype(np.int32))], names=["input_ids", "n_prompt"])
 
 
 def _encoder(vocab_bc, max_len: int):
-    def encode_batch(train: pa.Array, rest: pa.Array, head: pa.Array) -> pa.Array:
+    def encode_batch(train: pa.Array, prompt_bytes: pa.Array, prompt: pa.Array) -> pa.Array:
         names, ids = vocab_bc.value
-        counts, flat = cut_batch(train)
-        after, _ = cut_batch(rest)
-        of_head, _ = cut_batch(head)
-        n_prompt = np.where(rest.is_valid().to_numpy(zero_copy_only=False), counts - after, of_head)
-        place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
-        looked = pc.fill_null(pc.take(ids, pc.index_in(flat.filter(pa.array(place < max_len)), value_set=names)), UNK_ID)
-        ends = np.concatenate([[0], np.cumsum(np.minimum(counts, max_len))]).astype(np.int32)
-        return pa.StructArray.from_arrays(
-            [pa.ListArray.from_arrays(pa.array(ends), looked), pa.array(np.minimum(n_prompt, max_len).astype(np.int32))],
-            names=["input_ids", "n_prompt"])
+
+        def lookup(flat):
+            return pc.fill_null(pc.take(ids, pc.index_in(flat, value_set=names)), UNK_ID).to_numpy()
+
+        return encode_texts(train, prompt_bytes, prompt, lookup, max_len)
 
     return F.arrow_udf(encode_batch, ENCODED_TYPE)
 
 
 def _encoded(vocab_bc, max_len: int) -> Column:
     """input_ids and n_prompt.  Where the train prompt continues the inference prompt after a line
-    break, the prompt's length follows from what is left, and the prompt is not cut again."""
+    break, the prompt is where the train prompt begins, and is not cut again."""
     train, head = F.col("train_prompt"), F.col("inference_prompt")
     continued = F.coalesce(train.startswith(head) & head.endswith("\n"), F.lit(False))
-    rest = F.when(continued, F.substring(train, F.length(head) + 1, F.length(train)))
-    return _encoder(vocab_bc, max_len)(train, rest, F.when(~continued, head))
+    return _encoder(vocab_bc, max_len)(train, F.when(continued, F.octet_length(head)), F.when(~continued, head))
 
 
 def encode(examples: DataFrame, vocab: DataFrame, max_len: int = K.MAX_SEQ_LEN,

@@ -149,3 +149,50 @@ def test_tokens_of_a_batch_are_those_of_the_column(spark):
     counts, flat = PR.cut_batch(pa.array(texts, pa.string()))
     ends = np.cumsum(counts)
     assert [flat.to_pylist()[e - n:e] for e, n in zip(ends.tolist(), counts.tolist())] == want
+
+
+def test_a_batch_with_a_common_head_is_cut_without_it_and_gives_the_same(monkeypatch):
+    import random
+
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from collections import Counter
+    from tessera.operators.sft import prepare as PR
+
+    def cut(text):
+        return PR.cut_batch(pa.array([text], pa.string()))[1].to_pylist()
+
+    sizes = []
+    plain = PR._cut
+    monkeypatch.setattr(PR, "_cut", lambda texts: (sizes.append(pc.sum(pc.binary_length(texts)).as_py()), plain(texts))[1])
+    rng = random.Random(6)
+    stock = "ab Z_9 \n\t.,#é你🙂-"
+    some = lambda most: "".join(rng.choice(stock) for _ in range(rng.randint(0, most)))
+    for head in ("", "### System:\nYou are 你 a tutor " * 20, "abc", "abc é", "\n"):
+        for rows in (0, 1, 2, 40):
+            prompts = [head + some(12) + rng.choice(["\n", "x"]) for _ in range(rows)]
+            if rows == 40:
+                prompts[3:6] = [None, "", head]
+            train = [None if p is None else p + some(30) for p in prompts]
+            want = Counter(t for text in train if text for t in cut(text))
+            found = Counter()
+            for token, n in zip(*(c.to_pylist() for c in PR.count_batch(pa.array(train, pa.string())))):
+                found[token] += n
+            assert +found == want
+
+            names = pa.array(sorted(want)[::2], pa.string())
+            known = {t: i + 3 for i, t in enumerate(names.to_pylist())}
+            begun = [p is not None and p.endswith("\n") for p in prompts]
+            for max_len in (5, 512):
+                got = PR.encode_texts(
+                    pa.array(train, pa.string()), pa.array([len(p.encode()) if b else None for p, b in zip(prompts, begun)], pa.int32()),
+                    pa.array([None if b else p for p, b in zip(prompts, begun)], pa.string()),
+                    lambda flat: pc.fill_null(pc.add(pc.index_in(flat, value_set=names), 3), PR.UNK_ID).to_numpy(), max_len)
+                assert got.to_pylist() == [
+                    {"input_ids": [known.get(t, PR.UNK_ID) for t in cut(text or "")][:max_len],
+                     "n_prompt": min(len(cut(prompt or "")), max_len)} for text, prompt in zip(train, prompts)]
+    # the common head goes through the cutting once a batch, not once a row
+    sizes.clear()
+    texts = pa.array(["### System:\nYou are a tutor " * 20 + str(i) for i in range(1000)], pa.string())
+    PR.count_batch(texts)
+    assert sum(sizes) < 5000 < pc.sum(pc.binary_length(texts)).as_py()
