@@ -196,3 +196,19 @@ def test_a_batch_with_a_common_head_is_cut_without_it_and_gives_the_same(monkeyp
     texts = pa.array(["### System:\nYou are a tutor " * 20 + str(i) for i in range(1000)], pa.string())
     PR.count_batch(texts)
     assert sum(sizes) < 5000 < pc.sum(pc.binary_length(texts)).as_py()
+
+
+def test_templated_questions_compile_to_methods_that_the_jvm_optimises(spark, tmp_path):
+    import contextlib
+    import io
+    import re
+    from tessera.operators.sft import prepare as PR
+    from tessera.sources import qa as QA
+    rows = [(7, 1, 5 * n + i, n) for n in range(3) for i in range(5)] + [(None, 1, 5, 5), (3, 2, None, 4)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long").write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        PR.with_prompts(QA.synthesize_qa(spark, str(tmp_path))).explain(mode="codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
+    assert sizes and max(sizes) < 8000   # HotSpot interprets methods of more bytes for good
