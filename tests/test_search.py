@@ -150,3 +150,22 @@ def test_document_scope_persisted_equals_in_memory(spark):
     in_memory = sorted(tuple(r) for r in
                        search(q, build_postings(parts, scope="document"), parts.base).collect())
     assert persisted == in_memory
+
+
+def test_a_search_of_one_level_meets_no_rows_without_it(spark):
+    from tessera.operators.topk import BoundedSearch
+    from tessera.plans.ingest import ingest_documents, search_index
+    from tessera.session import shared_dir
+    text = "Alpha beta. Gamma delta. Epsilon zeta. Eta theta. Iota alpha kappa omega."
+    docs = spark.createDataFrame([(i, text + f" Lambda{i} omega.") for i in range(6)], "doc_id long, text string")
+    version = ingest_documents(docs, shared_dir(spark, "level_index"), export_pyramid=False)
+    q = spark.createDataFrame([(0, "alpha omega"), (1, "omega"), (2, "zzz")], "query_id long, query string")
+    parts = PyramidParts(chunk_documents(docs))
+    chunks, postings = parts.base, build_postings(parts)
+    for level in ("summary", "keywords", "raw"):
+        bounded = BoundedSearch(version, q, 3, level)
+        terms = bounded.query_terms()
+        bounds = bounded.block_bounds(terms)
+        assert bounded.matches(bounds.select("query_id", "block"), terms).where(F.col(level).isNull()).isEmpty()
+        want = search(q, postings, chunks, top_k=3, level=level)
+        assert sorted(map(tuple, search_index(version, q, top_k=3, level=level).collect())) == sorted(map(tuple, want.collect()))
