@@ -10,7 +10,7 @@ per source document, which is what indexing one document at a time gives.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import constants as K
@@ -68,27 +68,22 @@ def build_postings(parts: PyramidParts, scope: str = "corpus", levels=K.LEVELS)
 
     ``norm`` (the chunk's vector length at that level) is carried on every posting so a
     search needs no second join to normalise.  Counts never leave their page: the idf goes to
-    every page that has the term, and weights and norms are computed there.  A norm's group is
-    one window of text, so it is bounded.
+    every page that has the term, and weights and norms are computed there, a page at a time.
+    With ``scope="document"`` only terms of documents that lie in several pages travel.
     """
-    cols = _scope_cols(scope)
     windows, counts = parts.paged()
-    of_page = P.page_terms(counts, *cols)
-    frequencies = [f"df_{lv}" for lv in K.LEVELS]
-    dfs = of_page.groupBy(*cols, "term").agg(*[F.sum(c).alias(c) for c in frequencies])
-    totals = windows.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
-    dfs = dfs.join(totals, cols) if cols else dfs.withColumn("n", totals.select("n").scalar())
-    idf = dfs.select(*cols, "term", *[P.idf_of(F.col(f"df_{lv}"), F.col("n")).alias(f"idf_{lv}") for lv in levels])
-    known = of_page.drop(*frequencies).join(idf, [*cols, "term"])
-    weighted = counts.join(known, ["page", *cols, "term"])
-    of_chunk = Window.partitionBy("page", *CHUNK_KEY)
-    weight = {lv: F.col(lv) * F.col(f"idf_{lv}") for lv in levels}
-    normed = weighted.select("*", *[F.sqrt(F.sum(weight[lv] * weight[lv]).over(of_chunk)).alias(f"norm_{lv}") for lv in levels])
-    rows = [F.when(F.col(lv).isNotNull(), F.struct(
-        F.lit(lv).alias("level"), F.col(lv).alias("tf"), F.col(f"idf_{lv}").alias("idf"), weight[lv].alias("weight"),
-        F.col(f"norm_{lv}").alias("norm"))) for lv in levels]
-    return (normed.select(*CHUNK_KEY, "term", F.inline(F.array_compact(F.array(*rows))))
-            .select(*CHUNK_KEY, "level", "term", "tf", "idf", "weight", "norm"))
+    if _scope_cols(scope):
+        rows = P.document_weights(windows, counts, list(levels))
+    else:
+        dfs = counts.groupBy("term").agg(*[F.sum(f"df_{lv}").alias(f"df_{lv}") for lv in K.LEVELS])
+        n = windows.agg(F.count(F.lit(1)).alias("n")).scalar()
+        idf = dfs.withColumn("n", n).select(
+            "term", *[P.idf_of(F.col(f"df_{lv}"), F.col("n")).alias(f"idf_{lv}") for lv in levels])
+        rows = P.corpus_weights(counts, idf, list(levels))
+    named = F.when(F.col("level_no") == 0, levels[0])
+    for i, lv in enumerate(levels[1:], 1):
+        named = named.when(F.col("level_no") == i, lv)
+    return rows.select(*CHUNK_KEY, named.alias("level"), "term", "tf", "idf", "weight", "norm")
 
 
 def vector_norms(postings: DataFrame) -> DataFrame:

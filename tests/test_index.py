@@ -178,3 +178,62 @@ def test_two_writers_of_one_number(spark):
     assert log.publish(make) == {"who": "c", "after": "other", "number": 3} and rounds == [1, 2]
     assert log.latest()["who"] == "c"
     assert len({log.take_number() for _ in range(3)}) == 3
+
+
+def test_a_page_counts_its_terms_once(spark):
+    """What :mod:`tessera.functions.text` cuts and counts, as one row for each term of a page."""
+    from collections import Counter
+    from tessera.functions import text as X
+    from tessera.operators import paged as P
+    from tessera.operators.paged import write_counts, write_windows
+    texts = ["", "The of and a 1 x", "Na\u00efve \u0130stanbul \u212aelvin 12km a-b ab. Ab! AB?", "zz yy zz. xx yy zz 9 99", "\u00e9\u00e9 \u00fc"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(7, texts[3])] * 2, "doc_id long, text string")
+    windows = write_windows(PyramidParts(chunk_documents(docs.coalesce(1)), top_k=2), shared_dir(spark, "count_windows"))
+    counts = write_counts(windows, shared_dir(spark, "page_counts"), 2, 2)
+    assert counts.count() == counts.select("page", "term").distinct().count()
+    got = {(r.doc_id, r.term): r for r in P.entries(counts).collect()}
+    tokens = {r.doc_id: (r.t, r.s) for r in windows.select(
+        "doc_id", X.tokenize("raw_text").alias("t"), X.tokenize("summary").alias("s")).collect()}
+    want = {(d, w) for d, (t, s) in tokens.items() for w in {*t, *s}}
+    assert set(got) == want and "12km" in {w for _, w in want}
+    for (d, w), r in got.items():
+        both = 2 if d == 7 else 1   # equal rows of one key are one chunk
+        t, s = tokens[d]
+        assert r.raw == both * t.count(w) / len(t) and r.summary == (both * s.count(w) / len(s) if w in s else None)
+        best = sorted(Counter(t), key=lambda x: (-t.count(x), t.index(x)))[:2]
+        assert r.place == (best.index(w) + 1 if w in best else None)
+        assert r.keywords == (1 / min(2, len(set(t))) if w in best else None)
+
+
+def test_terms_of_documents_in_one_page_do_not_travel(spark):
+    """Frequencies inside a document are summed over pages only where it lies in several."""
+    from tessera.operators.paged import _of_documents
+    text = " ".join(f"word{i} common" for i in range(400))
+    docs = spark.createDataFrame([(i, text) for i in range(40)], "doc_id long, text string").coalesce(1)
+    windows, counts = PyramidParts(chunk_documents(docs, 100, 2, 40)).paged()
+    known = _of_documents(windows, counts)
+    pages = windows.groupBy("doc_id").agg(F.countDistinct("page").alias("n")).collect()
+    several = {r.doc_id for r in pages if r.n > 1}
+    assert 0 < len(several) < 20
+    assert {r.doc_id for r in known.where("term IS NOT NULL").select("doc_id").distinct().collect()} == several
+    rows = build_postings(PyramidParts(chunk_documents(docs, 100, 2, 40)), "document")
+    per_term = rows.where("level = 'raw'").groupBy("doc_id", "term").agg(F.count("*").alias("df"), F.max("idf").alias("idf"))
+    n = windows.groupBy("doc_id").agg(F.count("*").alias("n"))
+    off = per_term.join(n, "doc_id").where("abs(idf - (ln((n + 1) / (df + 1)) + 1)) > 1e-12")
+    assert off.count() == 0 and per_term.count() > 40 * 400
+
+
+def test_postings_do_not_move_for_a_few_query_terms(in_memory, questions):
+    from tessera.operators.search import cosine_scores, query_vectors
+    plan = cosine_scores(query_vectors(questions), in_memory[0])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_pages_without_live_chunks_are_left_out(spark):
+    root = shared_dir(spark, "all_replaced")
+    docs = lambda w: spark.createDataFrame([(i, f"{w}{i} shared") for i in range(5)], "doc_id long, text string")
+    ingest_documents(docs("old"), root, export_pyramid=False)
+    version = ingest_documents(docs("new"), root, export_pyramid=False)
+    assert version.entry["layout"] == 2
+    assert {r.term for r in version.bounds.collect()} == {"shared", *[f"new{i}" for i in range(5)]}
+    assert {r.segment for r in version.live.collect()} == {1}
