@@ -109,3 +109,17 @@ def test_patterns_are_matched_once(spark, tmp_path):
         plan = REGISTRY[name][0](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("(?i)\\b(calculate|compute|solve") == 1, name
         assert plan.count("Based on analysis: ") == 1, name
+
+
+def test_an_expression_of_a_batch_is_evaluated_once(monkeypatch):
+    import pyarrow as pa
+    from tessera.operators.router import arith
+    seen = []
+    monkeypatch.setattr(arith, "evaluate", lambda e: seen.append(e) or evaluate(e))
+    got = arith._arithmetic(pa.array(["2 * 3", None, "1 / 0", "2 * 3", "7 / 2"]))
+    assert seen == ["2 * 3", "1 / 0", "7 / 2"]
+    assert [r["answer"] for r in got.to_pylist()] == ["6", None, None, "6", "3.5"]
+    assert [r["status"] for r in got.to_pylist()] == ["ok", None, "failed", "ok", "ok"]
+    assert arith._arithmetic(pa.array([None, None], pa.string())).to_pylist() == [dict.fromkeys(
+        ["answer", "computed", "value", "status"])] * 2
+    assert len(arith._arithmetic(pa.array([], pa.string()))) == 0
